@@ -96,3 +96,35 @@ def gold_tables(spark, sf_dir):
         "performance": gold.delivery_performance(*silver_pair),
         "routes": gold.route_optimization(*silver_pair),
     }
+
+
+def rough_shipments(spark, sf_dir):
+    """Orders as shipment rows that need cleaning: padded text, malformed numbers, days
+    in another pattern and missing ids, spread over the rows by order status and priority."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    price = F.col("o_totalprice").cast("string")
+    return given(spark, sf_dir, "orders").select(
+        F.when(status != "P", F.col("o_custkey").cast("string")).alias("shipment_id"),
+        F.concat(F.lit("  "), priority, F.lit("\t")).alias("origin"),
+        F.concat(status, F.lit(" ")).alias("destination"),
+        F.when(status == "F", priority).otherwise(price).alias("weight_kg"),
+        price.alias("declared_value"),
+        F.when(priority == "5-LOW", F.date_format("o_orderdate", "yyyy/MM/dd"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .alias("shipping_date"),
+        F.col("o_orderkey").alias("order_key"),
+    )
+
+
+def rough_tracking(spark, sf_dir):
+    """Events that need cleaning: errors lack an id, clicks carry other text for their time."""
+    kind = F.col("event_type")
+    return given(spark, sf_dir, "events").select(
+        F.when(kind != "error", F.col("event_id").cast("string")).alias("event_id"),
+        F.col("user_id").cast("string").alias("shipment_id"),
+        event_type_names().alias("event_type"),
+        F.when(kind == "click", F.col("props"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .alias("event_timestamp"),
+        F.concat(F.lit("HUB-"), (F.col("user_id") % 10).cast("string")).alias("location"),
+    )

@@ -16,6 +16,10 @@ def all_strings(names):
     return StructType([StructField(name, StringType()) for name in names])
 
 
+def with_text_field(schema, name):
+    return StructType([*schema.fields, StructField(name, StringType())])
+
+
 BRONZE_SHIPMENTS = all_strings(
     ["shipment_id", "origin", "destination", "weight_kg", "declared_value", "shipping_date"]
 )

@@ -1,16 +1,16 @@
 """Bronze: newline-delimited JSON, append-only."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
 
 from waybill import fixed
+from waybill.schemas import with_text_field
 
 BROKEN_LINE = "_corrupt_record"
 
 
 def _json(reader, schema):
     return (
-        reader.schema(StructType(schema.fields).add(BROKEN_LINE, StringType()))
+        reader.schema(with_text_field(schema, BROKEN_LINE))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BROKEN_LINE)
     )
@@ -21,7 +21,7 @@ def _sound(df):
 
 
 def read_bronze(spark, path, schema):
-    """The lines that are JSON objects, under an explicit schema."""
+    """The lines that are JSON objects, under an explicit schema; `path` may be a list."""
     return _sound(_json(spark.read, schema).json(path))
 
 

@@ -1,10 +1,9 @@
 """CSV feeds with a header row; every value is text."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
 
 from waybill.functions.parsing import quoted, stripped
-from waybill.schemas import all_strings
+from waybill.schemas import all_strings, with_text_field
 
 BROKEN_ROW = "_corrupt_record"
 
@@ -24,10 +23,6 @@ def header_schema(spark, path):
     return all_strings(spark.read.option("header", True).option("escape", '"').csv(path).columns)
 
 
-def _with_broken_row(schema):
-    return StructType(schema.fields).add(BROKEN_ROW, StringType())
-
-
 def clean_rows(raw):
     """Strip header names and values.
 
@@ -46,11 +41,11 @@ def clean_rows(raw):
 def read_csv_feed(spark, path, schema=None, multi_line=False):
     """`multi_line` allows line breaks inside quotes, at the price of unsplittable files."""
     schema = schema or header_schema(spark, path)
-    return clean_rows(_csv(spark.read, multi_line).schema(_with_broken_row(schema)).csv(path))
+    return clean_rows(_csv(spark.read, multi_line).schema(with_text_field(schema, BROKEN_ROW)).csv(path))
 
 
 def stream_csv_feed(spark, path, schema=None, multi_line=False, **options):
     """Follow a folder of CSV files; `options` are file-source options such as maxFilesPerTrigger."""
     schema = schema or header_schema(spark, path)
-    reader = _csv(spark.readStream, multi_line).schema(_with_broken_row(schema))
+    reader = _csv(spark.readStream, multi_line).schema(with_text_field(schema, BROKEN_ROW))
     return clean_rows(reader.options(**options).csv(path))

@@ -6,9 +6,9 @@ Messages carry no key, so they spread evenly over the topic's partitions.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
 
 from waybill.functions.parsing import quoted
+from waybill.schemas import with_text_field
 
 NOT_JSON = "_corrupt_record"
 
@@ -20,7 +20,7 @@ def to_messages(df):
 
 def from_messages(messages, schema):
     """Decode the values; what is not a JSON object is left out."""
-    wide = StructType(schema.fields).add(NOT_JSON, StringType())
+    wide = with_text_field(schema, NOT_JSON)
     options = {"columnNameOfCorruptRecord": NOT_JSON}
     decoded = messages.select(
         F.from_json(F.col("value").cast("string"), wide, options).alias("message")

@@ -2,7 +2,9 @@
 
 Each query keeps its progress in its checkpoint. Starting one with a fresh
 checkpoint reads everything again; the duplicates this puts into bronze vanish
-when silver keeps one row per key.
+when silver keeps one row per key. A fresh checkpoint needs a fresh bronze
+folder next to the old one: the file sink takes the restarted batch numbers for
+batches that its folder already holds, and would skip them.
 """
 
 from waybill.sources.bronze import append_bronze
