@@ -1,0 +1,118 @@
+import json
+from datetime import date
+from pathlib import Path
+
+import pytest
+
+from tests.helpers import EVENT, PERFORMANCE, at, bag, rows
+from waybill import schemas
+from waybill.functions.rendering import json_safe
+from waybill.sources import bronze, csv_feed, tables, topic
+
+
+def written(folder, name, text):
+    path = Path(folder("in"))
+    path.mkdir(exist_ok=True)
+    (path / name).write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_csv_names_and_values_are_stripped(spark, folder):
+    path = written(
+        folder,
+        "a.csv",
+        ' shipment_id , origin ,weight_kg\n SH1 ,"West, ""old"" Town ",\tx 1 \n\nSH2,,2\nSH3\n',
+    )
+    frame = csv_feed.read_csv_feed(spark, path)
+    assert frame.columns == ["shipment_id", "origin", "weight_kg"]
+    assert sorted(rows(frame)) == [
+        ("SH1", 'West, "old" Town', "x 1"),
+        ("SH2", "", "2"),
+        ("SH3", None, None),
+    ]
+    assert sorted(rows(frame.select("origin")), key=str) == [
+        ("",), ('West, "old" Town',), (None,)
+    ]
+    assert frame.count() == 3
+
+
+def test_csv_line_breaks_inside_quotes(spark, folder):
+    path = written(folder, "a.csv", 'id,note\n1,"two\nlines"\n2,one\n')
+    assert sorted(rows(csv_feed.read_csv_feed(spark, path, multi_line=True))) == [
+        ("1", "two\nlines"), ("2", "one")
+    ]
+
+
+def test_messages_are_json_objects(spark):
+    frame = spark.createDataFrame([("1", 'say "→"', None)], "a string, `b.c` string, d string")
+    text = topic.to_messages(frame).first().value
+    assert json.loads(text) == {"a": "1", "b.c": 'say "→"', "d": None}
+
+
+def test_messages_that_are_not_objects_are_left_out(spark):
+    schema = schemas.all_strings(["a", "b"])
+    texts = ['{"a": "1", "b": 2}', "[1]", "oops", "", '{"b": null, "z": 1}', None, '{"a": "x"']
+    frame = spark.createDataFrame([(text,) for text in texts], "value string")
+    decoded = topic.from_messages(frame, schema)
+    assert bag(decoded) == {("1", "2"): 1, (None, None): 1}
+    assert decoded.count() == 2
+    binary = frame.selectExpr("CAST(value AS binary) AS value")
+    assert bag(topic.from_messages(binary, schema)) == bag(decoded)
+    assert len(schema.fields) == 2
+
+
+def test_bronze_lines_that_are_not_json(spark, folder):
+    good = {"event_id": "1", "shipment_id": "s", "event_type": "Delivered"}
+    path = written(folder, "a.json", json.dumps(good) + "\nnot json\n" + '{"event_id": 2}\n')
+    frame = bronze.read_bronze(spark, path, schemas.BRONZE_TRACKING)
+    assert sorted(rows(frame)) == [
+        ("1", "s", "Delivered", None, None), ("2", None, None, None, None)
+    ]
+    assert frame.count() == 2
+    broken = bronze.broken_lines(spark, path, schemas.BRONZE_TRACKING)
+    assert [row.line for row in broken.collect()] == ["not json"]
+    assert len(schemas.BRONZE_TRACKING.fields) == 5
+
+
+def test_overwrite_replaces_a_table(spark, folder):
+    path = folder("table")
+    tables.write_table(spark.range(5), path)
+    tables.write_table(spark.range(2), path)
+    assert tables.read_table(spark, path).count() == 2
+
+
+def test_partitioned_table_keeps_its_rows(spark, folder):
+    path = folder("table")
+    tables.write_table(spark.range(6).selectExpr("id", "id % 2 AS part"), path, ["part"])
+    assert tables.read_table(spark, path).filter("part = 1").count() == 3
+
+
+def test_redistribute(spark):
+    frame = spark.range(100)
+    assert tables.redistribute(frame, 2).rdd.getNumPartitions() == 2
+    assert bag(tables.redistribute(frame)) == bag(frame)
+
+
+@pytest.mark.parametrize(
+    ("when", "text"),
+    [
+        ("2026-05-01 10:00:00", "2026-05-01T10:00:00"),
+        ("2026-05-01 10:00:00.5", "2026-05-01T10:00:00.500000"),
+        ("2026-05-01 10:00:00.000001", "2026-05-01T10:00:00.000001"),
+        (None, None),
+    ],
+)
+def test_json_safe_instants(spark, when, text):
+    moment = at(when) if when else None
+    frame = spark.createDataFrame([("e", "s", "x", moment, "H")], EVENT)
+    assert moment is None or moment.isoformat() == text
+    assert rows(json_safe(frame)) == [("e", "s", "x", text, "H")]
+
+
+def test_json_safe_leaves_other_values_alone(spark):
+    frame = spark.createDataFrame(
+        [("1", "A", "B", 1.5, None, date(2026, 5, 1), None, None, 2.0, True)], PERFORMANCE
+    )
+    assert rows(json_safe(frame)) == [
+        ("1", "A", "B", 1.5, None, "2026-05-01", None, None, 2.0, True)
+    ]

@@ -30,7 +30,7 @@ def _bin_width(low, high, max_bins):
 
     candidates = F.array(*[candidate(mantissa, shift) for mantissa, shift in _STEPS])
     single = F.struct(F.lit(1.0).alias("num"), F.lit(1.0).alias("den"))
-    return F.when(low == high, single).otherwise(F.element_at(F.filter(candidates, fits), 1))
+    return F.when(low == high, single).otherwise(F.try_element_at(F.filter(candidates, fits), F.lit(1)))
 
 
 def bin_index(value, width):

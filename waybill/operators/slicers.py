@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import functions as F
 
 from waybill import fixed
@@ -50,6 +51,15 @@ def narrow_all(tables, selection):
     }
 
 
+def _checked(df, pattern):
+    """Turn away a malformed expression here instead of in every task of the job."""
+    try:
+        df.sparkSession._jvm.java.util.regex.Pattern.compile(pattern)
+    except IllegalArgumentException as error:
+        raise ValueError(f"not a regular expression: {error}") from None
+    return pattern
+
+
 def search(df, query, regex=True):
     """Rows where any column, as text, matches the query in any letter case.
 
@@ -58,7 +68,7 @@ def search(df, query, regex=True):
     wanted = (query or "").strip()
     if not wanted or not df.columns:
         return df
-    pattern = "(?iu)" + (wanted if regex else re.escape(wanted))
+    pattern = _checked(df, "(?iu)" + (wanted if regex else re.escape(wanted)))
     hits = [as_text(quoted(name)).rlike(pattern) for name in df.columns]
     return df.filter(reduce(or_, [F.coalesce(hit, F.lit(False)) for hit in hits]))
 

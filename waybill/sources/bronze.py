@@ -8,33 +8,30 @@ from waybill.schemas import with_text_field
 BROKEN_LINE = "_corrupt_record"
 
 
-def _json(reader, schema):
-    return (
-        reader.schema(with_text_field(schema, BROKEN_LINE))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BROKEN_LINE)
-    )
-
-
-def _sound(df):
-    return df.filter(F.col(BROKEN_LINE).isNull()).drop(BROKEN_LINE)
+def _sound(reader, schema):
+    return reader.schema(schema).option("mode", "DROPMALFORMED")
 
 
 def read_bronze(spark, path, schema):
     """The lines that are JSON objects, under an explicit schema; `path` may be a list."""
-    return _sound(_json(spark.read, schema).json(path))
+    return _sound(spark.read, schema).json(path)
 
 
 def broken_lines(spark, path, schema):
     """The lines `read_bronze` leaves out, with the file that holds them."""
-    lines = _json(spark.read, schema).json(path)
-    return lines.filter(F.col(BROKEN_LINE).isNotNull()).select(
-        F.col(BROKEN_LINE).alias("line"), F.col("_metadata.file_path").alias("file")
+    options = {"columnNameOfCorruptRecord": BROKEN_LINE}
+    parsed = F.from_json("value", with_text_field(schema, BROKEN_LINE), options)
+    return (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"))
+        .filter(F.trim("value") != "")
+        .filter(parsed[BROKEN_LINE].isNotNull())
+        .withColumnRenamed("value", "line")
     )
 
 
 def stream_bronze(spark, path, schema, **options):
-    return _sound(_json(spark.readStream, schema).options(**options).json(path))
+    return _sound(spark.readStream, schema).options(**options).json(path)
 
 
 def append_bronze(stream, path, checkpoint, trigger=None, max_records_per_file=None):

@@ -15,6 +15,8 @@ def _csv(reader, multi_line):
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BROKEN_ROW)
+        # With pruning, a row would pass as complete whenever its wanted fields are there.
+        .option("columnPruning", False)
     )
 
 
