@@ -1,0 +1,202 @@
+"""What the optimizer makes of the jobs: pushdown, pruning, shuffles, no Python."""
+
+import re
+
+import pytest
+
+from tests.helpers import bag, events, plan, shipments
+from waybill.operators.slicers import Selection
+from waybill.plans import gold, report, silver
+from waybill.session import INITIAL_PARTITIONS, shuffle_partitions, shuffles_sized_for
+from waybill.sources.tables import read_table, write_table
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Silver and gold tables as files."""
+    root = tmp_path_factory.mktemp("tables")
+    tracked = events(
+        spark,
+        *[(str(n), f"s{n % 9}", "Delivered" if n % 2 else "Picked Up", f"2026-05-{n % 28 + 1:02d}")
+          for n in range(60)],
+    )
+    shipped = shipments(spark, *[f"s{n}" for n in range(12)])
+    made = {
+        "silver_shipments": shipped,
+        "silver_tracking": tracked,
+        "performance": gold.delivery_performance(shipped, tracked),
+        "routes": gold.route_optimization(shipped, tracked),
+        "shipments": gold.shipment_snapshot(shipped, tracked),
+    }
+    for name, df in made.items():
+        write_table(df, str(root / name))
+    return {name: read_table(spark, str(root / name)) for name in made}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As with tables too large to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.unset(key)
+
+
+GOLD_JOBS = {
+    "performance": gold.delivery_performance,
+    "routes": gold.route_optimization,
+    "snapshot": gold.shipment_snapshot,
+}
+
+
+def gold_plan(stored, name):
+    return plan(GOLD_JOBS[name](stored["silver_shipments"], stored["silver_tracking"]))
+
+
+@pytest.mark.parametrize(("name", "exchanges"), [("performance", 2), ("routes", 4), ("snapshot", 2)])
+def test_gold_jobs_shuffle_no_more_than_needed(stored, no_broadcast, name, exchanges):
+    text = gold_plan(stored, name)
+    assert text.count("Exchange hashpartitioning") == text.count("Exchange") == exchanges
+    assert "SortMergeJoin" in text
+
+
+@pytest.mark.parametrize("name", GOLD_JOBS)
+def test_tracking_is_shuffled_only_after_aggregation(stored, no_broadcast, name):
+    lines = gold_plan(stored, name).splitlines()
+    for number, line in enumerate(lines):
+        if "Exchange" in line:
+            below = "\n".join(lines[number + 1 : number + 4])
+            assert "Aggregate" in lines[number + 1] or "silver_shipments" in below
+
+
+def test_milestones_push_the_event_types_to_the_scan(stored):
+    text = gold_plan(stored, "performance")
+    assert re.search(r"PushedFilters: \[[^]]*In\(event_type, \[", text)
+    assert "ReadSchema: struct<shipment_id:string,event_type:string,event_timestamp:timestamp>" in text
+
+
+def test_routes_read_only_their_columns(stored):
+    text = gold_plan(stored, "routes")
+    assert "ReadSchema: struct<shipment_id:string,location:string>" in text
+    assert "shipping_date" not in text
+    assert "event_timestamp" not in text
+
+
+def test_report_datasets_read_only_their_columns(stored):
+    datasets = report.report(stored)
+    columns = {
+        "status_mix": "current_status:string",
+        "delay_split": "is_delayed:boolean",
+        "top_origins": "origin:string",
+        "top_destinations": "destination:string",
+        "duration_histogram": "delivery_duration_days:double",
+        "value_at_risk_by_location": "location:string,total_value_at_risk:double",
+        "daily_volume": "shipping_date:date",
+        "busiest_routes": "origin:string,destination:string,total_shipments:bigint",
+    }
+    for name, schema in columns.items():
+        assert f"ReadSchema: struct<{schema}>" in plan(datasets[name]), name
+
+
+def test_slicers_are_pushed_to_the_scan(stored):
+    chosen = Selection("A", "B", "On Time")
+    text = plan(report.report(stored, chosen)["performance"])
+    assert "EqualTo(origin,A)" in text
+    assert "EqualTo(destination,B)" in text
+    assert "Or(IsNull(is_delayed),EqualTo(is_delayed,false))" in text.replace(
+        "Not(EqualTo(is_delayed,true))", "EqualTo(is_delayed,false)"
+    )
+
+
+def test_rankings_never_sort_everything(stored):
+    for name in ("top_origins", "top_destinations", "value_at_risk_by_location", "busiest_routes"):
+        assert "TakeOrderedAndProject" in plan(report.report(stored)[name])
+
+
+def test_no_python_and_no_nested_loops(stored):
+    frames = list(report.report(stored).values())
+    frames += [job(stored["silver_shipments"], stored["silver_tracking"]) for job in GOLD_JOBS.values()]
+    for frame in frames:
+        text = plan(frame)
+        for unwanted in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"):
+            assert unwanted not in text
+
+
+def hot(spark, total=30_000):
+    """A third of the events belong to one shipment, a third have no event id."""
+    return spark.range(total).selectExpr(
+        "CASE WHEN id % 3 <> 1 THEN CAST(id AS string) END AS event_id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 1000 AS string) END AS shipment_id",
+        "element_at(array('Picked Up', 'Delivered', 'In Transit'), CAST(id % 7 % 3 AS int) + 1) "
+        "AS event_type",
+        "CAST(timestamp_micros(id * 7919 % 100003 * 1000000) AS string) AS event_timestamp",
+        "concat('HUB-', id % 11) AS location",
+    )
+
+
+def test_hot_keys_send_few_rows_through_a_shuffle(spark, no_broadcast):
+    """Rows written to the shuffle by key-wise reduction, whatever the share of the hot key."""
+    frame = silver.typed_tracking(hot(spark)).repartition(8)
+    for reduced, bound in (
+        (gold.latest_events(frame), 8 * 1001),
+        (gold.event_counts(frame), 8 * (11 * 1001)),
+        (silver.silver_tracking(hot(spark).repartition(8)), 20_000 + 8),
+    ):
+        reduced.write.format("noop").mode("overwrite").save()
+        keys = reduced.count()
+        assert keys <= bound
+    latest = gold.latest_events(frame).filter("shipment_id = 'hot'")
+    newest = frame.filter("shipment_id = 'hot'").selectExpr(
+        "max(struct(event_timestamp, event_id)) AS top"
+    ).select("top.*")
+    assert bag(latest.select("event_timestamp", "event_id")) == bag(newest)
+
+
+def test_a_hot_shipment_does_not_change_the_route_metrics(spark):
+    tracked = silver.typed_tracking(hot(spark, 6_000))
+    shipped = spark.sql(
+        "SELECT 'hot' AS shipment_id, 'A' AS origin, 'B' AS destination, 2D AS weight_kg, "
+        "10D AS declared_value UNION ALL SELECT CAST(id AS string), 'A', concat('D', id % 3), "
+        "CAST(id AS double), CAST(id AS double) FROM range(1000)"
+    )
+    tracked.createOrReplaceTempView("hot_tracking")
+    shipped.createOrReplaceTempView("hot_shipments")
+    expected = spark.sql(
+        "SELECT origin, destination, location, count(shipment_id), sum(declared_value), "
+        "avg(weight_kg) FROM hot_tracking JOIN hot_shipments USING (shipment_id) "
+        "GROUP BY origin, destination, location"
+    )
+    assert bag(gold.route_optimization(shipped, tracked)) == bag(expected)
+
+
+def test_a_join_of_single_events_splits_a_hot_shipment(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        shipped = spark.range(1000).selectExpr("CAST(id AS string) AS shipment_id", "id AS weight")
+        shipped = shipped.union(spark.sql("SELECT 'hot', 0L"))
+        joined = hot(spark).repartition(8).join(shipped, "shipment_id")
+        assert joined.count() == 30_000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shuffles_follow_the_size_of_their_input(spark, stored, tmp_path):
+    gib = 1024**3
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(100 * gib, 8) == 400
+    assert shuffle_partitions(100 * 1024 * gib, 8) == 50_000
+    spark.range(10).write.parquet(str(tmp_path / "t"))
+    with shuffles_sized_for(spark, str(tmp_path / "t")) as partitions:
+        assert partitions == 8
+        assert spark.conf.get(INITIAL_PARTITIONS) == "8"
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None

@@ -3,6 +3,7 @@
 from waybill import schemas
 from waybill.plans import gold, silver
 from waybill.plans.serving import load_serving
+from waybill.session import shuffles_sized_for
 from waybill.sources.bronze import read_bronze
 from waybill.sources.tables import read_table, write_table
 
@@ -24,33 +25,39 @@ class Layout:
 
 
 def clean_shipments(spark, layout):
-    bronze = read_bronze(spark, layout.bronze_shipments, schemas.BRONZE_SHIPMENTS)
-    write_table(silver.silver_shipments(bronze), layout.silver_shipments)
+    with shuffles_sized_for(spark, layout.bronze_shipments):
+        bronze = read_bronze(spark, layout.bronze_shipments, schemas.BRONZE_SHIPMENTS)
+        write_table(silver.silver_shipments(bronze), layout.silver_shipments)
 
 
 def clean_tracking(spark, layout):
-    bronze = read_bronze(spark, layout.bronze_tracking, schemas.BRONZE_TRACKING)
-    write_table(silver.silver_tracking(bronze), layout.silver_tracking)
+    with shuffles_sized_for(spark, layout.bronze_tracking):
+        bronze = read_bronze(spark, layout.bronze_tracking, schemas.BRONZE_TRACKING)
+        write_table(silver.silver_tracking(bronze), layout.silver_tracking)
 
 
-def _silver(spark, layout):
-    return read_table(spark, layout.silver_shipments), read_table(spark, layout.silver_tracking)
+def _build(spark, layout, job, path):
+    """Gold jobs read only their own columns of silver, so each scans it for itself."""
+    silver_paths = layout.silver_shipments, layout.silver_tracking
+    with shuffles_sized_for(spark, *silver_paths):
+        write_table(job(*[read_table(spark, source) for source in silver_paths]), path)
 
 
 def build_performance(spark, layout):
-    write_table(gold.delivery_performance(*_silver(spark, layout)), layout.performance)
+    _build(spark, layout, gold.delivery_performance, layout.performance)
 
 
 def build_routes(spark, layout):
-    write_table(gold.route_optimization(*_silver(spark, layout)), layout.routes)
+    _build(spark, layout, gold.route_optimization, layout.routes)
 
 
 def build_snapshot(spark, layout):
-    write_table(gold.shipment_snapshot(*_silver(spark, layout)), layout.snapshot)
+    _build(spark, layout, gold.shipment_snapshot, layout.snapshot)
 
 
 def serve(spark, layout, partitions=None):
-    load_serving(spark, layout.gold, layout.serving, partitions)
+    with shuffles_sized_for(spark, layout.gold):
+        load_serving(spark, layout.gold, layout.serving, partitions)
 
 
 STEPS = [clean_shipments, clean_tracking, build_performance, build_routes, build_snapshot, serve]

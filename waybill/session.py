@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import SparkSession
 
@@ -10,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,3 +42,42 @@ def work_dir(spark, label):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="waybill-")
     return f"{shared.rstrip('/')}/waybill/{label}-{uuid.uuid4().hex}"
+
+
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def stored_bytes(spark, *paths):
+    """Size of files and folders, from the file system's own summary."""
+    total = 0
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(hadoop).getLength()
+    return total
+
+
+def shuffle_partitions(size, fewest):
+    return min(max(ceil(size / BYTES_PER_SHUFFLE_PARTITION), fewest), MOST_SHUFFLE_PARTITIONS)
+
+
+@contextmanager
+def shuffles_sized_for(spark, *paths):
+    """Let shuffles start from as many partitions as the input's size asks for.
+
+    Adaptive execution merges partitions that turn out small but cannot split those
+    of an aggregation, so the start must be fine enough for the whole input.
+    """
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    fewest = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = shuffle_partitions(stored_bytes(spark, *paths), fewest)
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    try:
+        yield partitions
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

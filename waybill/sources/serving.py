@@ -12,7 +12,7 @@ from operator import and_
 from waybill import fixed
 from waybill.functions.rendering import json_safe
 from waybill.operators.newest import newest_per_key
-from waybill.sources.tables import redistribute
+from waybill.sources.tables import redistribute, write_table
 
 _VERSION = re.compile(r"v(\d{10})")
 
@@ -60,7 +60,10 @@ def merged(current, new, keys):
 def upsert(spark, new, table_path, keys, partitions=None, newest_by=None, keep_versions=2):
     """Merge rows, unique by key, into a table, and make the result its current version.
 
-    `newest_by` reduces rows that are not unique by key to the newest of each key.
+    The table is written anew, which a load of whole gold tables amounts to anyway.
+    Files follow the partitions of the merge join, which adaptive execution sizes;
+    `partitions` spreads the rows over a fixed number instead, at the price of one
+    more shuffle. `newest_by` reduces rows that are not unique by key to the newest of each key.
     Repeating an upsert changes nothing.
     """
     if newest_by is not None:
@@ -68,9 +71,9 @@ def upsert(spark, new, table_path, keys, partitions=None, newest_by=None, keep_v
     committed = versions(spark, table_path)
     latest = committed[-1] if committed else 0
     rows = merged(read_current(spark, table_path), new, keys) if committed else new
-    redistribute(rows, partitions).write.mode("overwrite").parquet(
-        _version_path(table_path, latest + 1)
-    )
+    if partitions:
+        rows = redistribute(rows, partitions)
+    write_table(rows, _version_path(table_path, latest + 1))
     _forget(spark, table_path, committed, keep_versions - 1)
 
 
