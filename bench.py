@@ -12,6 +12,7 @@ import time
 from checks import inputs
 from checks.queries import drained
 from waybill import schemas
+from waybill.layout import Layout
 from waybill.operators.slicers import Selection, search, slicer_values
 from waybill.plans import pipeline, report
 from waybill.session import build_session, work_dir
@@ -36,7 +37,7 @@ def median_seconds(job):
 
 
 def prepare(spark, sf_dir):
-    layout = pipeline.Layout(work_dir(spark, "bench"))
+    layout = Layout(work_dir(spark, "bench"))
     inputs.bronze_shipments(spark, sf_dir).drop("order_key").write.json(layout.bronze_shipments)
     inputs.bronze_tracking(spark, sf_dir).write.json(layout.bronze_tracking)
     for step in pipeline.STEPS:

@@ -9,12 +9,13 @@ from checks import inputs
 from waybill import fixed, schemas
 from waybill.functions import measures, parsing, rendering
 from waybill.functions.parsing import quoted
+from waybill.layout import Layout
 from waybill.operators import kpis as kpi
 from waybill.operators import milestones, newest, ranking, slicers
 from waybill.operators.histogram import histogram
 from waybill.operators.slicers import Selection
 from waybill.plans import gold, pipeline, report, silver
-from waybill.session import work_dir
+from waybill.session import widen_shuffles, work_dir
 from waybill.sources import bronze, csv_feed, serving, tables, topic
 from waybill.streaming import feeds
 
@@ -29,7 +30,11 @@ def comparable(df):
 
 def query(name):
     def register(build):
-        QUERIES[name] = lambda spark, sf_dir: comparable(build(spark, sf_dir))
+        def run(spark, sf_dir):
+            widen_shuffles(spark, sf_dir)
+            return comparable(build(spark, sf_dir))
+
+        QUERIES[name] = run
         return build
 
     return register
@@ -61,7 +66,7 @@ def text_shipments(spark, sf_dir):
 
 
 def staged_silver(spark, sf_dir, label):
-    layout = pipeline.Layout(work_dir(spark, label))
+    layout = Layout(work_dir(spark, label))
     tables.write_table(inputs.shipments(spark, sf_dir), layout.silver_shipments)
     tables.write_table(inputs.tracking(spark, sf_dir), layout.silver_tracking)
     return layout
@@ -611,7 +616,7 @@ def r03(spark, sf_dir):
 
 @query("G01_silver_shipments")
 def g01(spark, sf_dir):
-    layout = pipeline.Layout(work_dir(spark, "g01"))
+    layout = Layout(work_dir(spark, "g01"))
     text_shipments(spark, sf_dir).write.json(layout.bronze_shipments)
     pipeline.clean_shipments(spark, layout)
     return tables.read_table(spark, layout.silver_shipments)
@@ -619,7 +624,7 @@ def g01(spark, sf_dir):
 
 @query("G02_silver_tracking")
 def g02(spark, sf_dir):
-    layout = pipeline.Layout(work_dir(spark, "g02"))
+    layout = Layout(work_dir(spark, "g02"))
     text_tracking(spark, sf_dir).write.json(layout.bronze_tracking)
     pipeline.clean_tracking(spark, layout)
     return tables.read_table(spark, layout.silver_tracking)

@@ -4,6 +4,7 @@ import pytest
 
 from tests.helpers import ROUTE, bag, finish, rows
 from waybill import fixed
+from waybill.layout import Layout
 from waybill.plans import gold, pipeline, report
 from waybill.plans.serving import load_serving
 from waybill.sources import serving, tables
@@ -93,7 +94,7 @@ def feed(spark, layout):
 
 
 def test_pipeline_from_bronze_to_serving(spark, folder):
-    layout = pipeline.Layout(folder("root"))
+    layout = Layout(folder("root"))
     pair = feed(spark, layout)
     for _ in range(2):
         pipeline.run(spark, layout.root)

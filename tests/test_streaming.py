@@ -1,11 +1,14 @@
 from pathlib import Path
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tests.helpers import bag, finish
-from waybill import schemas
-from waybill.plans import silver
-from waybill.sources import bronze, csv_feed, topic
+from tests.helpers import bag, finish, rows
+from waybill import fixed, schemas
+from waybill.layout import Layout
+from waybill.plans import pipeline, silver
+from waybill.sources import bronze, csv_feed, serving, topic
 from waybill.streaming import feeds
 
 HEADER = " event_id ,shipment_id,event_type, event_timestamp,location\n"
@@ -108,11 +111,40 @@ def test_declared_sink_flushes_by_time(spark, folder):
     assert bronze.read_bronze(spark, folder("sunk"), schemas.BRONZE_TRACKING).count() == 3
 
 
-def test_kafka_is_the_default_topic(spark, folder):
+def test_kafka_is_the_default_topic(spark):
     """Its connector is not on the classpath here, so the attempt names it."""
-    schema = schemas.BRONZE_TRACKING
-    options = {"subscribe": "tracking-events", "kafka.bootstrap.servers": "none:1"}
-    try:
-        topic.subscribe(spark, schema, **options)
-    except Exception as error:  # noqa: BLE001
-        assert "kafka" in str(error).lower()
+    options = {"subscribe": fixed.TRACKING_TOPIC, "kafka.bootstrap.servers": "none:1"}
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topic.subscribe(spark, schemas.BRONZE_TRACKING, **options)
+
+
+def test_from_csv_feeds_over_topics_to_serving(spark, folder):
+    layout = Layout(folder("root"))
+    paths = {name: folder(name) for name in feeds.SCHEMAS}
+    for path in paths.values():
+        Path(path).mkdir()
+    Path(paths[fixed.SHIPMENT_TOPIC], "a.csv").write_text(
+        "shipment_id,origin,destination,weight_kg,declared_value,shipping_date\n"
+        "S1, A ,B,1.5,10.25,2026-05-01\nS2,A,C,,x,2026-05-02\n",
+        encoding="utf-8",
+    )
+    Path(paths[fixed.TRACKING_TOPIC], "a.csv").write_text(
+        "event_id,shipment_id,event_type,event_timestamp,location\n"
+        "E1,S1,Picked Up,2026-05-01 08:00:00,H1\nE2,S1,Delivered,2026-05-03 20:00:00,H2\n",
+        encoding="utf-8",
+    )
+    for query in feeds.start_feeds(spark, layout, paths, fmt="text"):
+        finish(query)
+    for query in feeds.start_ingest(spark, layout, fmt="text"):
+        finish(query)
+    pipeline.run(spark, layout.root)
+    served = serving.fetch_all(spark, layout.serving)
+    assert rows(served["performance"].select(
+        "shipment_id", "origin", "declared_value", "delivery_duration_days", "is_delayed"
+    )) == [("S1", "A", 10.25, 2.5, False)]
+    assert bag(served["shipments"].select("shipment_id", "current_status")) == {
+        ("S1", "Delivered"): 1, ("S2", None): 1
+    }
+    assert bag(served["routes"]) == {
+        ("A", "B", "H1", 1, 10.25, 1.5): 1, ("A", "B", "H2", 1, 10.25, 1.5): 1
+    }

@@ -1,6 +1,7 @@
 """The runner: bronze files to silver, gold and serving tables under one root."""
 
 from waybill import schemas
+from waybill.layout import Layout
 from waybill.plans import gold, silver
 from waybill.plans.serving import load_serving
 from waybill.session import shuffles_sized_for
@@ -8,22 +9,6 @@ from waybill.sources.bronze import read_bronze
 from waybill.sources.tables import read_table, write_table
 
 
-class Layout:
-    """Where the tables of each layer live."""
-
-    def __init__(self, root):
-        self.root = root.rstrip("/")
-        self.bronze_shipments = f"{self.root}/bronze/shipment_events"
-        self.bronze_tracking = f"{self.root}/bronze/tracking_events"
-        self.silver_shipments = f"{self.root}/silver/shipment_events"
-        self.silver_tracking = f"{self.root}/silver/tracking_events"
-        self.gold = f"{self.root}/gold"
-        self.performance = f"{self.gold}/delivery_performance"
-        self.routes = f"{self.gold}/route_optimization"
-        self.snapshot = f"{self.gold}/shipment_snapshot"
-        self.serving = f"{self.root}/serving"
-
-
 def clean_shipments(spark, layout):
     with shuffles_sized_for(spark, layout.bronze_shipments):
         bronze = read_bronze(spark, layout.bronze_shipments, schemas.BRONZE_SHIPMENTS)

@@ -63,19 +63,26 @@ def shuffle_partitions(size, fewest):
     return min(max(ceil(size / BYTES_PER_SHUFFLE_PARTITION), fewest), MOST_SHUFFLE_PARTITIONS)
 
 
-@contextmanager
-def shuffles_sized_for(spark, *paths):
+def widen_shuffles(spark, *paths):
     """Let shuffles start from as many partitions as the input's size asks for.
 
     Adaptive execution merges partitions that turn out small but cannot split those
-    of an aggregation, so the start must be fine enough for the whole input.
+    of an aggregation, so the start must be fine enough for the whole input. The
+    session's own setting is never lowered.
     """
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    fewest = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    fewest = spark.conf.get(INITIAL_PARTITIONS, None)
+    fewest = int(fewest or spark.conf.get("spark.sql.shuffle.partitions"))
     partitions = shuffle_partitions(stored_bytes(spark, *paths), fewest)
     spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    return partitions
+
+
+@contextmanager
+def shuffles_sized_for(spark, *paths):
+    """`widen_shuffles` for the jobs of one block."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
     try:
-        yield partitions
+        yield widen_shuffles(spark, *paths)
     finally:
         if before is None:
             spark.conf.unset(INITIAL_PARTITIONS)

@@ -7,6 +7,7 @@ folder next to the old one: the file sink takes the restarted batch numbers for
 batches that its folder already holds, and would skip them.
 """
 
+from waybill import fixed, schemas
 from waybill.sources.bronze import append_bronze
 from waybill.sources.csv_feed import stream_csv_feed
 from waybill.sources.topic import publish_stream, subscribe
@@ -22,3 +23,52 @@ def topic_to_bronze(
 ):
     messages = subscribe(spark, schema, **topic)
     return append_bronze(messages, bronze_path, checkpoint, trigger, max_records_per_file)
+
+
+SCHEMAS = {
+    fixed.TRACKING_TOPIC: schemas.BRONZE_TRACKING,
+    fixed.SHIPMENT_TOPIC: schemas.BRONZE_SHIPMENTS,
+}
+
+
+def start_feeds(spark, layout, csv_paths, fmt="kafka", trigger=None, **options):
+    """One query per feed of `csv_paths` (topic name to folder), publishing to its topic.
+
+    Formats other than Kafka keep a folder per topic under the layout's root.
+    """
+    started = []
+    for name, csv_path in csv_paths.items():
+        place = {"topic": name} if fmt == "kafka" else {"path": f"{layout.topics}/{name}"}
+        checkpoint = f"{layout.checkpoints}/publish-{name}"
+        started.append(
+            feed_to_topic(
+                spark, csv_path, checkpoint, trigger=trigger, fmt=fmt, **place, **options
+            )
+        )
+    return started
+
+
+def start_ingest(spark, layout, fmt="kafka", trigger=None, max_records_per_file=None, **options):
+    """One query per topic, appending to its bronze folder."""
+    folders = {
+        fixed.TRACKING_TOPIC: layout.bronze_tracking,
+        fixed.SHIPMENT_TOPIC: layout.bronze_shipments,
+    }
+    started = []
+    for name, folder in folders.items():
+        place = {"subscribe": name} if fmt == "kafka" else {"path": f"{layout.topics}/{name}"}
+        checkpoint = f"{layout.checkpoints}/ingest-{name}"
+        started.append(
+            topic_to_bronze(
+                spark,
+                SCHEMAS[name],
+                folder,
+                checkpoint,
+                trigger,
+                max_records_per_file,
+                fmt=fmt,
+                **place,
+                **options,
+            )
+        )
+    return started
