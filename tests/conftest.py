@@ -9,13 +9,14 @@ from waybill.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")

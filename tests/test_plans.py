@@ -5,6 +5,7 @@ import re
 import pytest
 
 from tests.helpers import bag, events, plan, shipments
+from waybill.operators.newest import first_ranked
 from waybill.operators.slicers import Selection
 from waybill.plans import gold, report, silver
 from waybill.session import INITIAL_PARTITIONS, shuffle_partitions, shuffles_sized_for
@@ -113,6 +114,13 @@ def test_rankings_never_sort_everything(stored):
         assert "TakeOrderedAndProject" in plan(report.report(stored)[name])
 
 
+def test_the_window_form_limits_each_key_before_the_shuffle(stored):
+    ranked = first_ranked(stored["silver_tracking"], ["shipment_id"], ["event_timestamp"])
+    text = plan(ranked)
+    assert re.search(r"WindowGroupLimit.*Partial", text)
+    assert text.index("Exchange") < text.rindex("WindowGroupLimit")
+
+
 def test_no_python_and_no_nested_loops(stored):
     frames = list(report.report(stored).values())
     frames += [job(stored["silver_shipments"], stored["silver_tracking"]) for job in GOLD_JOBS.values()]

@@ -2,15 +2,15 @@ from pathlib import Path
 
 import pytest
 
-from tests.helpers import ROUTE, bag, finish, rows
+from tests.helpers import ROUTE, bag, events, finish, plan, rows, shipments
 from waybill import fixed
 from waybill.layout import Layout
+from waybill.operators.slicers import Selection, search
 from waybill.plans import gold, pipeline, report
 from waybill.plans.serving import load_serving
+from waybill.session import shuffles_sized_for
 from waybill.sources import serving, tables
 
-from tests.helpers import events, shipments
-
 
 def keyed(spark, *items):
     return spark.createDataFrame(list(items), "k string, v int")
@@ -109,3 +109,41 @@ def test_pipeline_from_bronze_to_serving(spark, folder):
     assert rows(loaded["origins"]) == [("A",)]
     text = serving.fetch_json_safe(spark, layout.serving)["performance"].first()
     assert text.picked_up_time == "2026-05-01T00:00:00"
+
+
+def test_bucketed_shipments_give_the_same_tables_with_one_shuffle_less(spark, folder):
+    plain, bucketed = Layout(folder("plain")), Layout(folder("bucketed"))
+    for layout in (plain, bucketed):
+        feed(spark, layout)
+    plain = pipeline.run(spark, plain.root)
+    bucketed = pipeline.run(spark, bucketed.root, buckets=4, shipments_table="bucketed_shipments")
+    expected, found = [serving.fetch_all(spark, layout.serving) for layout in (plain, bucketed)]
+    for name, df in expected.items():
+        assert bag(found[name]) == bag(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with shuffles_sized_for(spark, partitions=4):
+            pair = pipeline.silver_tables(spark, bucketed)
+            for job, exchanges in (
+                (gold.delivery_performance, 1),
+                (gold.route_optimization, 3),
+                (gold.shipment_snapshot, 1),
+            ):
+                assert plan(job(*pair)).count("Exchange") == exchanges
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_shipments")
+
+
+def test_a_kept_dashboard_answers_as_a_fresh_one(spark, folder):
+    layout = Layout(folder("root"))
+    feed(spark, layout)
+    pipeline.run(spark, layout.root)
+    fresh, kept = [report.load_dashboard(spark, layout.serving, keep) for keep in (False, True)]
+    for name, df in fresh["report"].items():
+        assert rows(kept["report"][name]) == rows(df), name
+    assert all(df.is_cached for df in kept["tables"].values())
+    chosen = report.report(kept["tables"], Selection(delay="Delayed"))
+    assert search(chosen["performance"], "^A$").count() == 1
+    for df in kept["tables"].values():
+        df.unpersist()

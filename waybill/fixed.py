@@ -11,6 +11,11 @@ SERVING_TABLES = {
 PICKED_UP = "Picked Up"
 DELIVERED = "Delivered"
 CANCELLED = "Cancelled"
+STATUS_NAMES = {
+    "event_type": "current_status",
+    "location": "current_location",
+    "event_timestamp": "last_updated_at",
+}
 SLA_DAYS = 5
 SECONDS_PER_DAY = 86400
 SHIPPING_DATE_PATTERN = "yyyy-MM-dd"

@@ -2,10 +2,16 @@
 
 
 class Layout:
-    """Paths under one root."""
+    """Paths under one root.
 
-    def __init__(self, root):
+    With `buckets`, silver shipments are a bucketed table of the catalog, named
+    `shipments_table`; it outlives the session only where the catalog does.
+    """
+
+    def __init__(self, root, buckets=None, shipments_table="silver_shipments"):
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.shipments_table = shipments_table
         self.topics = f"{self.root}/topics"
         self.checkpoints = f"{self.root}/checkpoints"
         self.bronze_shipments = f"{self.root}/bronze/shipment_events"

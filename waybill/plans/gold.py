@@ -11,6 +11,7 @@ from waybill.functions.measures import breaches_sla, elapsed_days
 from waybill.functions.parsing import to_double
 from waybill.operators.milestones import milestone_times
 from waybill.operators.newest import newest_per_key
+from waybill.schemas import SHIPMENT_SNAPSHOT
 
 
 def performance_of(shipments, times, sla_days=fixed.SLA_DAYS):
@@ -70,14 +71,8 @@ def latest_events(tracking):
 
 
 def status_columns(joined):
-    return joined.select(
-        "shipment_id",
-        "origin",
-        "destination",
-        F.col("event_type").alias("current_status"),
-        F.col("location").alias("current_location"),
-        F.col("event_timestamp").alias("last_updated_at"),
-    )
+    """Event columns under the names they have as a shipment's status."""
+    return joined.withColumnsRenamed(fixed.STATUS_NAMES).select(*SHIPMENT_SNAPSHOT.names)
 
 
 def snapshot_of(shipments, latest):

@@ -6,13 +6,19 @@ from waybill.plans import gold, silver
 from waybill.plans.serving import load_serving
 from waybill.session import shuffles_sized_for
 from waybill.sources.bronze import read_bronze
-from waybill.sources.tables import read_table, write_table
+from waybill.sources.tables import read_table, write_bucketed, write_table
 
 
 def clean_shipments(spark, layout):
-    with shuffles_sized_for(spark, layout.bronze_shipments):
+    with shuffles_sized_for(spark, layout.bronze_shipments, partitions=layout.buckets):
         bronze = read_bronze(spark, layout.bronze_shipments, schemas.BRONZE_SHIPMENTS)
-        write_table(silver.silver_shipments(bronze), layout.silver_shipments)
+        rows = silver.silver_shipments(bronze)
+        if layout.buckets:
+            write_bucketed(
+                rows, layout.shipments_table, layout.silver_shipments, "shipment_id", layout.buckets
+            )
+        else:
+            write_table(rows, layout.silver_shipments)
 
 
 def clean_tracking(spark, layout):
@@ -21,11 +27,19 @@ def clean_tracking(spark, layout):
         write_table(silver.silver_tracking(bronze), layout.silver_tracking)
 
 
+def silver_tables(spark, layout):
+    if layout.buckets:
+        shipments = spark.table(layout.shipments_table)
+    else:
+        shipments = read_table(spark, layout.silver_shipments)
+    return shipments, read_table(spark, layout.silver_tracking)
+
+
 def _build(spark, layout, job, path):
     """Gold jobs read only their own columns of silver, so each scans it for itself."""
-    silver_paths = layout.silver_shipments, layout.silver_tracking
-    with shuffles_sized_for(spark, *silver_paths):
-        write_table(job(*[read_table(spark, source) for source in silver_paths]), path)
+    inputs = layout.silver_shipments, layout.silver_tracking
+    with shuffles_sized_for(spark, *inputs, partitions=layout.buckets):
+        write_table(job(*silver_tables(spark, layout)), path)
 
 
 def build_performance(spark, layout):
@@ -48,9 +62,9 @@ def serve(spark, layout, partitions=None):
 STEPS = [clean_shipments, clean_tracking, build_performance, build_routes, build_snapshot, serve]
 
 
-def run(spark, root):
+def run(spark, root, **layout_options):
     """Every step writes its table, so a failed run resumes from the layer before."""
-    layout = Layout(root)
+    layout = Layout(root, **layout_options)
     for step in STEPS:
         step(spark, layout)
     return layout

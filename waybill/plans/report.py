@@ -96,9 +96,16 @@ def long_form(datasets):
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def dashboard(tables):
-    """The unfiltered report together with the values the place slicers offer."""
+def dashboard(tables, keep=False):
+    """The unfiltered report together with the values the place slicers offer.
+
+    `keep` holds the tables in executor memory, spilling to their disks, for a
+    session that goes on to other selections. A search within a selection is
+    `search(report(tables, selection)[name], query)`.
+    """
     tables = {name: restored(name, df) for name, df in tables.items()}
+    if keep:
+        tables = {name: df.persist() for name, df in tables.items()}
     sources = (tables["shipments"], tables["performance"])
     return {
         "tables": tables,
@@ -108,5 +115,5 @@ def dashboard(tables):
     }
 
 
-def load_dashboard(spark, serving_root):
-    return dashboard(fetch_all(spark, serving_root))
+def load_dashboard(spark, serving_root, keep=False):
+    return dashboard(fetch_all(spark, serving_root), keep)

@@ -78,11 +78,15 @@ def widen_shuffles(spark, *paths):
 
 
 @contextmanager
-def shuffles_sized_for(spark, *paths):
-    """`widen_shuffles` for the jobs of one block."""
+def shuffles_sized_for(spark, *paths, partitions=None):
+    """`widen_shuffles`, or an exact number of partitions, for the jobs of one block."""
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     try:
-        yield widen_shuffles(spark, *paths)
+        if partitions:
+            spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+            yield partitions
+        else:
+            yield widen_shuffles(spark, *paths)
     finally:
         if before is None:
             spark.conf.unset(INITIAL_PARTITIONS)
