@@ -198,13 +198,16 @@ def test_a_join_of_single_events_splits_a_hot_shipment(spark, no_broadcast):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_shuffles_follow_the_size_of_their_input(spark, stored, tmp_path):
+def test_shuffles_follow_the_size_of_their_input(spark, tmp_path):
     gib = 1024**3
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(100 * gib, 8) == 400
     assert shuffle_partitions(100 * 1024 * gib, 8) == 50_000
     spark.range(10).write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
     with shuffles_sized_for(spark, str(tmp_path / "t")) as partitions:
         assert partitions == 8
         assert spark.conf.get(INITIAL_PARTITIONS) == "8"
-    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    with shuffles_sized_for(spark, partitions=3):
+        assert spark.conf.get(INITIAL_PARTITIONS) == "3"
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before

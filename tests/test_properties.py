@@ -15,7 +15,7 @@ from waybill.sources.serving import merged
 
 START = datetime(2026, 5, 1)
 few = settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 keys = st.sampled_from(["a", "b", "c", "d", None])
