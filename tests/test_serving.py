@@ -60,6 +60,13 @@ def test_upsert_reduces_repeated_keys_when_told_the_order(spark, folder):
     assert rows(serving.read_current(spark, path)) == [("a", 3)]
 
 
+def test_rows_are_sorted_within_files_when_asked(spark, folder):
+    path = folder("t")
+    rows_in = keyed(spark, *[(f"k{n}", n * 7 % 10) for n in range(10)])
+    serving.upsert(spark, rows_in, path, ["k"], partitions=1, sort_by=["v"])
+    assert [row.v for row in serving.read_current(spark, path).collect()] == list(range(10))
+
+
 def test_unknown_names_are_turned_away(spark, folder):
     with pytest.raises(ValueError, match="shipments, performance, routes"):
         serving.fetch(spark, folder("none"), "orders")
@@ -69,7 +76,8 @@ def test_unknown_names_are_turned_away(spark, folder):
 
 def test_streamed_upserts(spark, folder):
     source, path = folder("in"), folder("t")
-    for batch in ([("a", 1), ("a", 2), ("b", 1)], [("a", 3), ("c", 1)]):
+    late = [("a", 2), ("b", 0)]
+    for batch in ([("a", 1), ("a", 2), ("b", 1)], [("a", 3), ("c", 1)], late):
         keyed(spark, *batch).write.mode("append").json(source)
         stream = spark.readStream.schema("k string, v int").json(source)
         finish(serving.upsert_stream(stream, path, ["k"], folder("checkpoint"), newest_by=["v"]))

@@ -57,22 +57,41 @@ def merged(current, new, keys):
     return held.join(incoming, same_key, "left_anti").unionByName(new)
 
 
-def upsert(spark, new, table_path, keys, partitions=None, newest_by=None, keep_versions=2):
-    """Merge rows, unique by key, into a table, and make the result its current version.
+def upsert(
+    spark,
+    new,
+    table_path,
+    keys,
+    partitions=None,
+    newest_by=None,
+    sort_by=(),
+    keep_versions=2,
+):
+    """Merge rows into a table by key, and make the result its current version.
+
+    Incoming rows, unique by key, replace stored ones. With `newest_by`, rows need not
+    be unique and may arrive late: of all rows for a key, stored or incoming, the
+    newest stays.
 
     The table is written anew, which a load of whole gold tables amounts to anyway.
     Files follow the partitions of the merge join, which adaptive execution sizes;
     `partitions` spreads the rows over a fixed number instead, at the price of one
-    more shuffle. `newest_by` reduces rows that are not unique by key to the newest of each key.
-    Repeating an upsert changes nothing.
+    more shuffle. `sort_by` orders rows within each file, so that reads which filter on
+    these columns skip pages. Repeating an upsert changes nothing.
     """
-    if newest_by is not None:
-        new = newest_per_key(new, keys, newest_by)
     committed = versions(spark, table_path)
     latest = committed[-1] if committed else 0
-    rows = merged(read_current(spark, table_path), new, keys) if committed else new
+    rows = new
+    if newest_by is not None:
+        if committed:
+            rows = read_current(spark, table_path).unionByName(new)
+        rows = newest_per_key(rows, keys, newest_by)
+    elif committed:
+        rows = merged(read_current(spark, table_path), new, keys)
     if partitions:
         rows = redistribute(rows, partitions)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*sort_by)
     write_table(rows, _version_path(table_path, latest + 1))
     _forget(spark, table_path, committed, keep_versions - 1)
 
@@ -84,7 +103,11 @@ def _forget(spark, table_path, older, keep):
 
 
 def upsert_stream(stream, table_path, keys, checkpoint, newest_by, trigger=None, **upsert_options):
-    """Upsert every micro-batch; a batch that is run again after a failure leaves the same table."""
+    """Upsert every micro-batch, whatever order the rows arrive in.
+
+    A batch that is run again after a failure leaves the same table. Every batch
+    rewrites the table, so give a large one few and large batches.
+    """
 
     def load(batch, _batch_id):
         upsert(batch.sparkSession, batch, table_path, keys, newest_by=newest_by, **upsert_options)
