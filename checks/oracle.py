@@ -261,6 +261,7 @@ for name in (
 oracle("S07_table_overwrite", "SELECT * FROM tracking")
 oracle("S08_table_scan", "SELECT * FROM events")
 oracle("S09_keyed_upsert", "SELECT * FROM performance")
+oracle("S09_streamed_upsert", "SELECT * FROM latest")
 oracle("S10_redistribute", "SELECT * FROM snapshot")
 oracle("S11_serving_scan", "SELECT * FROM routes")
 oracle("S12_all_tables_bundle", bundle())

@@ -195,6 +195,24 @@ def s09(spark, sf_dir):
     return serving.read_current(spark, path)
 
 
+@query("S09_streamed_upsert")
+def s09_streamed(spark, sf_dir):
+    """The newest event of each shipment, kept up to date from the topic."""
+    path = work_dir(spark, "s09-stream")
+    message_folder(spark, sf_dir, f"{path}/topic")
+    messages = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic")
+    drained(
+        serving.upsert_stream(
+            silver.typed_tracking(messages),
+            f"{path}/table",
+            ["shipment_id"],
+            f"{path}/checkpoint",
+            newest_by=["event_timestamp", "event_id"],
+        )
+    )
+    return serving.read_current(spark, f"{path}/table")
+
+
 @query("S10_redistribute")
 def s10(spark, sf_dir):
     return tables.redistribute(inputs.snapshot(spark, sf_dir), 2)
