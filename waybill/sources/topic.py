@@ -18,13 +18,21 @@ def to_messages(df):
     return df.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def parsed_once(text, schema, error_field):
+    """One column `message` for `select`: JSON text as a struct under `schema`, with the
+    text itself in `error_field` where it is not a JSON object.
+
+    The struct comes out of a generator, which filters on its fields do not pass.
+    As a plain expression it would be copied into each of them and parsed anew.
+    """
+    options = {"columnNameOfCorruptRecord": error_field}
+    message = F.from_json(text, with_text_field(schema, error_field), options)
+    return F.inline(F.array(F.struct(message.alias("message"))))
+
+
 def from_messages(messages, schema):
     """Decode the values; what is not a JSON object is left out."""
-    wide = with_text_field(schema, NOT_JSON)
-    options = {"columnNameOfCorruptRecord": NOT_JSON}
-    decoded = messages.select(
-        F.from_json(F.col("value").cast("string"), wide, options).alias("message")
-    )
+    decoded = messages.select(parsed_once(F.col("value").cast("string"), schema, NOT_JSON))
     return (
         decoded.filter(F.col("message").isNotNull() & F.col(f"message.{NOT_JSON}").isNull())
         .select("message.*")
