@@ -65,6 +65,10 @@ def text_shipments(spark, sf_dir):
     return inputs.bronze_shipments(spark, sf_dir).drop("order_key")
 
 
+def message_folder(spark, sf_dir, path):
+    topic.publish(text_tracking(spark, sf_dir), fmt="text", path=path)
+
+
 def staged_silver(spark, sf_dir, label):
     layout = Layout(work_dir(spark, label))
     tables.write_table(inputs.shipments(spark, sf_dir), layout.silver_shipments)
@@ -106,14 +110,14 @@ def s01(spark, sf_dir):
 @query("S02_publish_json_messages")
 def s02(spark, sf_dir):
     path = work_dir(spark, "s02")
-    topic.publish(text_tracking(spark, sf_dir), fmt="text", path=path)
+    message_folder(spark, sf_dir, path)
     return spark.read.text(path)
 
 
 @query("S03_consume_topic")
 def s03(spark, sf_dir):
     path = work_dir(spark, "s03")
-    topic.publish(text_tracking(spark, sf_dir), fmt="text", path=f"{path}/topic")
+    message_folder(spark, sf_dir, f"{path}/topic")
     stream = topic.subscribe(
         spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic"
     )
@@ -126,10 +130,6 @@ def s03(spark, sf_dir):
     return spark.read.parquet(f"{path}/received")
 
 
-def message_folder(spark, sf_dir, path):
-    topic.publish(text_tracking(spark, sf_dir), fmt="text", path=path)
-
-
 @query("S04_append_bronze_json")
 def s04(spark, sf_dir):
     path = work_dir(spark, "s04")
@@ -265,8 +265,8 @@ def p03(spark, sf_dir):
 
 @query("P04_renaming_projection")
 def p04(spark, sf_dir):
-    joined = inputs.shipments(spark, sf_dir).join(inputs.tracking(spark, sf_dir), "shipment_id")
-    return gold.status_columns(joined)
+    shipments, tracking = pipeline.silver_tables(spark, staged_silver(spark, sf_dir, "p04"))
+    return gold.status_columns(gold.events_with_shipments(shipments, tracking))
 
 
 @query("P05_renamed_pivot_columns")
@@ -436,9 +436,8 @@ def j01(spark, sf_dir):
 
 @query("J02_events_with_shipments")
 def j02(spark, sf_dir):
-    return inputs.tracking(spark, sf_dir).join(
-        inputs.shipments(spark, sf_dir), "shipment_id", "inner"
-    )
+    shipments, tracking = pipeline.silver_tables(spark, staged_silver(spark, sf_dir, "j02"))
+    return gold.events_with_shipments(shipments, tracking)
 
 
 @query("J03_shipments_with_latest_event")

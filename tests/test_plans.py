@@ -177,21 +177,26 @@ def test_a_hot_shipment_does_not_change_the_route_metrics(spark):
     assert bag(gold.route_optimization(shipped, tracked)) == bag(expected)
 
 
-def test_a_join_of_single_events_splits_a_hot_shipment(spark, no_broadcast):
+def test_a_join_of_single_events_splits_a_hot_shipment(spark, no_broadcast, tmp_path):
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
+    write_table(hot(spark).repartition(8), str(tmp_path / "tracking"))
+    shipped = spark.sql(
+        "SELECT CAST(id AS string) AS shipment_id, id AS weight FROM range(1000) "
+        "UNION ALL SELECT 'hot', 0L"
+    )
+    write_table(shipped, str(tmp_path / "shipments"))
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        shipped = spark.range(1000).selectExpr("CAST(id AS string) AS shipment_id", "id AS weight")
-        shipped = shipped.union(spark.sql("SELECT 'hot', 0L"))
-        joined = hot(spark).repartition(8).join(shipped, "shipment_id")
-        assert joined.count() == 30_000
-        joined.collect()
+        joined = gold.events_with_shipments(
+            *[read_table(spark, str(tmp_path / name)) for name in ("shipments", "tracking")]
+        )
+        assert len(joined.collect()) == 30_000
         assert "skew=true" in plan(joined)
     finally:
         for key, value in before.items():
