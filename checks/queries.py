@@ -341,7 +341,7 @@ def p13(spark, sf_dir):
 
 @query("P14_unknown_delay_is_false")
 def p14(spark, sf_dir):
-    return report.restored("performance", inputs.performance(spark, sf_dir)).select(
+    return report.settled(inputs.performance(spark, sf_dir)).select(
         "shipment_id", "delivery_duration_days", "is_delayed"
     )
 

@@ -173,6 +173,10 @@ def test_tables_read_back_as_text(spark):
         [("1", "2026-05-01T10:00:00", True), ("2", "soon", None), ("3", None, False)],
         "shipment_id string, picked_up_time string, is_delayed boolean",
     )
-    assert sorted(rows(report.restored("performance", frame))) == [
-        ("1", at("2026-05-01 10:00:00"), True), ("2", None, False), ("3", None, False)
+    read_back = report.restored("performance", frame)
+    assert sorted(rows(read_back)) == [
+        ("1", at("2026-05-01 10:00:00"), True), ("2", None, None), ("3", None, False)
+    ]
+    assert sorted(rows(report.settled(read_back.drop("picked_up_time")))) == [
+        ("1", True), ("2", False), ("3", False)
     ]

@@ -18,10 +18,9 @@ def _bin_width(low, high, max_bins):
 
     def candidate(mantissa, shift):
         power = exponent + F.lit(shift)
-        return F.struct(
-            (F.lit(float(mantissa)) * F.pow(F.lit(10.0), F.greatest(power, F.lit(0)))).alias("num"),
-            F.pow(F.lit(10.0), F.greatest(-power, F.lit(0))).alias("den"),
-        )
+        above = F.pow(F.lit(10.0), F.greatest(power, F.lit(0)))
+        below = F.pow(F.lit(10.0), F.greatest(-power, F.lit(0)))
+        return F.struct((F.lit(float(mantissa)) * above).alias("num"), below.alias("den"))
 
     def fits(width):
         first, last = bin_index(low, width), bin_index(high, width)

@@ -75,7 +75,8 @@ def search(df, query, regex=True):
 
 def slicer_values(column, *tables):
     """Sorted distinct non-null values of a column over the tables that have it."""
-    parts = [df.select(as_text(quoted(column)).alias(column)) for df in tables if column in df.columns]
+    holders = [df for df in tables if column in df.columns]
+    parts = [df.select(as_text(quoted(column)).alias(column)) for df in holders]
     if not parts:
         raise ValueError(f"no table has a column '{column}'")
     merged = reduce(lambda left, right: left.unionByName(right), parts)

@@ -21,10 +21,19 @@ INSTANT_COLUMNS = {
 
 
 def restored(name, df):
-    """A table as the report needs it: instants that came as text parsed, unknown delays settled."""
+    """A table with its instants parsed where they came as text."""
     for column in INSTANT_COLUMNS[name]:
         if column in df.columns and isinstance(df.schema[column].dataType, StringType):
             df = df.withColumn(column, to_instant(F.col(column)))
+    return df
+
+
+def settled(df):
+    """A table for display, where an unknown delay is none.
+
+    The datasets and slicers treat unknown delays by themselves. Settling them before
+    the slicers would keep those from the scan.
+    """
     if "is_delayed" in df.columns:
         df = df.withColumn("is_delayed", known_delay(F.col("is_delayed")))
     return df
@@ -54,7 +63,7 @@ def report(tables, selection=Selection()):
         "value_at_risk_by_location": ranking.value_at_risk_by_location(routes),
         "daily_volume": ranking.daily_volume(performance),
         "busiest_routes": ranking.busiest_routes(routes),
-        **visible,
+        **{name: settled(df) for name, df in visible.items()},
     }
 
 

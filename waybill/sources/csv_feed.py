@@ -22,7 +22,8 @@ def _csv(reader, multi_line):
 
 def header_schema(spark, path):
     """The feed's own column names; only the first line is read."""
-    return all_strings(spark.read.option("header", True).option("escape", '"').csv(path).columns)
+    reader = spark.read.option("header", True).option("escape", '"')
+    return all_strings(reader.csv(path).columns)
 
 
 def clean_rows(raw):
@@ -47,7 +48,8 @@ def read_csv_feed(spark, path, schema=None, multi_line=False):
 
 
 def stream_csv_feed(spark, path, schema=None, multi_line=False, **options):
-    """Follow a folder of CSV files; `options` are file-source options such as maxFilesPerTrigger."""
+    """Follow a folder of CSV files. `options` are those of a file source, for instance
+    maxFilesPerTrigger, which splits a large backlog into several micro-batches."""
     schema = schema or header_schema(spark, path)
     reader = _csv(spark.readStream, multi_line).schema(with_text_field(schema, BROKEN_ROW))
     return clean_rows(reader.options(**options).csv(path))

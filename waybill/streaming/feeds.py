@@ -13,7 +13,9 @@ from waybill.sources.csv_feed import stream_csv_feed
 from waybill.sources.topic import publish_stream, subscribe
 
 
-def feed_to_topic(spark, csv_path, checkpoint, schema=None, feed_options=None, trigger=None, **topic):
+def feed_to_topic(
+    spark, csv_path, checkpoint, schema=None, feed_options=None, trigger=None, **topic
+):
     rows = stream_csv_feed(spark, csv_path, schema, **(feed_options or {}))
     return publish_stream(rows, checkpoint, trigger=trigger, **topic)
 
