@@ -1,6 +1,6 @@
 """The corpus operators as queries over the given tables, with their SQL where it can say them."""
 
-from waybill.llm import near_dup, quality
+from waybill.llm import decontaminate, mixing, near_dup, quality, sharding
 from waybill.llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -16,11 +16,27 @@ def query(name, sql=None):
     return register
 
 
+@query("op1_decontamination", decontaminate.LEAKS_SQL)
+def op1(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return decontaminate.leaks(documents, table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_near_duplicates")
 def op2(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_mixing")
+def op3(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+@query("op5_sharding")
+def op5(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 @query("op6_quality")
 def op6(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
