@@ -1,6 +1,15 @@
 """The corpus operators as queries over the given tables, with their SQL where it can say them."""
 
-from waybill.llm import decontaminate, mixing, near_dup, quality, sharding
+from waybill.llm import (
+    decontaminate,
+    mixing,
+    near_dup,
+    pii,
+    quality,
+    reputation,
+    rules,
+    sharding,
+)
 from waybill.llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -41,3 +50,18 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return quality.rated(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
+@query("op7_quality_rules", rules.JUDGED_SQL)
+def op7(spark, sf_dir):
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op8_pseudonyms")
+def op8(spark, sf_dir):
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), pii.DEMONSTRATION_KEY)
+
+
+@query("op10_url_reputation", reputation.JUDGED_SQL)
+def op10(spark, sf_dir):
+    return reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
