@@ -140,11 +140,10 @@ def rounded(level):
         for batch in batches:
             settled = []
             for row in batch.itertuples(index=False):
-                doc_id = None if pd.isna(row.doc_id) else int(row.doc_id)
-                source = None if row.source is None or row.source is pd.NA else row.source
-                own = (source, row.rows, doc_id, row.mark, row.size, row.place, row.whole)
+                doc_id = None if row.absent else row.id
+                own = (row.source, row.rows, doc_id, row.mark, row.size, row.place, row.whole)
                 one = Row(doc_id, row.mark, row.size, own)
-                settled += pivot.take((source, row.place), one, row.fraction)
+                settled += pivot.take((row.source, row.place), one, row.fraction)
             yield frame(settled)
         yield frame(pivot.left())
 
@@ -185,6 +184,10 @@ def decided(rows):
         dealt = open_rows.repartition("source", "place").sortWithinPartitions(
             F.col("source").asc_nulls_last(), "place", F.desc("size"), "mark", "doc_id"
         )
+        # Without null ids, so that pandas keeps whole numbers.
+        dealt = dealt.select(
+            "*", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("absent")
+        ).drop("doc_id")
         result = stored(dealt.mapInPandas(rounded(level), OUT), "rounded")
         done.append(result.where("copies IS NOT NULL").select("source", "doc_id", "mark", "size", "copies"))
         open_rows = result.where("copies IS NULL").drop("copies")

@@ -9,6 +9,7 @@ from waybill.llm import (
     reputation,
     rules,
     sharding,
+    token_file,
 )
 from waybill.llm.frames import table
 
@@ -62,6 +63,11 @@ def op8(spark, sf_dir):
     return pii.pseudonyms(table(spark, sf_dir, "documents"), pii.DEMONSTRATION_KEY)
 
 
+@query("op9_token_files")
+def op9(spark, sf_dir):
+    return token_file.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query("op10_url_reputation", reputation.JUDGED_SQL)
 def op10(spark, sf_dir):
     return reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
