@@ -9,6 +9,7 @@ from waybill.llm import (
     reputation,
     rules,
     sharding,
+    suffix_dedup,
     token_file,
 )
 from waybill.llm.frames import table
@@ -42,6 +43,11 @@ def op3(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+@query("op4_suffix_dedup")
+def op4(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op5_sharding")
 def op5(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"))
