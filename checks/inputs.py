@@ -23,7 +23,8 @@ def given(spark, sf_dir, name):
 
 
 def bronze_shipments(spark, sf_dir):
-    """All text but `order_key`, which breaks ties between orders of one day."""
+    """All text but `order_key`, which breaks ties between orders of one day. Orders without
+    lines have no weight."""
     weights = (
         given(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -37,7 +38,7 @@ def bronze_shipments(spark, sf_dir):
     )
     return (
         given(spark, sf_dir, "orders")
-        .join(weights, "o_orderkey")
+        .join(weights, "o_orderkey", "left")
         .join(customers, "o_custkey")
         .join(nations, "c_nationkey")
         .select(

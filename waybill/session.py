@@ -1,5 +1,6 @@
 """Session settings and the shared working folder."""
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -33,19 +34,19 @@ def build_session(app_name="waybill", master=None, **settings):
 def work_dir(spark, label):
     """A new path under the folder that every executor shares.
 
-    The cluster names that folder in `spark.checkpoint.dir`. A machine-local
-    folder is only right where driver and executors are one process.
+    The cluster names that folder in `spark.checkpoint.dir`, or the session's owner sets it
+    with `setCheckpointDir`. A machine-local folder is only right where driver and executors
+    are one process.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="waybill-")
     return f"{shared.rstrip('/')}/waybill/{label}-{uuid.uuid4().hex}"
 
 
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -60,33 +61,25 @@ def stored_bytes(spark, *paths):
 
 
 def shuffle_partitions(size, fewest):
-    return min(max(ceil(size / BYTES_PER_SHUFFLE_PARTITION), fewest), MOST_SHUFFLE_PARTITIONS)
+    return max(ceil(size / BYTES_PER_SHUFFLE_PARTITION), fewest)
 
 
-def widen_shuffles(spark, *paths):
-    """Let shuffles start from as many partitions as the input's size asks for.
+@contextmanager
+def shuffles_sized_for(spark, *paths, partitions=None):
+    """Let the shuffles of one block's jobs start from as many partitions as the size of
+    `paths` asks for, or from an exact number.
 
     Adaptive execution merges partitions that turn out small but cannot split those
-    of an aggregation, so the start must be fine enough for the whole input. The
-    session's own setting is never lowered.
+    of an aggregation, so the start must be fine enough for the whole input. Without an
+    exact number the session's own setting is never lowered.
     """
-    fewest = spark.conf.get(INITIAL_PARTITIONS, None)
-    fewest = int(fewest or spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = shuffle_partitions(stored_bytes(spark, *paths), fewest)
-    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-    return partitions
-
-
-@contextmanager
-def shuffles_sized_for(spark, *paths, partitions=None):
-    """`widen_shuffles`, or an exact number of partitions, for the jobs of one block."""
     before = spark.conf.get(INITIAL_PARTITIONS, None)
+    if not partitions:
+        fewest = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = shuffle_partitions(stored_bytes(spark, *paths), fewest)
     try:
-        if partitions:
-            spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-            yield partitions
-        else:
-            yield widen_shuffles(spark, *paths)
+        spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+        yield partitions
     finally:
         if before is None:
             spark.conf.unset(INITIAL_PARTITIONS)
