@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.helpers import bag, finish, rows
@@ -39,8 +39,7 @@ def run_feed(spark, folder, path, checkpoint="c1", to="topic"):
 def run_sink(spark, folder, checkpoint="c2", to="bronze", **options):
     finish(
         feeds.topic_to_bronze(
-            spark, schemas.BRONZE_TRACKING, folder(to), folder(checkpoint),
-            fmt="text", path=folder("topic"), **options,
+            spark, folder(to), folder(checkpoint), fmt="text", path=folder("topic"), **options
         )
     )
     return bronze.read_bronze(spark, folder(to), schemas.BRONZE_TRACKING)
@@ -92,11 +91,9 @@ def test_bronze_files_can_be_followed_as_a_stream(spark, folder):
 
 def test_declared_sink_bounds_records_per_file(spark, folder):
     run_feed(spark, folder, add_file(folder, "a.csv", *range(35)))
-    stream = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=folder("topic"))
-    finish(
-        bronze.declared_sink(stream, folder("sunk"), folder("c5"), flush_interval=None)
-    )
-    landed = bronze.read_bronze(spark, folder("sunk"), schemas.BRONZE_TRACKING)
+    stream = topic.follow(spark, fmt="text", path=folder("topic"))
+    finish(bronze.declared_sink(stream, folder("sunk"), folder("c5"), fixed.SINK_FLUSH_RECORDS))
+    landed = spark.read.option("recursiveFileLookup", True).text(folder("sunk"))
     per_file = landed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
     assert landed.count() == 35
     assert per_file <= 10
@@ -104,8 +101,8 @@ def test_declared_sink_bounds_records_per_file(spark, folder):
 
 def test_declared_sink_flushes_by_time(spark, folder):
     run_feed(spark, folder, add_file(folder, "a.csv", *range(3)))
-    stream = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=folder("topic"))
-    query = bronze.declared_sink(stream, folder("sunk"), folder("c6"), flush_interval="1 second")
+    stream = topic.follow(spark, fmt="text", path=folder("topic"))
+    query = bronze.declared_sink(stream, folder("sunk"), folder("c6"), 10, "1 second")
     query.processAllAvailable()
     query.stop()
     assert bronze.read_bronze(spark, folder("sunk"), schemas.BRONZE_TRACKING).count() == 3
@@ -120,7 +117,7 @@ def test_kafka_is_the_default_topic(spark):
 
 def test_from_csv_feeds_over_topics_to_serving(spark, folder):
     layout = Layout(folder("root"))
-    paths = {name: folder(name) for name in feeds.SCHEMAS}
+    paths = {name: folder(name) for name in feeds.TOPICS}
     for path in paths.values():
         Path(path).mkdir()
     Path(paths[fixed.SHIPMENT_TOPIC], "a.csv").write_text(
@@ -148,3 +145,33 @@ def test_from_csv_feeds_over_topics_to_serving(spark, folder):
     assert bag(served["routes"]) == {
         ("A", "B", "H1", 1, 10.25, 1.5): 1, ("A", "B", "H2", 1, 10.25, 1.5): 1
     }
+
+
+def test_messages_land_whole_and_broken_ones_aside(spark, folder):
+    path = Path(folder("topic"))
+    path.mkdir()
+    sound = ['{"event_id": "1", "later": {"x": [1, 2]}}', '{"other": null}']
+    broken = ["[1]", "oops", '{"event_id": "1"']
+    (path / "a.txt").write_text("\n".join(sound + broken), encoding="utf-8")
+    run_sink(spark, folder)
+    read = spark.read.option("recursiveFileLookup", True)
+    assert sorted(row.value for row in read.text(folder("bronze")).collect()) == sorted(sound)
+    rejects = bronze.rejects_of(folder("bronze"))
+    assert sorted(row.value for row in read.text(rejects).collect()) == sorted(broken)
+
+
+def test_a_second_query_keeps_the_batches_of_the_first(spark, folder):
+    run_feed(spark, folder, add_file(folder, "a.csv", *range(4)))
+    run_sink(spark, folder, checkpoint="c1-sink")
+    assert run_sink(spark, folder, checkpoint="c2-sink").count() == 8
+
+
+def test_a_foreign_header_ends_the_stream_and_names_the_file(spark, folder):
+    path = add_file(folder, "a.csv", *range(4))
+    Path(path, "b.csv").write_text("shipment_id,event_id\ns,e\n", encoding="utf-8")
+    query = feeds.feed_to_topic(
+        spark, path, folder("c1"), schemas.all_strings(HEADER.strip("\n").split(",")),
+        fmt="text", path=folder("topic"),
+    )
+    with pytest.raises(StreamingQueryException, match="b.csv"):
+        query.awaitTermination()

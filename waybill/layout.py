@@ -4,11 +4,14 @@
 class Layout:
     """Paths under one root.
 
+    `replays` names further bronze folders under the same root, one per replayed feed, which
+    are read next to the first.
+
     With `buckets`, silver shipments are a bucketed table of the catalog, named
     `shipments_table`; it outlives the session only where the catalog does.
     """
 
-    def __init__(self, root, buckets=None, shipments_table="silver_shipments"):
+    def __init__(self, root, buckets=None, shipments_table="silver_shipments", replays=()):
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.shipments_table = shipments_table
@@ -16,6 +19,8 @@ class Layout:
         self.checkpoints = f"{self.root}/checkpoints"
         self.bronze_shipments = f"{self.root}/bronze/shipment_events"
         self.bronze_tracking = f"{self.root}/bronze/tracking_events"
+        self.shipment_folders = [self.bronze_shipments, *self._replayed("shipment_events", replays)]
+        self.tracking_folders = [self.bronze_tracking, *self._replayed("tracking_events", replays)]
         self.silver_shipments = f"{self.root}/silver/shipment_events"
         self.silver_tracking = f"{self.root}/silver/tracking_events"
         self.gold = f"{self.root}/gold"
@@ -23,3 +28,6 @@ class Layout:
         self.routes = f"{self.gold}/route_optimization"
         self.snapshot = f"{self.gold}/shipment_snapshot"
         self.serving = f"{self.root}/serving"
+
+    def _replayed(self, feed, replays):
+        return [f"{self.root}/bronze-{name}/{feed}" for name in replays]

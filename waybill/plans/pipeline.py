@@ -10,8 +10,8 @@ from waybill.sources.tables import read_table, write_bucketed, write_table
 
 
 def clean_shipments(spark, layout):
-    with shuffles_sized_for(spark, layout.bronze_shipments, partitions=layout.buckets):
-        bronze = read_bronze(spark, layout.bronze_shipments, schemas.BRONZE_SHIPMENTS)
+    with shuffles_sized_for(spark, *layout.shipment_folders, partitions=layout.buckets):
+        bronze = read_bronze(spark, layout.shipment_folders, schemas.BRONZE_SHIPMENTS)
         rows = silver.silver_shipments(bronze)
         if layout.buckets:
             write_bucketed(
@@ -22,8 +22,8 @@ def clean_shipments(spark, layout):
 
 
 def clean_tracking(spark, layout):
-    with shuffles_sized_for(spark, layout.bronze_tracking):
-        bronze = read_bronze(spark, layout.bronze_tracking, schemas.BRONZE_TRACKING)
+    with shuffles_sized_for(spark, *layout.tracking_folders):
+        bronze = read_bronze(spark, layout.tracking_folders, schemas.BRONZE_TRACKING)
         write_table(silver.silver_tracking(bronze), layout.silver_tracking)
 
 

@@ -1,66 +1,75 @@
-"""Bronze: newline-delimited JSON, append-only."""
+"""Bronze: messages as they came, one JSON object a line, append-only.
+
+Nothing is projected on the way in: a message keeps fields that no schema knows yet. Values
+that are not JSON objects go to a folder of their own. Schemas apply on reading, and one
+definition of a sound line (`topic.from_messages`) serves all readers.
+"""
+
+from functools import reduce
 
 from pyspark.sql import functions as F
 
-from waybill import fixed
-from waybill.schemas import with_text_field
+from waybill.sources import topic
+
 
-BROKEN_LINE = "_corrupt_record"
+def _paths(path):
+    return [path] if isinstance(path, str) else list(path)
 
 
-def _sound(reader, schema):
-    return reader.schema(schema).option("mode", "DROPMALFORMED")
+def _lines(reader, path):
+    # Batches are folders below; those of other writers are files directly in the folder.
+    return reader.option("recursiveFileLookup", True).text(path)
 
 
 def read_bronze(spark, path, schema):
-    """The lines that are JSON objects, under an explicit schema; `path` may be a list."""
-    return _sound(spark.read, schema).json(path)
+    """The lines that are JSON objects, under an explicit schema. `path` may be a list of
+    folders, for instance of a feed and of its replay."""
+    parts = [topic.from_messages(_lines(spark.read, one), schema) for one in _paths(path)]
+    return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def broken_lines(spark, path, schema):
+def broken_lines(spark, path):
     """The lines `read_bronze` leaves out, with the file that holds them."""
-    options = {"columnNameOfCorruptRecord": BROKEN_LINE}
-    parsed = F.from_json("value", with_text_field(schema, BROKEN_LINE), options)
-    return (
-        spark.read.text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"))
-        .filter(F.trim("value") != "")
-        .filter(parsed[BROKEN_LINE].isNotNull())
-        .withColumnRenamed("value", "line")
-    )
+    lines = _lines(spark.read, path).select("value", F.col("_metadata.file_path").alias("file"))
+    return topic.rejected(lines.filter(F.trim("value") != "")).withColumnRenamed("value", "line")
 
 
 def stream_bronze(spark, path, schema, **options):
-    return _sound(spark.readStream, schema).options(**options).json(path)
+    return topic.from_messages(_lines(spark.readStream.options(**options), path), schema)
+
+
+def rejects_of(path):
+    """Where the values go that bronze at `path` does not take."""
+    return f"{path.rstrip('/')}-rejects"
 
 
-def append_bronze(stream, path, checkpoint, trigger=None, max_records_per_file=None):
-    """Append a stream to bronze, each record exactly once across restarts.
+def append_bronze(messages, path, checkpoint, trigger=None, max_records_per_file=None):
+    """Append the values of a stream to bronze, each exactly once across restarts, and those
+    that are not JSON objects to `rejects_of(path)`.
 
-    A failed micro-batch is run again from the offset log instead of being lost.
+    A micro-batch writes folders of its own, named by the query and the batch. One that is run
+    again after a failure replaces them, and another query never does.
     """
-    writer = (
-        stream.writeStream.format("json")
-        .outputMode("append")
-        .option("ignoreNullFields", "false")
-        .option("checkpointLocation", checkpoint)
-    )
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    return writer.trigger(**(trigger or {"availableNow": True})).start(path)
-
-
-def declared_sink(
-    stream,
-    path,
-    checkpoint,
-    flush_records=fixed.SINK_FLUSH_RECORDS,
-    flush_interval=fixed.SINK_FLUSH_INTERVAL,
-):
+
+    def land(batch, batch_id):
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        name = f"batch-{query}-{batch_id:010d}"
+        for values, folder in ((topic.accepted, path), (topic.rejected, rejects_of(path))):
+            writer = values(batch).write.mode("overwrite")
+            if max_records_per_file:
+                writer = writer.option("maxRecordsPerFile", max_records_per_file)
+            writer.text(f"{folder.rstrip('/')}/{name}")
+
+    writer = messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def declared_sink(messages, path, checkpoint, flush_records, flush_interval=None):
     """Bronze sink set by two bounds: records per file and time between flushes.
 
-    Without an interval the query drains what is there and ends. The default of
-    few records per file suits a trickle only; raise it with the feed's rate.
+    `fixed.SINK_FLUSH_RECORDS` and `fixed.SINK_FLUSH_INTERVAL` are the bounds of a trickle;
+    choose more records with the feed's rate. Without an interval the query drains what is
+    there and ends.
     """
     trigger = {"processingTime": flush_interval} if flush_interval else {"availableNow": True}
-    return append_bronze(stream, path, checkpoint, trigger, flush_records)
+    return append_bronze(messages, path, checkpoint, trigger, flush_records)

@@ -8,7 +8,7 @@ Messages carry no key, so they spread evenly over the topic's partitions.
 from pyspark.sql import functions as F
 
 from waybill.functions.parsing import quoted
-from waybill.schemas import with_text_field
+from waybill.schemas import all_strings, with_text_field
 
 NOT_JSON = "_corrupt_record"
 
@@ -30,14 +30,28 @@ def parsed_once(text, schema, error_field):
     return F.inline(F.array(F.struct(message.alias("message"))))
 
 
+def _judged(messages, schema):
+    value = F.col("value").cast("string")
+    decoded = messages.select(value.alias("value"), parsed_once(value, schema, NOT_JSON))
+    sound = F.col("message").isNotNull() & F.col(f"message.{NOT_JSON}").isNull()
+    return decoded.withColumn("sound", F.coalesce(sound, F.lit(False)))
+
+
 def from_messages(messages, schema):
-    """Decode the values; what is not a JSON object is left out."""
-    decoded = messages.select(parsed_once(F.col("value").cast("string"), schema, NOT_JSON))
-    return (
-        decoded.filter(F.col("message").isNotNull() & F.col(f"message.{NOT_JSON}").isNull())
-        .select("message.*")
-        .drop(NOT_JSON)
-    )
+    """Decode the values; what is not a JSON object is left out (see `rejected`)."""
+    decoded = _judged(messages, schema)
+    return decoded.filter("sound").select("message.*").drop(NOT_JSON)
+
+
+def rejected(messages, schema=None):
+    """The values that `from_messages` leaves out. Null values have no text to keep."""
+    judged = _judged(messages, schema or all_strings([]))
+    return judged.filter("NOT sound AND value IS NOT NULL").select("value")
+
+
+def accepted(messages):
+    """The values that are JSON objects, as they are: with every field, known or not."""
+    return _judged(messages, all_strings([])).filter("sound").select("value")
 
 
 def publish(df, fmt="kafka", path=None, **options):
@@ -59,11 +73,16 @@ def publish_stream(df, checkpoint, fmt="kafka", path=None, trigger=None, **optio
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
-def subscribe(spark, schema, fmt="kafka", path=None, **options):
-    """Follow a topic from its earliest message; progress lives in the query's checkpoint."""
+def follow(spark, fmt="kafka", path=None, **options):
+    """Values of a topic from its earliest message on; progress lives in the query's checkpoint."""
     if fmt == "kafka":
         options.setdefault("startingOffsets", "earliest")
-    return from_messages(spark.readStream.format(fmt).options(**options).load(path), schema)
+    return spark.readStream.format(fmt).options(**options).load(path).select("value")
+
+
+def subscribe(spark, schema, fmt="kafka", path=None, **options):
+    """`follow`, with the values decoded."""
+    return from_messages(follow(spark, fmt, path, **options), schema)
 
 
 def read_topic(spark, schema, fmt="kafka", path=None, **options):

@@ -1,16 +1,13 @@
 """Continuous feeds: CSV files to a topic, a topic to bronze.
 
-Each query keeps its progress in its checkpoint. Starting one with a fresh
-checkpoint reads everything again; the duplicates this puts into bronze vanish
-when silver keeps one row per key. A fresh checkpoint needs a fresh bronze
-folder next to the old one: the file sink takes the restarted batch numbers for
-batches that its folder already holds, and would skip them.
+Each query keeps its progress in its checkpoint. Starting one with a fresh checkpoint reads
+everything again; the duplicates this puts into bronze vanish when silver keeps one row per key.
 """
 
-from waybill import fixed, schemas
+from waybill import fixed
 from waybill.sources.bronze import append_bronze
 from waybill.sources.csv_feed import stream_csv_feed
-from waybill.sources.topic import publish_stream, subscribe
+from waybill.sources.topic import follow, publish_stream
 
 
 def feed_to_topic(
@@ -21,16 +18,13 @@ def feed_to_topic(
 
 
 def topic_to_bronze(
-    spark, schema, bronze_path, checkpoint, trigger=None, max_records_per_file=None, **topic
+    spark, bronze_path, checkpoint, trigger=None, max_records_per_file=None, **topic
 ):
-    messages = subscribe(spark, schema, **topic)
+    messages = follow(spark, **topic)
     return append_bronze(messages, bronze_path, checkpoint, trigger, max_records_per_file)
 
 
-SCHEMAS = {
-    fixed.TRACKING_TOPIC: schemas.BRONZE_TRACKING,
-    fixed.SHIPMENT_TOPIC: schemas.BRONZE_SHIPMENTS,
-}
+TOPICS = (fixed.TRACKING_TOPIC, fixed.SHIPMENT_TOPIC)
 
 
 def start_feeds(spark, layout, csv_paths, fmt="kafka", trigger=None, **options):
@@ -63,7 +57,6 @@ def start_ingest(spark, layout, fmt="kafka", trigger=None, max_records_per_file=
         started.append(
             topic_to_bronze(
                 spark,
-                SCHEMAS[name],
                 folder,
                 checkpoint,
                 trigger,
