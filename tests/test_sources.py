@@ -6,6 +6,7 @@ import pytest
 
 from tests.helpers import EVENT, PERFORMANCE, at, bag, rows
 from waybill import schemas
+from waybill.functions.parsing import as_text
 from waybill.functions.rendering import json_safe
 from waybill.sources import bronze, csv_feed, tables, topic
 
@@ -36,6 +37,31 @@ def test_csv_names_and_values_are_stripped(spark, folder):
     assert frame.count() == 3
 
 
+def test_csv_columns_follow_the_header_of_each_file(spark, folder):
+    path = written(folder, "a.csv", "id,origin,destination\n1,A,B\n")
+    written(folder, "b.csv", " id , destination,origin,note\n2,B,A,x\n")
+    written(folder, "c.csv", "")
+    frame = csv_feed.read_csv_feed(spark, path)
+    assert set(rows(frame.select("id", "origin", "destination", "note"))) == {
+        ("1", "A", "B", None), ("2", "A", "B", "x")
+    }
+    wanted = csv_feed.read_csv_feed(spark, path, schemas.all_strings(["note", "id", "no"]))
+    assert set(rows(wanted)) == {(None, "1", None), ("x", "2", None)}
+
+
+@pytest.mark.parametrize(
+    ("value", "text"),
+    [
+        (12345678.5, "12345678.5"), (1e7, "10000000.0"), (0.0001, "0.0001"), (1.5, "1.5"),
+        (-0.00025, "-0.00025"), (1e15, "1000000000000000.0"), (1e16, "1e+16"),
+        (1.5e-7, "1.5e-07"), (0.0, "0.0"), (float("nan"), "NaN"), (None, None),
+    ],
+)
+def test_doubles_as_text(spark, value, text):
+    frame = spark.createDataFrame([(value,)], "x double")
+    assert rows(frame.select(as_text(frame.x, frame.schema["x"].dataType))) == [(text,)]
+
+
 def test_csv_line_breaks_inside_quotes(spark, folder):
     path = written(folder, "a.csv", 'id,note\n1,"two\nlines"\n2,one\n')
     assert sorted(rows(csv_feed.read_csv_feed(spark, path, multi_line=True))) == [
@@ -69,7 +95,7 @@ def test_bronze_lines_that_are_not_json(spark, folder):
         ("1", "s", "Delivered", None, None), ("2", None, None, None, None)
     ]
     assert frame.count() == 2
-    broken = bronze.broken_lines(spark, path, schemas.BRONZE_TRACKING)
+    broken = bronze.broken_lines(spark, path)
     assert [row.line for row in broken.collect()] == ["not json"]
     assert len(schemas.BRONZE_TRACKING.fields) == 5
 

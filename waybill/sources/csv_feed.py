@@ -1,5 +1,7 @@
 """CSV feeds with a header row; every value is text."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from waybill.functions.parsing import quoted, stripped
@@ -11,6 +13,8 @@ BROKEN_ROW = "_corrupt_record"
 def _csv(reader, multi_line):
     return (
         reader.option("header", True)
+        # A file whose header differs from the schema is an error that names it, not a swap.
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
@@ -21,11 +25,29 @@ def _csv(reader, multi_line):
 
 
 def header_schema(spark, path):
-    """The feed's own column names; only the first line is read."""
+    """The first file's own column names; only its first line is read."""
     reader = spark.read.option("header", True).option("escape", '"')
     return all_strings(reader.csv(path).columns)
 
 
+def files_by_header(spark, path):
+    """The files of a feed, grouped by their header lines; empty files are left out.
+
+    Only the first block of each file is looked at. What comes to the driver are the
+    names of the files, as many as it lists for any scan.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        "_metadata.file_path",
+        "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != "")).groupBy("file_path")
+    headers = first.agg(F.min_by("value", "place").alias("header"))
+    files = headers.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    return {row["header"]: row["files"] for row in files.orderBy("header").collect()}
+
+
 def clean_rows(raw):
     """Strip header names and values.
 
@@ -41,15 +63,39 @@ def clean_rows(raw):
     return raw.select(*[field(name) for name in raw.columns if name != BROKEN_ROW])
 
 
+def _read(spark, paths, schema, multi_line):
+    reader = _csv(spark.read, multi_line).schema(with_text_field(schema, BROKEN_ROW))
+    return clean_rows(reader.csv(paths))
+
+
 def read_csv_feed(spark, path, schema=None, multi_line=False):
-    """`multi_line` allows line breaks inside quotes, at the price of unsplittable files."""
-    schema = schema or header_schema(spark, path)
-    return clean_rows(_csv(spark.read, multi_line).schema(with_text_field(schema, BROKEN_ROW)).csv(path))
+    """A folder of CSV files, each with its columns by its own header: files of other column
+    orders, or with more or fewer columns, fit together by name. With `schema` its columns
+    are returned; columns that a file lacks are null.
+
+    `multi_line` allows line breaks inside quotes, at the price of unsplittable files.
+    """
+    groups = list(files_by_header(spark, path).values())
+    if len(groups) < 2:
+        rows = _read(spark, path, header_schema(spark, path), multi_line)
+    else:
+        parts = [_read(spark, files, header_schema(spark, files[:1]), multi_line) for files in groups]
+        rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    if schema is None:
+        return rows
+    names = [name.strip() for name in schema.names]
+    return rows.select(
+        *[quoted(name) if name in rows.columns else F.lit(None).cast("string").alias(name) for name in names]
+    )
 
 
 def stream_csv_feed(spark, path, schema=None, multi_line=False, **options):
     """Follow a folder of CSV files. `options` are those of a file source, for instance
-    maxFilesPerTrigger, which splits a large backlog into several micro-batches."""
+    maxFilesPerTrigger, which splits a large backlog into several micro-batches.
+
+    All files have the header of the first one, or that of `schema`; a file with another
+    header ends the query with an error that names it.
+    """
     schema = schema or header_schema(spark, path)
     reader = _csv(spark.readStream, multi_line).schema(with_text_field(schema, BROKEN_ROW))
     return clean_rows(reader.options(**options).csv(path))
