@@ -1,6 +1,7 @@
 """Lenient parsing: text that does not parse becomes null, also under ANSI mode."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from waybill import fixed
 
@@ -29,5 +30,19 @@ def stripped(column):
     return F.btrim(column, F.lit(WHITESPACE))
 
 
-def as_text(column):
-    return column.cast("string")
+def as_text(column, data_type=None):
+    """Any value as text. Doubles, where `data_type` says so, are plain decimals from 1e-4 up
+    to 1e16 (`12345678.5`) and have an exponent outside (`1e+16`)."""
+    text = column.cast("string")
+    if not isinstance(data_type, DoubleType):
+        return text
+    plain = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    size = F.abs(column)
+    power = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "E+$1")
+    power = F.lower(F.regexp_replace(power, r"E([+-])(\d)$", "E$10$2"))
+    return (
+        F.when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(power)
+    )

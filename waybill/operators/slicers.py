@@ -69,14 +69,18 @@ def search(df, query, regex=True):
     if not wanted or not df.columns:
         return df
     pattern = _checked(df, "(?iu)" + (wanted if regex else re.escape(wanted)))
-    hits = [as_text(quoted(name)).rlike(pattern) for name in df.columns]
+    fields = df.schema.fields
+    hits = [as_text(quoted(one.name), one.dataType).rlike(pattern) for one in fields]
     return df.filter(reduce(or_, [F.coalesce(hit, F.lit(False)) for hit in hits]))
 
 
 def slicer_values(column, *tables):
     """Sorted distinct non-null values of a column over the tables that have it."""
     holders = [df for df in tables if column in df.columns]
-    parts = [df.select(as_text(quoted(column)).alias(column)) for df in holders]
+    parts = [
+        df.select(as_text(quoted(column), df.schema[column].dataType).alias(column))
+        for df in holders
+    ]
     if not parts:
         raise ValueError(f"no table has a column '{column}'")
     merged = reduce(lambda left, right: left.unionByName(right), parts)
