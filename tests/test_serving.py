@@ -81,7 +81,32 @@ def test_streamed_upserts(spark, folder):
         keyed(spark, *batch).write.mode("append").json(source)
         stream = spark.readStream.schema("k string, v int").json(source)
         finish(serving.upsert_stream(stream, path, ["k"], folder("checkpoint"), newest_by=["v"]))
-    assert bag(serving.read_current(spark, path)) == {("a", 3): 1, ("b", 1): 1, ("c", 1): 1}
+    expected = {("a", 3): 1, ("b", 1): 1, ("c", 1): 1}
+    assert bag(serving.read_current(spark, path, ["k"], ["v"])) == expected
+    with pytest.raises(ValueError, match="deltas"):
+        serving.read_current(spark, path)
+    assert len(serving.deltas(spark, path)) == 3
+    for _ in range(2):
+        serving.compact(spark, path, ["k"], ["v"])
+        assert bag(serving.read_current(spark, path)) == expected
+    assert serving.deltas(spark, path) == [] and serving.versions(spark, path) == [1]
+
+
+def test_a_small_batch_writes_a_small_delta(spark, folder):
+    path = folder("table")
+    serving.upsert(spark, spark.range(200_000).selectExpr("string(id) AS k", "1 AS v"), path, ["k"])
+    for _ in range(2):
+        serving.append_delta(keyed(spark, ("7", 2), ("7", 3)), path, ["k"], ["v"], "one")
+    (delta,) = serving.deltas(spark, path)
+    assert rows(spark.read.parquet(delta)) == [("7", 3)]
+    assert serving.versions(spark, path) == [1]
+    assert serving.read_current(spark, path, ["k"], ["v"]).count() == 200_000
+
+
+def test_one_load_keeps_one_row_per_key(spark, folder):
+    path = folder("table")
+    serving.upsert(spark, keyed(spark, ("a", 1), ("a", 2)), path, ["k"])
+    assert rows(serving.read_current(spark, path)) == [("a", 2)]
 
 
 def feed(spark, layout):
@@ -147,11 +172,11 @@ def test_a_kept_dashboard_answers_as_a_fresh_one(spark, folder):
     layout = Layout(folder("root"))
     feed(spark, layout)
     pipeline.run(spark, layout.root)
-    fresh, kept = [report.load_dashboard(spark, layout.serving, keep) for keep in (False, True)]
-    for name, df in fresh["report"].items():
-        assert rows(kept["report"][name]) == rows(df), name
-    assert all(df.is_cached for df in kept["tables"].values())
-    chosen = report.report(kept["tables"], Selection(delay="Delayed"))
-    assert search(chosen["performance"], "^A$").count() == 1
-    for df in kept["tables"].values():
-        df.unpersist()
+    fresh = report.load_dashboard(spark, layout.serving)
+    with report.kept_dashboard(serving.fetch_all(spark, layout.serving)) as kept:
+        for name, df in fresh["report"].items():
+            assert rows(kept["report"][name]) == rows(df), name
+        assert all(df.is_cached for df in kept["tables"].values())
+        chosen = report.report(kept["tables"], Selection(delay="Delayed"))
+        assert search(chosen["performance"], "^A$").count() == 1
+    assert not any(df.is_cached for df in kept["tables"].values())

@@ -1,5 +1,6 @@
 """The dashboard's data: KPIs, chart datasets, filtered tables, slicer values."""
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -104,16 +105,12 @@ def long_form(datasets):
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def dashboard(tables, keep=False):
+def dashboard(tables):
     """The unfiltered report together with the values the place slicers offer.
 
-    `keep` holds the tables in executor memory, spilling to their disks, for a
-    session that goes on to other selections. A search within a selection is
-    `search(report(tables, selection)[name], query)`.
+    A search within a selection is `search(report(tables, selection)[name], query)`.
     """
     tables = {name: restored(name, df) for name, df in tables.items()}
-    if keep:
-        tables = {name: df.persist() for name, df in tables.items()}
     sources = (tables["shipments"], tables["performance"])
     return {
         "tables": tables,
@@ -123,5 +120,17 @@ def dashboard(tables, keep=False):
     }
 
 
-def load_dashboard(spark, serving_root, keep=False):
-    return dashboard(fetch_all(spark, serving_root), keep)
+@contextmanager
+def kept_dashboard(tables):
+    """`dashboard` over tables that executors hold for the length of a block, spilling to
+    their disks, for a session that goes on to other selections."""
+    held = {name: restored(name, df).persist() for name, df in tables.items()}
+    try:
+        yield dashboard(held)
+    finally:
+        for df in held.values():
+            df.unpersist()
+
+
+def load_dashboard(spark, serving_root):
+    return dashboard(fetch_all(spark, serving_root))

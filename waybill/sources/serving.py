@@ -1,8 +1,9 @@
 """Serving tables: keyed upserts into versioned Parquet folders, reads by logical name.
 
-A table is a folder of version folders. A version counts once its `_SUCCESS`
-marker exists, so readers never see half a load, and a load that died is simply
-written again. One writer per table at a time.
+A table is a folder of version folders and of delta folders. A folder counts once its
+`_SUCCESS` marker exists, so readers never see half a load, and a load that died is simply
+written again. Whole loads write a version; small batches write a delta, which costs what the
+batch costs, and `compact` folds deltas into a version. One writer per table at a time.
 """
 
 import re
@@ -15,6 +16,7 @@ from waybill.operators.newest import newest_per_key
 from waybill.sources.tables import redistribute, write_table
 
 _VERSION = re.compile(r"v(\d{10})")
+_DELTA = re.compile(r"delta-.+")
 
 
 def _file_system(spark, path):
@@ -22,29 +24,49 @@ def _file_system(spark, path):
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
-def versions(spark, table_path):
-    """Committed versions, oldest first."""
+def _committed(spark, table_path, pattern):
+    """Matches of the names of committed folders, in the order of their names."""
     fs, folder = _file_system(spark, table_path)
     if not fs.exists(folder):
         return []
     found = []
     for status in fs.listStatus(folder):
-        name = _VERSION.fullmatch(status.getPath().getName())
+        name = pattern.fullmatch(status.getPath().getName())
         marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
         if name and fs.exists(marker):
-            found.append(int(name.group(1)))
-    return sorted(found)
+            found.append(name)
+    return sorted(found, key=lambda match: match.group())
+
+
+def versions(spark, table_path):
+    """Committed versions, oldest first."""
+    return [int(name.group(1)) for name in _committed(spark, table_path, _VERSION)]
+
+
+def deltas(spark, table_path):
+    """Paths of the committed deltas that no version holds yet."""
+    root = table_path.rstrip("/")
+    return [f"{root}/{name.group()}" for name in _committed(spark, table_path, _DELTA)]
 
 
 def _version_path(table_path, version):
     return f"{table_path.rstrip('/')}/v{version:010d}"
 
 
-def read_current(spark, table_path):
-    committed = versions(spark, table_path)
-    if not committed:
+def read_current(spark, table_path, keys=None, newest_by=()):
+    """The rows of a table. One that takes deltas needs the `keys` and `newest_by` that they
+    were written with: of all rows for a key, in the last version or a delta, the newest stays."""
+    committed, waiting = versions(spark, table_path), deltas(spark, table_path)
+    if not committed and not waiting:
         raise ValueError(f"no table at {table_path}")
-    return spark.read.parquet(_version_path(table_path, committed[-1]))
+    if waiting and not keys:
+        raise ValueError(f"{table_path} has deltas: name its keys, or compact it first")
+    base = [_version_path(table_path, committed[-1])] if committed else []
+    rows = reduce(
+        lambda left, right: left.unionByName(right),
+        [spark.read.parquet(path) for path in [*base, *waiting]],
+    )
+    return newest_per_key(rows, keys, newest_by) if waiting else rows
 
 
 def merged(current, new, keys):
@@ -69,8 +91,8 @@ def upsert(
 ):
     """Merge rows into a table by key, and make the result its current version.
 
-    Incoming rows, unique by key, replace stored ones. With `newest_by`, rows need not
-    be unique and may arrive late: of all rows for a key, stored or incoming, the
+    Incoming rows replace stored ones; of several for a key the greatest stays. With
+    `newest_by`, rows may arrive late: of all rows for a key, stored or incoming, the
     newest stays.
 
     The table is written anew, which a load of whole gold tables amounts to anyway.
@@ -81,36 +103,59 @@ def upsert(
     """
     committed = versions(spark, table_path)
     latest = committed[-1] if committed else 0
-    rows = new
-    if newest_by is not None:
-        if committed:
-            rows = read_current(spark, table_path).unionByName(new)
+    waiting = deltas(spark, table_path)
+    current = read_current(spark, table_path, keys, newest_by or ()) if committed or waiting else None
+    if newest_by is None:
+        rows = newest_per_key(new, keys)
+        if current is not None:
+            rows = merged(current, rows, keys)
+    else:
+        rows = new if current is None else current.unionByName(new)
         rows = newest_per_key(rows, keys, newest_by)
-    elif committed:
-        rows = merged(read_current(spark, table_path), new, keys)
     if partitions:
         rows = redistribute(rows, partitions)
     if sort_by:
         rows = rows.sortWithinPartitions(*sort_by)
     write_table(rows, _version_path(table_path, latest + 1))
+    _delete(spark, waiting)
     _forget(spark, table_path, committed, keep_versions - 1)
 
 
+def _delete(spark, paths):
+    for path in paths:
+        fs, folder = _file_system(spark, path)
+        fs.delete(folder, True)
+
+
 def _forget(spark, table_path, older, keep):
-    fs, _ = _file_system(spark, table_path)
-    for version in older[: len(older) - keep] if keep > 0 else older:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(_version_path(table_path, version)), True)
+    gone = older[: len(older) - keep] if keep > 0 else older
+    _delete(spark, [_version_path(table_path, version) for version in gone])
+
+
+def append_delta(batch, table_path, keys, newest_by, name):
+    """Put a batch next to the table's version. The same `name` again replaces the delta."""
+    write_table(newest_per_key(batch, keys, newest_by), f"{table_path.rstrip('/')}/delta-{name}")
+
+
+def compact(spark, table_path, keys, newest_by, **upsert_options):
+    """Fold the deltas into a version. A run that dies half-way leaves deltas that the version
+    holds already, which changes no row."""
+    waiting = deltas(spark, table_path)
+    if waiting:
+        rows = read_current(spark, table_path, keys, newest_by)
+        upsert(spark, rows.limit(0), table_path, keys, newest_by=newest_by, **upsert_options)
 
 
-def upsert_stream(stream, table_path, keys, checkpoint, newest_by, trigger=None, **upsert_options):
-    """Upsert every micro-batch, whatever order the rows arrive in.
+def upsert_stream(stream, table_path, keys, checkpoint, newest_by, trigger=None):
+    """Upsert every micro-batch as a delta, whatever order the rows arrive in.
 
-    A batch that is run again after a failure leaves the same table. Every batch
-    rewrites the table, so give a large one few and large batches.
+    A batch that is run again after a failure replaces its own delta. Read the table with
+    `keys` and `newest_by`, and `compact` it from time to time.
     """
 
-    def load(batch, _batch_id):
-        upsert(batch.sparkSession, batch, table_path, keys, newest_by=newest_by, **upsert_options)
+    def load(batch, batch_id):
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_delta(batch, table_path, keys, newest_by, f"{query}-{batch_id:010d}")
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
