@@ -10,7 +10,7 @@ bronze_shipments AS (
          CAST(o_totalprice AS VARCHAR) AS declared_value,
          strftime(o_orderdate, '%Y-%m-%d') AS shipping_date, o_orderkey AS order_key
   FROM orders
-  JOIN order_weights ON l_orderkey = o_orderkey
+  LEFT JOIN order_weights ON l_orderkey = o_orderkey
   JOIN customer ON c_custkey = o_custkey
   JOIN nation ON n_nationkey = c_nationkey
 ),
@@ -243,6 +243,14 @@ CLEAN_CSV = """
 
 # Sources, sinks, exchange
 oracle("S01_csv_scan", CLEAN_CSV)
+oracle(
+    "S01_mixed_headers",
+    """
+    SELECT coalesce(shipment_id, '') AS shipment_id, priority AS origin, status AS destination,
+           weight_kg, declared_value, shipping_date,
+           CASE WHEN order_key % 2 = 1 THEN CAST(order_key AS VARCHAR) END AS order_key
+    FROM rough_shipments""",
+)
 oracle(
     "S02_publish_json_messages",
     """
@@ -254,14 +262,17 @@ oracle(
 for name in (
     "S03_consume_topic",
     "S04_append_bronze_json",
-    "S05_declared_bronze_sink",
     "S06_bronze_scan",
 ):
     oracle(name, TRACKING_TEXT.format(table="bronze_tracking"))
+oracle(
+    "S05_declared_bronze_sink", f"SELECT *, true AS within_bound FROM ({TRACKING_TEXT.format(table='bronze_tracking')})"
+)
 oracle("S07_table_overwrite", "SELECT * FROM tracking")
 oracle("S08_table_scan", "SELECT * FROM events")
 oracle("S09_keyed_upsert", "SELECT * FROM performance")
 oracle("S09_streamed_upsert", "SELECT * FROM latest")
+oracle("S09_compacted_upsert", "SELECT * FROM latest")
 oracle("S10_redistribute", "SELECT * FROM snapshot")
 oracle("S11_serving_scan", "SELECT * FROM routes")
 oracle("S12_all_tables_bundle", bundle())
@@ -347,7 +358,9 @@ oracle(
     SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
            o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
            CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority,
-           CAST(o_orderstatus = 'O' AS VARCHAR) AS is_open
+           CAST(o_orderstatus = 'O' AS VARCHAR) AS is_open,
+           CAST(o_totalprice * 1024 AS VARCHAR) AS large,
+           CAST(o_totalprice / 1073741824 AS VARCHAR) AS small
     FROM orders""",
 )
 
@@ -396,6 +409,13 @@ oracle(
         )
     ),
 )
+oracle(
+    "F07_large_amounts",
+    """
+    SELECT o_orderkey, amount FROM (SELECT o_orderkey, o_totalprice * 1024 AS amount FROM orders)
+    WHERE regexp_matches(CAST(amount AS VARCHAR), '00000|[0-9]{8}[.]5')
+       OR regexp_matches(CAST(o_orderkey AS VARCHAR), '00000|[0-9]{8}[.]5')""",
+)
 oracle(
     "F07_literal_search",
     "SELECT * FROM performance WHERE "
@@ -522,21 +542,42 @@ oracle(
     + " UNION ALL "
     + TRACKING_TEXT.format(table="rough_tracking"),
 )
+oracle(
+    "R02_unknown_fields",
+    """
+    SELECT b.*, props FROM bronze_tracking b JOIN events e ON b.event_id = CAST(e.event_id AS VARCHAR)""",
+)
+oracle(
+    "R02_rejects",
+    "SELECT '[' || props || '] ' || event_id AS value FROM events WHERE event_type = 'error'",
+)
 oracle("R03_replay_tolerance", "SELECT * FROM tracking")
 
 # Named jobs
 oracle(
     "G01_silver_shipments",
     """
-    SELECT shipment_id, origin, destination, weight_kg, declared_value, shipping_date
-    FROM typed_shipments WHERE shipment_id IS NOT NULL
+    SELECT shipment_id, '  ' || priority || chr(9) AS origin, status || ' ' AS destination,
+           weight_kg, declared_value, shipping_date
+    FROM typed_rough_shipments WHERE shipment_id IS NOT NULL
     QUALIFY row_number() OVER (
       PARTITION BY shipment_id
-      ORDER BY shipping_date DESC NULLS LAST, origin DESC NULLS LAST,
-               destination DESC NULLS LAST, weight_kg DESC NULLS LAST,
-               declared_value DESC NULLS LAST) = 1""",
+      ORDER BY shipping_date DESC NULLS LAST, priority DESC NULLS LAST, status DESC NULLS LAST,
+               weight_kg DESC NULLS LAST, declared_value DESC NULLS LAST) = 1""",
+)
+oracle(
+    "G02_silver_tracking",
+    """
+    SELECT * FROM (
+      SELECT * FROM typed_rough_tracking
+      UNION ALL
+      SELECT event_id, shipment_id, event_type, event_timestamp + INTERVAL 1 HOUR, 'HUB-X'
+      FROM typed_rough_tracking)
+    WHERE event_timestamp IS NOT NULL
+    QUALIFY row_number() OVER (
+      PARTITION BY event_id ORDER BY event_timestamp DESC, shipment_id DESC, event_type DESC,
+      location DESC) = 1""",
 )
-oracle("G02_silver_tracking", "SELECT * FROM tracking")
 oracle("G03_delivery_performance", "SELECT * FROM performance")
 oracle("G04_route_optimization", "SELECT * FROM routes")
 oracle("G05_shipment_snapshot", "SELECT * FROM snapshot")

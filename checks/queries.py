@@ -15,7 +15,7 @@ from waybill.operators import milestones, newest, ranking, slicers
 from waybill.operators.histogram import histogram
 from waybill.operators.slicers import Selection
 from waybill.plans import gold, pipeline, report, silver
-from waybill.session import widen_shuffles, work_dir
+from waybill.session import work_dir
 from waybill.sources import bronze, csv_feed, serving, tables, topic
 from waybill.streaming import feeds
 
@@ -31,7 +31,6 @@ def comparable(df):
 def query(name):
     def register(build):
         def run(spark, sf_dir):
-            widen_shuffles(spark, sf_dir)
             return comparable(build(spark, sf_dir))
 
         QUERIES[name] = run
@@ -107,6 +106,22 @@ def s01(spark, sf_dir):
     return csv_feed.read_csv_feed(spark, csv_copy(spark, sf_dir, "s01"))
 
 
+@query("S01_mixed_headers")
+def s01_mixed(spark, sf_dir):
+    """Files of two column orders, of which one has padded names and one more column."""
+    path = work_dir(spark, "s01-mixed")
+    rough = inputs.rough_shipments(spark, sf_dir)
+    even = rough.filter("order_key % 2 = 0").drop("order_key")
+    odd = rough.filter("order_key % 2 = 1").select(
+        *[quoted(name).alias(f" {name}") for name in reversed(rough.columns)]
+    )
+    for part in (even, odd):
+        part.write.mode("append").option("header", True).option("escape", '"').option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return csv_feed.read_csv_feed(spark, path)
+
+
 @query("S02_publish_json_messages")
 def s02(spark, sf_dir):
     path = work_dir(spark, "s02")
@@ -134,27 +149,24 @@ def s03(spark, sf_dir):
 def s04(spark, sf_dir):
     path = work_dir(spark, "s04")
     message_folder(spark, sf_dir, f"{path}/topic")
-    stream = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic")
+    stream = topic.follow(spark, fmt="text", path=f"{path}/topic")
     drained(bronze.append_bronze(stream, f"{path}/bronze", f"{path}/checkpoint"))
     return bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
 
 
 @query("S05_declared_bronze_sink")
 def s05(spark, sf_dir):
-    # The bound is a setting; ten records per file would mean a file for every ten events.
+    """Every record, and whether its file keeps to the bound."""
+    bound = 1_000
     path = work_dir(spark, "s05")
     message_folder(spark, sf_dir, f"{path}/topic")
-    stream = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic")
-    drained(
-        bronze.declared_sink(
-            stream,
-            f"{path}/bronze",
-            f"{path}/checkpoint",
-            flush_records=1_000_000,
-            flush_interval=None,
-        )
-    )
-    return bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
+    stream = topic.follow(spark, fmt="text", path=f"{path}/topic")
+    drained(bronze.declared_sink(stream, f"{path}/bronze", f"{path}/checkpoint", bound))
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{path}/bronze")
+    files = lines.groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
+    most = files.agg(F.max("n")).first()[0]
+    records = bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
+    return records.withColumn("within_bound", F.lit(most <= bound))
 
 
 @query("S06_bronze_scan")
@@ -195,22 +207,39 @@ def s09(spark, sf_dir):
     return serving.read_current(spark, path)
 
 
+NEWEST_EVENT = {"keys": ["shipment_id"], "newest_by": ["event_timestamp", "event_id"]}
+
+
+def streamed_table(spark, sf_dir, label):
+    """The newest event of each shipment from three micro-batches, the latest events first."""
+    path = work_dir(spark, label)
+    events = text_tracking(spark, sf_dir)
+    for part in (2, 1, 0):
+        topic.publish(events.filter(F.col("event_id") % 3 == part), fmt="text", path=f"{path}/topic")
+        messages = topic.subscribe(
+            spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic"
+        )
+        drained(
+            serving.upsert_stream(
+                silver.typed_tracking(messages),
+                f"{path}/table",
+                checkpoint=f"{path}/checkpoint",
+                **NEWEST_EVENT,
+            )
+        )
+    return f"{path}/table"
+
+
 @query("S09_streamed_upsert")
 def s09_streamed(spark, sf_dir):
-    """The newest event of each shipment, kept up to date from the topic."""
-    path = work_dir(spark, "s09-stream")
-    message_folder(spark, sf_dir, f"{path}/topic")
-    messages = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic")
-    drained(
-        serving.upsert_stream(
-            silver.typed_tracking(messages),
-            f"{path}/table",
-            ["shipment_id"],
-            f"{path}/checkpoint",
-            newest_by=["event_timestamp", "event_id"],
-        )
-    )
-    return serving.read_current(spark, f"{path}/table")
+    return serving.read_current(spark, streamed_table(spark, sf_dir, "s09-stream"), **NEWEST_EVENT)
+
+
+@query("S09_compacted_upsert")
+def s09_compacted(spark, sf_dir):
+    path = streamed_table(spark, sf_dir, "s09-compact")
+    serving.compact(spark, path, **NEWEST_EVENT)
+    return serving.read_current(spark, path)
 
 
 @query("S10_redistribute")
@@ -356,9 +385,12 @@ def p15(spark, sf_dir):
 @query("P16_any_value_as_text")
 def p16(spark, sf_dir):
     orders = inputs.given(spark, sf_dir, "orders")
-    orders = orders.withColumn("is_open", F.col("o_orderstatus") == "O")
+    price = F.col("o_totalprice")
+    orders = orders.withColumns(
+        {"is_open": F.col("o_orderstatus") == "O", "large": price * 1024, "small": price / 2**30}
+    )
     return orders.select(
-        *[parsing.as_text(F.col(name)).alias(name) for name in orders.columns]
+        *[parsing.as_text(F.col(one.name), one.dataType).alias(one.name) for one in orders.schema]
     )
 
 
@@ -414,6 +446,14 @@ def f07_literal(spark, sf_dir):
     return slicers.search(inputs.performance(spark, sf_dir), "1.2", regex=False)
 
 
+@query("F07_large_amounts")
+def f07_large(spark, sf_dir):
+    """Amounts above ten million, found by their digits."""
+    orders = inputs.given(spark, sf_dir, "orders")
+    amounts = orders.select("o_orderkey", (F.col("o_totalprice") * 1024).alias("amount"))
+    return slicers.search(amounts, "00000|[0-9]{8}[.]5", regex=True)
+
+
 @query("F08_open_shipments")
 def f08(spark, sf_dir):
     return inputs.snapshot(spark, sf_dir).filter(measures.is_open(F.col("current_status")))
@@ -598,7 +638,6 @@ def r02(spark, sf_dir):
         drained(
             feeds.topic_to_bronze(
                 spark,
-                schemas.BRONZE_TRACKING,
                 f"{path}/bronze",
                 f"{path}/checkpoint",
                 fmt="text",
@@ -608,24 +647,63 @@ def r02(spark, sf_dir):
     return bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
 
 
+def events_with_props(spark, sf_dir):
+    events = inputs.given(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), "props"
+    )
+    return text_tracking(spark, sf_dir).join(events, "event_id")
+
+
+def landed(spark, path):
+    drained(
+        feeds.topic_to_bronze(
+            spark, f"{path}/bronze", f"{path}/checkpoint", fmt="text", path=f"{path}/topic"
+        )
+    )
+
+
+@query("R02_unknown_fields")
+def r02_unknown(spark, sf_dir):
+    """A field that the bronze schema does not know stays in bronze."""
+    path = work_dir(spark, "r02-unknown")
+    topic.publish(events_with_props(spark, sf_dir), fmt="text", path=f"{path}/topic")
+    landed(spark, path)
+    schema = schemas.all_strings([*schemas.BRONZE_TRACKING.names, "props"])
+    return bronze.read_bronze(spark, f"{path}/bronze", schema)
+
+
+@query("R02_rejects")
+def r02_rejects(spark, sf_dir):
+    """Values that are no JSON objects, one for each error event, next to whole messages."""
+    path = work_dir(spark, "r02-rejects")
+    message_folder(spark, sf_dir, f"{path}/topic")
+    events = inputs.given(spark, sf_dir, "events").filter("event_type = 'error'")
+    events.select(F.concat(F.lit("["), "props", F.lit("] "), F.col("event_id").cast("string"))).write.mode(
+        "append"
+    ).text(f"{path}/topic")
+    landed(spark, path)
+    rejects = bronze.rejects_of(f"{path}/bronze")
+    return spark.read.option("recursiveFileLookup", True).text(rejects)
+
+
 @query("R03_replay_tolerance")
 def r03(spark, sf_dir):
-    """The topic is read twice from the start; silver does not show it."""
+    """The topic is read twice from the start; the silver job does not show it."""
     path = work_dir(spark, "r03")
+    layout = Layout(path, replays=["replayed"])
     message_folder(spark, sf_dir, f"{path}/topic")
-    folders = [f"{path}/bronze", f"{path}/bronze-replayed"]
-    for number, folder in enumerate(folders):
+    for number, folder in enumerate(layout.tracking_folders):
         drained(
             feeds.topic_to_bronze(
                 spark,
-                schemas.BRONZE_TRACKING,
                 folder,
                 f"{path}/checkpoint-{number}",
                 fmt="text",
                 path=f"{path}/topic",
             )
         )
-    return silver.silver_tracking(bronze.read_bronze(spark, folders, schemas.BRONZE_TRACKING))
+    pipeline.clean_tracking(spark, layout)
+    return tables.read_table(spark, layout.silver_tracking)
 
 
 # Named jobs
@@ -633,16 +711,24 @@ def r03(spark, sf_dir):
 
 @query("G01_silver_shipments")
 def g01(spark, sf_dir):
+    """Rough text, many rows per shipment, and missing ids."""
     layout = Layout(work_dir(spark, "g01"))
-    text_shipments(spark, sf_dir).write.json(layout.bronze_shipments)
+    inputs.rough_shipments(spark, sf_dir).drop("order_key").write.json(layout.bronze_shipments)
     pipeline.clean_shipments(spark, layout)
     return tables.read_table(spark, layout.silver_shipments)
 
 
 @query("G02_silver_tracking")
 def g02(spark, sf_dir):
+    """Rough text, missing ids, and every event a second time, an hour on and elsewhere."""
     layout = Layout(work_dir(spark, "g02"))
-    text_tracking(spark, sf_dir).write.json(layout.bronze_tracking)
+    rough = inputs.rough_tracking(spark, sf_dir)
+    later = F.date_format(
+        parsing.to_instant(F.col("event_timestamp")) + F.expr("INTERVAL 1 HOUR"),
+        "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    )
+    again = rough.withColumns({"event_timestamp": later, "location": F.lit("HUB-X")})
+    rough.unionByName(again).write.json(layout.bronze_tracking)
     pipeline.clean_tracking(spark, layout)
     return tables.read_table(spark, layout.silver_tracking)
 

@@ -207,7 +207,7 @@ def test_shuffles_follow_the_size_of_their_input(spark, tmp_path):
     gib = 1024**3
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(100 * gib, 8) == 400
-    assert shuffle_partitions(100 * 1024 * gib, 8) == 50_000
+    assert shuffle_partitions(100 * 1024 * gib, 8) == 409_600
     spark.range(10).write.parquet(str(tmp_path / "t"))
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     with shuffles_sized_for(spark, str(tmp_path / "t")) as partitions:
