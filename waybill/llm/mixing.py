@@ -134,8 +134,11 @@ def rounded(level):
                 (*one.row, fraction, None if outcome is None else one.row[-1] + outcome)
                 for one, fraction, outcome in settled
             ]
-            out = pd.DataFrame(rows, columns=[part.split()[0] for part in OUT.split(", ")])
-            return out.astype({"doc_id": "Int64", "copies": "Int32"})
+            names = [part.split()[0] for part in OUT.split(", ")]
+            # As objects first: numbers next to nulls would become floats.
+            out = pd.DataFrame(rows, columns=names, dtype=object)
+            kinds = dict.fromkeys(names[1:], "Int64") | {"fraction": "float64"}
+            return out.astype(kinds)
 
         for batch in batches:
             settled = []
