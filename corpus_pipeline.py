@@ -1,7 +1,7 @@
 """Documents to training shards: quality, near copies, benchmark leaks, source weights, shards."""
 
 from waybill.llm import decontaminate, mixing, near_dup, quality, sharding
-from waybill.llm.frames import stored, table
+from waybill.llm.frames import ship_code, stored, table
 
 SHARDS = 24
 
@@ -46,6 +46,7 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """The documents after all stages, each stage stored and read again by the next."""
+    ship_code(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -1,0 +1,130 @@
+import random
+
+import numpy as np
+import pytest
+
+from tests.helpers import bag
+from waybill.llm import near_dup as nd
+
+WORDS = [f"w{n}" for n in range(400)]
+
+
+def text(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def changed(rng, base, edits):
+    words = base.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"x{rng.random()}"
+    return " ".join(words)
+
+
+def brute(left, right):
+    """Longest common subsequence of labelled five-word runs, over the union."""
+
+    def runs(one):
+        words, seen, out = nd.TOKEN.findall(one.lower()), {}, []
+        width = min(5, len(words))
+        for at in range(len(words) - width + 1 if words else 0):
+            run = tuple(words[at : at + width])
+            seen[run] = seen.get(run, 0) + 1
+            out.append((run, seen[run]))
+        return out
+
+    a, b = runs(left), runs(right)
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for at, y in enumerate(b, 1):
+            before, row[at] = row[at], before + 1 if x == y else max(row[at], row[at - 1])
+    total = len(a) + len(b)
+    return row[-1] / (total - row[-1]) if total else 1.0
+
+
+def sequence(one):
+    return nd.labelled(nd.kmers(nd.word_hashes(one, {})))
+
+
+def test_alignment_equals_dynamic_programming():
+    rng = random.Random(1)
+    for _ in range(120):
+        base = text(rng, rng.choice([1, 4, 7, 60, 120])) * rng.choice([1, 1, 2])
+        other = changed(rng, base, rng.choice([0, 1, 2, 6]))
+        if rng.random() < 0.3:
+            words = other.split()
+            at = rng.randrange(len(words))
+            other = " ".join(words[at:] + words[:at])
+        expected = brute(base, other)
+        found = nd.similarity(sequence(base), sequence(other))
+        assert found == pytest.approx(expected if expected >= nd.SIMILARITY else 0)
+
+
+def test_order_counts():
+    rng = random.Random(2)
+    words = text(rng, 200).split()
+    same = " ".join(words)
+    turned = " ".join(words[100:] + words[:100])
+    agree = (nd.sketch(nd.word_hashes(same, {})) == nd.sketch(nd.word_hashes(turned, {}))).mean()
+    assert agree < 0.5
+    assert nd.similarity(sequence(same), sequence(turned)) == 0
+
+
+def test_classes_equal_brute_force(spark, documents, clashing):
+    rng = random.Random(3)
+    rows, number = [], 100
+    for size in (30, 80, 150, 9):
+        base = text(rng, size)
+        # A group that drifts: some members are similar to the base, some to nothing.
+        for edits in (0, 0, 1, 2, 2, 3, 8, 20):
+            rows.append((number, changed(rng, base, edits)))
+            number += rng.randrange(1, 4)
+    rng.shuffle(rows)
+    rows += [(7, None), (8, ""), (9, "  "), (3, "one two"), (4, "One two!"), (None, "one two"), (3, "one two")]
+    group = {at: at for at in range(len(rows))}
+
+    def root(at):
+        while group[at] != at:
+            at = group[at]
+        return at
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if brute(rows[a][1] or "", rows[b][1] or "") >= nd.SIMILARITY:
+                group[root(a)] = root(b)
+    members = {}
+    for at, row in enumerate(rows):
+        members.setdefault(root(at), []).append(row[0])
+    names = {k: min([i for i in ids if i is not None], default=None) for k, ids in members.items()}
+    frame = clashing(documents(*rows))
+    found = nd.near_duplicates(frame)
+    expected = {}
+    for at, row in enumerate(rows):
+        key = (row[0], names[root(at)])
+        expected[key] = expected.get(key, 0) + 1
+    assert bag(found.select("doc_id", "class_id")) == expected
+    kept = nd.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(names.values())
+
+
+def test_large_buckets_use_rare_kmers(spark, documents, monkeypatch):
+    """The same classes, with every bucket counted as large."""
+    rng = random.Random(4)
+    base = text(rng, 120)
+    rows = [(n, changed(rng, base, n % 5)) for n in range(40)]
+    frame = documents(*rows)
+    usual = bag(nd.near_duplicates(frame).select("doc_id", "class_id"))
+    monkeypatch.setattr(nd, "LARGE_BUCKET", 1)
+    monkeypatch.setattr(nd, "RARE", 3)
+    assert bag(nd.near_duplicates(frame).select("doc_id", "class_id")) == usual
+    assert len({key[1] for key in usual}) < 40
+
+
+def test_no_documents(spark, documents):
+    assert nd.near_duplicates(documents()).count() == 0
+
+
+def test_a_long_text_is_sketched_in_parts():
+    words = np.arange(60_000, dtype=np.uint64) * np.uint64(7919)
+    assert len(nd.sketch(words)) == nd.BANDS

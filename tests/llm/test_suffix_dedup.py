@@ -1,0 +1,64 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from tests.helpers import bag
+from waybill.llm import suffix_dedup as sd
+
+
+def brute(rows):
+    coded = [(sd.LAST if i is None else i, (t or "").encode()) for i, t in rows]
+    first = {}
+    for key, data in coded:
+        for at in range(len(data) - 49):
+            string = data[at : at + 50]
+            first[string] = min(first.get(string, key), key)
+    out = {}
+    for (doc_id, _), (key, data) in zip(rows, coded, strict=True):
+        gone = bytearray(len(data))
+        for at in range(len(data) - 49):
+            if first[data[at : at + 50]] < key:
+                gone[at : at + 50] = b"\1" * 50
+        kept = bytes(byte for byte, flag in zip(data, gone, strict=True) if not flag)
+        spans = sum(flag and not before for flag, before in zip(gone, b"\0" + gone, strict=False))
+        row = (doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+        out[row] = out.get(row, 0) + 1
+    return out
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    letters = "abcdefgh éü"
+    passage = "".join(rng.choice(letters) for _ in range(90))
+    line = "".join(rng.choice(letters) for _ in range(50))
+    rows = [(1, None), (2, ""), (3, line), (4, line), (None, line), (None, line), (4, line), (5, "a" * 300), (6, "a" * 120)]
+    for n in range(10, 60):
+        own = "".join(rng.choice(letters) for _ in range(rng.choice([10, 60, 200])))
+        part = passage[rng.randrange(30) :] if n % 3 == 0 else ""
+        other = line if n % 7 == 0 else line[:49]
+        rows.append((n, own[: rng.randrange(80)] + part + own + other))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("most", [sd.MOST_CONTEXTS, 20])
+def test_removal_equals_brute_force(spark, documents, most):
+    """Also where all buckets are too crowded to be sorted in one task."""
+    rows = corpus(most)
+    assert bag(sd.digests(documents(*rows), most)) == brute(rows)
+
+
+def test_no_documents(spark, documents):
+    assert sd.digests(documents()).count() == 0
+
+
+def test_deep_shallow_orders_suffixes():
+    rng = random.Random(5)
+    data = bytearray("".join(rng.choice("ab") for _ in range(300)) * 2 + "b" * 120, "ascii")
+    starts = np.arange(len(data) - 58)
+    order, group = sd.deep_shallow(data, starts)
+    strings = [bytes(data[at : at + 50]) for at in starts[order]]
+    assert strings == sorted(strings)
+    assert list(np.diff(group) == 0) == [a == b for a, b in zip(strings, strings[1:], strict=False)]

@@ -1,9 +1,28 @@
 """Small helpers that the corpus operators share."""
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from waybill.session import work_dir
 
+_sent = set()
+
+
+def ship_code(spark):
+    """Send this package to the executors, once per application: their Python workers run
+    functions of it and need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _sent:
+        root = Path(__file__).resolve().parents[2]
+        archive = os.path.join(os.path.realpath(tempfile.mkdtemp()), "waybill-code")
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "waybill"))
+        _sent.add(context.applicationId)
+
+
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 

@@ -12,14 +12,18 @@ from waybill.llm import (
     suffix_dedup,
     token_file,
 )
-from waybill.llm.frames import table
+from waybill.llm.frames import ship_code, table
 
 QUERIES, ORACLES = {}, {}
 
 
 def query(name, sql=None):
     def register(build):
-        QUERIES[name] = build
+        def run(spark, sf_dir):
+            ship_code(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return build
