@@ -14,9 +14,9 @@ from checks.queries import drained
 from waybill import schemas
 from waybill.layout import Layout
 from waybill.operators.slicers import Selection, search, slicer_values
-from waybill.plans import pipeline, report
+from waybill.plans import pipeline, report, silver
 from waybill.session import build_session, work_dir
-from waybill.sources import serving, tables, topic
+from waybill.sources import csv_feed, serving, tables, topic
 from waybill.streaming import feeds
 
 RUNS = 3
@@ -79,7 +79,6 @@ def jobs(spark, layout, feed):
         to = work_dir(spark, "bench-bronze")
         query = feeds.topic_to_bronze(
             spark,
-            schemas.BRONZE_TRACKING,
             f"{to}/bronze",
             f"{to}/checkpoint",
             fmt="text",
@@ -100,6 +99,21 @@ def jobs(spark, layout, feed):
         "S13_json_safe_bundle",
         lambda: all_of(serving.fetch_json_safe(spark, layout.serving)),
     )
+    def streamed_upsert():
+        to = work_dir(spark, "bench-upsert")
+        messages = topic.subscribe(
+            spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{layout.root}/topic"
+        )
+        rule = {"keys": ["shipment_id"], "newest_by": ["event_timestamp", "event_id"]}
+        drained(
+            serving.upsert_stream(
+                silver.typed_tracking(messages), f"{to}/table", checkpoint=f"{to}/c", **rule
+            )
+        )
+        consume(serving.read_current(spark, f"{to}/table", **rule))
+
+    yield "S09_streamed_upsert", streamed_upsert
+    yield "S01_csv_scan", lambda: consume(csv_feed.read_csv_feed(spark, feed))
     yield "R01_feed_to_topic", feed_to_topic
     yield "R02_topic_to_bronze", topic_to_bronze
 
