@@ -14,10 +14,17 @@ aligned the similarity is m / (n1 + n2 - m). At 0.8 or more the unaligned k-mers
 texts are at most a ninth of all, which bounds the offset of every aligned pair; so the band
 loses nothing.
 
-Within a bucket no pairs are listed beforehand. All members meet the bucket's first node;
-only buckets whose members are then in different components go on, with more leaders a
-round, until their members are connected or have all led. A large group of near copies thus
-costs a row per member, and no link between components is lost.
+Before any pair is made, each candidate's k-mers that no other candidate has are counted. They
+cannot be aligned with anything, which bounds its similarity to all others: most members of a
+group that drifted apart have no partner at all, and need no comparison. In large buckets the
+bound counts only k-mers that more than `RARE` texts have. A similar pair above it meets in the
+bucket; one below it has a rare k-mer in common, and is found by joining on rare k-mers, which
+makes at most `RARE` pairs for each k-mer of a text.
+
+Within a bucket no pairs are listed beforehand. All members meet the bucket's first node, the
+one that shares most; only buckets whose members are then in different components go on, with
+more leaders a round, until their members are connected or have all led. A large group of near
+copies thus costs a row per member, and no link between components is lost.
 
 Nodes are distinct texts (by MD5), so exact copies cost a row each and no comparison. Null
 text is empty text; texts without a word are one group. A text of fewer than five words is
@@ -49,6 +56,9 @@ from waybill.llm.frames import fresh, stored, text_of
 WORDS = 5
 SIMILARITY = 0.8
 BANDS = 24
+#: Buckets with more members use the bound by frequent k-mers, and rare k-mers besides.
+LARGE_BUCKET = 64
+RARE = 16
 MATRIX_CELLS = 2_000_000
 CACHED_WORDS = 500_000
 TOKEN = re.compile(r"\w+")
@@ -161,16 +171,23 @@ def similarities(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([similarity(sequence(a), sequence(b)) for a, b in pairs], dtype="float64")
 
 
+def kmer_series(texts: pd.Series) -> pd.Series:
+    known = {}
+    return pd.Series([labelled(kmers(word_hashes(text, known))).view(np.int64) for text in texts])
+
+
 SKETCH_TYPE = StructType(
     [StructField("n", IntegerType()), StructField("bands", ArrayType(LongType()))]
 )
 SKETCH = F.pandas_udf(sketches, SKETCH_TYPE)
 ALIGN = F.pandas_udf(similarities, DoubleType())
+KMERS = F.pandas_udf(kmer_series, ArrayType(LongType()))
 
 
 def node_of(df):
-    """A distinct text."""
-    return F.unhex(F.md5(text_of(df)))
+    """A distinct text. Those without a word are one."""
+    text = text_of(df)
+    return F.unhex(F.md5(F.when(text.rlike(r"(?U)\w"), text).otherwise("")))
 
 
 def nodes_of(documents):
@@ -190,12 +207,11 @@ def nodes_of(documents):
 
 
 def crowded(nodes):
-    """(bucket, node, n) of the buckets with several nodes, and the first node of each."""
+    """(bucket, node, n) of the buckets with several nodes."""
     rows = nodes.select("node", "n", F.posexplode("bands").alias("band", "code"))
     rows = rows.select("node", "n", F.xxhash64("band", "code").alias("bucket"))
-    firsts = rows.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("nodes"))
-    firsts = firsts.where("nodes > 1").select("bucket", "lead")
-    return stored(rows.join(firsts, "bucket"), "buckets")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    return stored(rows.join(several.select("bucket"), "bucket"), "buckets")
 
 
 def texts_of(documents, nodes, wanted):
@@ -217,14 +233,33 @@ def verified(pairs, texts):
     return both.where(ALIGN("a_text", "b_text") >= SIMILARITY).select("a", "b")
 
 
-def plausible(left, right):
-    """Lengths with which the similarity can still be reached."""
-    left, right = F.greatest(left - WORDS + 1, F.lit(1)), F.greatest(right - WORDS + 1, F.lit(1))
-    return F.least(left, right) >= SIMILARITY * F.greatest(left, right)
+def kmer_counts(texts):
+    """(node, tag, kmers, shared, common): a text's labelled k-mers, those that another text
+    has, and those that more than `RARE` texts have; and (tag, code) of the k-mers between."""
+    rows = texts.select("node", F.xxhash64("node").alias("tag"), KMERS("text").alias("codes"))
+    codes = rows.select("tag", F.explode("codes").alias("code"))
+    held = codes.groupBy("code").agg(F.count("*").alias("texts"), F.min("tag").alias("tag"))
+    held = stored(held.where(F.col("texts") <= RARE), "held")
+    rare = stored(codes.join(held.where("texts > 1").select("code"), "code"), "rare")
+    alone = held.where("texts = 1").groupBy("tag").agg(F.count("*").alias("alone"))
+    few = rare.groupBy("tag").agg(F.count("*").alias("few"))
+    counted = rows.select("node", "tag", F.size("codes").alias("kmers"))
+    counted = counted.join(alone, "tag", "left").join(few, "tag", "left").fillna(0, ["alone", "few"])
+    shared = F.col("kmers") - F.col("alone")
+    counts = counted.select(
+        "node", "tag", "kmers", shared.alias("shared"), (shared - F.col("few")).alias("common")
+    )
+    return stored(counts, "counts"), rare
+
+
+def plausible(kmers, bound, other_kmers, other_bound):
+    """Whether enough k-mers can be aligned, if no text can align more than its bound."""
+    needed = SIMILARITY / (1 + SIMILARITY) * (kmers + other_kmers)
+    return F.least(bound, other_bound, kmers, other_kmers) >= needed - 1e-9
 
 
 def divided(members, edges):
-    """The members of buckets that hold several components, in order within the bucket."""
+    """The members of buckets that hold several components."""
     roots = components(edges)
     rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -236,46 +271,68 @@ def highest(rows):
     return rows.agg(F.coalesce(F.max("place"), F.lit(0))).first()[0]
 
 
+def led_pairs(rows, led, upto):
+    """Pairs of the members at the places after `led` up to `upto` with all behind them."""
+    leaders = rows.where(F.col("place").between(led + 1, upto)).select(
+        "bucket",
+        F.col("node").alias("a"),
+        F.col("root").alias("a_root"),
+        F.col("place").alias("a_place"),
+        F.col("kmers").alias("a_kmers"),
+        F.col("bound").alias("a_bound"),
+    )
+    near = plausible(F.col("kmers"), F.col("bound"), F.col("a_kmers"), F.col("a_bound"))
+    behind = rows.where(F.col("place") > led).join(leaders, "bucket")
+    pairs = behind.where(
+        (F.col("place") > F.col("a_place")) & (F.col("root") != F.col("a_root")) & near
+    )
+    return pairs.select("a", F.col("node").alias("b")).distinct()
+
+
+def rare_pairs(rare, nodes):
+    """Pairs of nodes in different components with a rare k-mer in common."""
+    own = rare.join(nodes.select("tag", "node", "root", "kmers", "shared"), "tag").drop("tag")
+    other = own.withColumnsRenamed({name: f"a_{name}" for name in ("node", "root", "kmers", "shared")})
+    near = plausible(F.col("kmers"), F.col("shared"), F.col("a_kmers"), F.col("a_shared"))
+    both = own.join(other, "code").where(
+        (F.col("a_node") < F.col("node")) & (F.col("a_root") != F.col("root")) & near
+    )
+    return both.select(F.col("a_node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def rooted(nodes, edges):
+    roots = components(edges)
+    return nodes.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def links(documents, nodes):
     """Verified edges (a, b) between distinct texts, enough to connect all similar ones."""
     members = crowded(nodes)
     texts = texts_of(documents, nodes, members)
-    sizes = nodes.select(F.col("node").alias("a"), F.col("n").alias("a_n"))
-    pairs = members.where("node <> lead").select(
-        F.col("lead").alias("a"), F.col("node").alias("b"), "n"
-    )
-    pairs = pairs.distinct().join(sizes, "a").where(plausible(F.col("n"), F.col("a_n")))
-    edges = stored(verified(pairs.select("a", "b"), texts), "edges")
-    order = Window.partitionBy("bucket").orderBy("node")
-    rows = divided(members.drop("lead"), edges).withColumn("place", F.row_number().over(order))
-    rows = stored(rows, "divided")
-    led, most = 1, highest(rows)
-    while most > led:
-        upto = led * 4
-        leaders = rows.where(F.col("place").between(led + 1, upto)).select(
-            "bucket",
-            F.col("node").alias("a"),
-            F.col("root").alias("a_root"),
-            F.col("place").alias("a_place"),
-            F.col("n").alias("a_n"),
-        )
-        pairs = (
-            rows.where(F.col("place") > led)
-            .join(leaders, "bucket")
-            .where(
-                (F.col("place") > F.col("a_place"))
-                & (F.col("root") != F.col("a_root"))
-                & plausible(F.col("n"), F.col("a_n"))
-            )
-        )
-        more = stored(verified(pairs.select("a", F.col("node").alias("b")).distinct(), texts), "edges")
-        edges, led = edges.unionByName(more), upto
+    counts, rare = kmer_counts(texts)
+    able = counts.where(F.col("shared") >= SIMILARITY * F.col("kmers") - 1e-9)
+    rows = members.select("bucket", "node").join(able, "node")
+    large = F.count("*").over(Window.partitionBy("bucket")) > LARGE_BUCKET
+    rows = rows.withColumn("large", large).withColumn("root", F.col("node"))
+    rows = rows.withColumn("bound", F.when(F.col("large"), F.col("common")).otherwise(F.col("shared")))
+    # The text that shares most leads first: in a group of copies it is near the middle.
+    order = Window.partitionBy("bucket").orderBy(F.desc(F.col("bound") / F.col("kmers")), "node")
+    rows = stored(rows.withColumn("place", F.row_number().over(order)), "divided")
+    crowd = stored(rows.where("large").select(*counts.columns).distinct(), "crowd")
+    edges, led, upto = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), 0, 1
+    while highest(rows) > max(led, 1):
+        more = stored(verified(led_pairs(rows, led, upto), texts), "edges")
+        edges = edges.unionByName(more)
         if more.limit(1).count():
             rows = divided(rows.drop("root"), edges)
-        waiting = rows.groupBy("bucket").agg(F.max("place").alias("last")).where(F.col("last") > led)
-        rows = stored(rows.join(waiting.select("bucket"), "bucket"), "divided")
-        most = highest(rows)
-    return edges
+        waiting = rows.groupBy("bucket").agg(F.max("place").alias("last"))
+        waiting = waiting.where(F.col("last") > upto).select("bucket")
+        rows = stored(rows.join(waiting, "bucket"), "divided")
+        led, upto = upto, upto * 4
+    if not crowd.limit(1).count():
+        return edges
+    last = rare_pairs(rare, rooted(crowd, edges))
+    return edges.unionByName(stored(verified(last, texts), "edges"))
 
 
 def classes(documents):
