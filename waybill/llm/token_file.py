@@ -18,6 +18,7 @@ tokenizers, or a path that every executor can read.
 """
 
 import re
+from collections import ChainMap
 from zlib import crc32
 
 import numpy as np
@@ -33,9 +34,12 @@ TOKENIZER = "word_bpe_49k.json"
 END = 1
 BLOCK_TOKENS = 1 << 16
 #: Words whose ids a worker remembers: the first it meets, so mostly the frequent ones.
-CACHED_WORDS = 400_000
-#: The tokenizer drops white space, so words between these characters can be taken alone.
-WORDS = re.compile(r"[^ \t\n\v\f\r]+")
+CACHED_WORDS = 150_000
+#: Characters of the texts that are taken apart at a time; a longer text is taken alone.
+CHARS_AT_ONCE = 3_000_000
+#: The tokenizer drops white space and ends a token between a letter and a mark after it, so
+#: these pieces can be taken alone, and recur more often than words with their marks.
+WORDS = re.compile(r"[^\W\d_]+(?=[.,;:!?])|[^ \t\n\v\f\r]+")
 LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64)
 
 KEYS = "part int, block int, nulls int, doc_ids array<long>, lengths array<int>, tokens long"
@@ -58,22 +62,29 @@ class Encoder:
         self.cache = _known.setdefault(path, {})
 
     def __call__(self, texts):
+        """One text after another; words are looked up for some texts at a time, as they take
+        many times the memory of their text."""
+        some, size = [], 0
+        for text in texts:
+            if some and size + len(text) > CHARS_AT_ONCE:
+                yield from self.coded(some)
+                some, size = [], 0
+            some.append(text)
+            size += len(text)
+        yield from self.coded(some)
+
+    def coded(self, texts):
         words = [WORDS.findall(text) for text in texts]
-        new = list(set().union(*words).difference(self.cache)) if words else []
+        new = list(set().union(*words).difference(self.cache))
         coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         fresh = {
             word: np.array(code.ids, "<u4").tobytes() for word, code in zip(new, coded, strict=True)
         }
-        room = CACHED_WORDS - len(self.cache)
-        known = self.cache
-        if room >= len(fresh):
-            known.update(fresh)
-            find = known.__getitem__
-        else:
-            known.update(list(fresh.items())[: max(room, 0)])
-            find = lambda word: known.get(word) or fresh[word]
+        room = max(CACHED_WORDS - len(self.cache), 0)
+        self.cache.update(list(fresh.items())[:room])
+        known = ChainMap(fresh, self.cache) if len(fresh) > room else self.cache
         end = np.array([END], "<u4").tobytes()
-        return [b"".join([*map(find, some), end]) for some in words]
+        return [b"".join([*map(known.__getitem__, some), end]) for some in words]
 
 
 def tokenized(name):
@@ -169,7 +180,8 @@ def decoded(ids):
                     rows.append((block.part, block.block, own, begin, length, code))
                     begin += length
             names = [column.split()[0] for column in READ.split(", ")]
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            # As objects first: numbers next to nulls would become floats.
+            yield pd.DataFrame(rows, columns=names, dtype=object).astype(dict.fromkeys(names, "Int64"))
 
     return run
 
