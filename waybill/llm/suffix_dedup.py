@@ -225,13 +225,16 @@ def told_contexts(buckets):
 def told_places(batches):
     """Documents (id, mark, text, codes) to a row (c1, c2, id, mark, place) per context."""
     for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            places, _, records = contexts(row.text, np.frombuffer(row.codes, U))
-            one, two = two_hashes(as_words(records))
-            out.append(pd.DataFrame({"c1": one, "c2": two, "id": row.id, "mark": row.mark, "place": places}))
-        if out:
-            yield pd.concat(out)
+        found = [
+            contexts(text, np.frombuffer(codes, U))
+            for text, codes in zip(batch["text"], batch["codes"], strict=True)
+        ]
+        if found:
+            lengths = [len(places) for places, _, _ in found]
+            one, two = two_hashes(as_words(np.concatenate([records for _, _, records in found])))
+            ids, marks = (np.repeat(batch[name].to_numpy(), lengths) for name in ("id", "mark"))
+            places = np.concatenate([places for places, _, _ in found])
+            yield pd.DataFrame({"c1": one, "c2": two, "id": ids, "mark": marks, "place": places})
 
 
 def windows(records):
