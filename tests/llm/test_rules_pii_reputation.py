@@ -66,6 +66,21 @@ def test_formats_are_kept_and_values_linked(spark, documents):
     assert out != replaced(spark, documents, values, "other")
 
 
+def test_every_kind_alone_in_a_text_is_replaced(spark, documents):
+    examples = {
+        "email": ["ab@example.org"],
+        "ip": ["1.2.3.4"],
+        "date": ["2023-02-03", "03.02.2023", "03/02/2023"],
+        "ssn": ["219-09-9999"],
+        "phone": ["+49 30 12 34 56", "(523) 555-1055", "523.555.1055"],
+        "card": ["41 11 11 11 11 11 11 11", "4111111111111111"],
+    }
+    assert set(examples) == set(pii.KINDS)
+    values = [value for some in examples.values() for value in some]
+    out = replaced(spark, documents, values)
+    assert all(a != b for a, b in zip(values, out, strict=True)), out
+
+
 def test_invalid_values_stay(spark, documents):
     values = ["4111111111111112", "256.1.1.1", "01.2.3.4", "2023-02-30", "000-12-3456", "12345", "a@b", "1.2.3.4.5"]
     assert replaced(spark, documents, values) == values

@@ -34,8 +34,9 @@ PHONE = r"(?<!\w)(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\)
 CARD = r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)"
 KINDS = {"email": EMAIL, "ip": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
 ANY = "|".join(KINDS.values())
-#: Every value has one of these; texts without them are not searched.
-HINT = r"@|\d{3}|\d\.\d|\(\d|-\d|/\d"
+#: Every value of every kind has one of these, however its digits are grouped; texts without
+#: them are not searched.
+HINT = r"@|\d"
 FIRST_DAY = "DATE'1800-01-01'"
 DAYS = (189, 773)
 
