@@ -81,6 +81,46 @@ def test_every_kind_alone_in_a_text_is_replaced(spark, documents):
     assert all(a != b for a, b in zip(values, out, strict=True)), out
 
 
+def test_cards_next_to_numbers(spark, documents):
+    card, amex, pairs = "4111 1111 1111 1111", "3782 822463 10005", "41 11 11 11 11 11 11 11"
+    texts = [
+        "{} 12/25", "{} 123", "12 {}", "{} 25/12/2027", "{} 12@b.org", "no 1.5 {} 7.25", "{}-12", "12-{}", "7 {} {} 9",
+        "+1 523 555 1055 {}", "219-09-9999 {} 2024-01-02", "12 219-09-9999 {}", "\ufdd0{}\ufdd1", "\ufdd0 {} \ufdd1 \ufdd1",
+    ]
+    values = [text.replace("{}", one) for text in texts for one in (card, card.replace(" ", ""), card.replace(" ", "-"), amex)]
+    values.append(pairs + " 12/25")
+    frame = documents(*[(n, value) for n, value in enumerate([card, card.replace(" ", ""), card.replace(" ", "-"), amex, pairs, *values])])
+    out = [row.text for row in pii.pseudonyms(frame, "k").orderBy("doc_id").collect()]
+    names = out[:5]
+    for n, (text, value) in enumerate(zip(values, out[5:], strict=True)):
+        name = names[4] if n == len(values) - 1 else names[n % 4]
+        assert name in value, (text, value)
+        assert pattern(value) == pattern(text), (text, value)
+    kept = [n for n, text in enumerate(texts) if not re.search(r"@|/2027|2024|219|523", text)]
+    for n in kept:
+        for k, name in enumerate(names[:4]):
+            assert out[5 + 4 * n + k] == texts[n].replace("{}", name)
+    for n in (3, 4, 9, 10, 11):
+        other = re.search(r"25/12/2027|12@b.org|\+1 523 555 1055|219-09-9999", texts[n]).group()
+        assert other not in out[5 + 4 * n]
+
+
+def test_long_telephone_numbers(spark, documents):
+    values = ["+49 30 12 34 56 78", "+49 30 12 34 56", "+7 495 12 34 56 78", "+123 4567 8901 2345 6789", "+49 30 12 34 03/02/2024"]
+    out = replaced(spark, documents, values)
+    assert all(pattern(a) == pattern(b) for a, b in zip(values, out, strict=True))
+    ends = [(" 78", 0), (" 78", 2), (" 6789", 3), ("03/02/2024", 4)]
+    assert not any(out[n].endswith(end) for end, n in ends), out
+
+
+def test_runs_without_cards_stay(spark, documents):
+    values = ["\ufdd04111111111111112\ufdd1", "4111 1111 1111 1112", "4111111111111111-12x", "4111-1111-1111-1111-12x", "4111111111111111.5", "1" * 30000 + "x"]
+    assert replaced(spark, documents, values) == values
+    long = " ".join(["1234567"] * 3000) + " 4111 1111 1111 1111 " + "1-" * 30000 + "x"
+    (out,) = replaced(spark, documents, [long])
+    assert len(out) == len(long) and out != long and "4111 1111 1111 1111" not in out
+
+
 def test_invalid_values_stay(spark, documents):
     values = ["4111111111111112", "256.1.1.1", "01.2.3.4", "2023-02-30", "000-12-3456", "12345", "a@b", "1.2.3.4.5"]
     assert replaced(spark, documents, values) == values

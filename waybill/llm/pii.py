@@ -12,6 +12,11 @@ records stay linked, and different values never meet.
 * dates (yyyy-MM-dd, dd.MM.yyyy, dd/MM/yyyy) from 1800 to 2199: days of the 400-year cycle, as
   pairs of numbers below 189 and 773.
 
+A number next to a value does not hide it: of a run of digits with single spaces and hyphens, the
+cards in usual groups are taken first, then from the left any groups of 13 to 19 digits, the most
+digits first, whose Luhn digit is right; so one run of small groups in ten or more has a card by
+chance. A telephone number ends before a valid card.
+
 What looks like a value but is not valid stays as it is (cards with a wrong Luhn digit, octets
 above 255, days that do not exist, dates with the month first). Null text stays null. Repeated
 rows get equal texts; other columns are untouched. Everything is built-in functions.
@@ -30,10 +35,40 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 DATE = r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w]|[.-]\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)"
-PHONE = r"(?<!\w)(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w]|[.-]\d)"
+# An international number has up to three groups after the area code, and more while it has no more
+# than 15 digits. None of those after the second begins a day or a number of another kind.
+NATIONAL = r"\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
+
+
+def phone_before(stop):
+    """Telephone numbers that end before `stop`."""
+    more = rf"(?!{stop}| (?:{DATE}|{SSN}))[ .-]?\d{{2,4}}"
+    # Written out, as Java wants to see how far it looks back.
+    within = r"(?<!" + r"\d[ .()-]{0,2}" * 15 + r"\d)"
+    groups = rf"(?:[ .-]?\d{{2,4}}){{2}}(?:{more}(?:{more}{within}){{0,3}})?"
+    return rf"(?<!\w)(?:\+\d{{1,3}}[ .-]?\(?\d{{2,4}}\)?{groups}|{NATIONAL})(?![\w]|[.-]\d)"
+
+
+PHONE = phone_before(r"\+")
 CARD = r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)"
 KINDS = {"email": EMAIL, "ip": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
-ANY = "|".join(KINDS.values())
+#: Usual groups of cards, looked for first, and any others from the longest on.
+GROUPED = (r"\d{4}([ -])\d{4}\2\d{4}\2\d{4}", r"\d{4}([ -])\d{6}\2\d{4,5}", r"\d{13,19}")
+LOOSE = tuple(rf"\d(?:[ -]?\d){{{more}}}" for more in range(18, 11, -1))
+#: Only texts with this can have a card.
+LONG = r"\d(?:[ -]?\d){12}"
+# Runs of digits with single spaces and hyphens, as long as they go and up to the next value of
+# another kind; groups that hyphens tie to a letter or a decimal are passed over as a whole.
+_CHUNK = r"\d++(?:-\d++)*+(?!\w|\.\d)"
+RUN = rf"(?<![\w.]){_CHUNK}(?: (?!{EMAIL}|{DATE}|{SSN}|{PHONE}){_CHUNK})*+"
+_BROKEN = r"(?<![\w.])\d++(?:-\d++)*+(?:\w|\.\d)"
+_SHAPED = r"[ .-]?(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}(?!\d)|\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d)|\d{13})"
+RUNS = "|".join([EMAIL, IPV4, DATE, SSN, phone_before(_SHAPED), RUN, _BROKEN])
+#: Cards are marked before the other values are looked for, by characters that texts do not have.
+#: Marks of a text's own do no harm: only those next to a valid card are taken away again.
+OPEN, CLOSE = "﷐", "﷑"
+MARKED = OPEN + r"\d(?:[ -]?\d){12,18}" + CLOSE
+ANY = "|".join([*(pattern for kind, pattern in KINDS.items() if kind != "card"), MARKED])
 #: Every value of every kind has one of these, however its digits are grouped; texts without
 #: them are not searched.
 HINT = r"@|\d"
@@ -176,24 +211,113 @@ def ssn(value, key):
     return F.when(~value.rlike(r"^(?:000|666|9)|-00-|-0000$"), permuted_text(value, key))
 
 
+def respelled(text, pattern, found, between):
+    """`text` with what matches `pattern` changed by `found`, and the text between by `between`."""
+
+    def joined(values, pieces):
+        changed = F.transform(
+            pieces, lambda piece, at: F.concat(between(piece), F.coalesce(found(F.get(values, at)), F.lit("")))
+        )
+        return F.array_join(changed, "")
+
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return let(values, lambda values: let(F.split(text, pattern, -1), lambda pieces: joined(values, pieces)))
+
+
+def with_marks(run, forms):
+    """A run of digits with marks around its valid cards of these forms, which begin and end
+    with groups; from the left, none within another."""
+
+    def valid(value):
+        return F.when((value != "") & (luhn_sum(digits_of(value), False) % 10 == 0), value)
+
+    def marked(groups, cards):
+        def step(state, at):
+            card = F.get(cards, at)
+            end = at + F.size(F.split(card, "[ -]"))
+            return (
+                F.when(
+                    card.isNotNull() & (at >= state["free"]),
+                    F.struct(
+                        end.alias("free"),
+                        F.concat(state["begins"], F.array(at)).alias("begins"),
+                        F.concat(state["ends"], F.array(end - 1)).alias("ends"),
+                    ),
+                )
+                .otherwise(state)
+                .cast(kind)
+            )
+
+        def spelled(state):
+            return F.transform(
+                groups,
+                lambda group, at: F.concat(
+                    F.when(F.array_contains(state["begins"], at), OPEN).otherwise(""),
+                    F.when(
+                        F.array_contains(state["ends"], at), F.regexp_replace(group, r"^(\d+)", "$1" + CLOSE)
+                    ).otherwise(group),
+                ),
+            )
+
+        kind = "struct<free:int,begins:array<int>,ends:array<int>>"
+        none = F.array().cast("array<int>")
+        start = F.struct(F.lit(0).alias("free"), none.alias("begins"), none.alias("ends")).cast(kind)
+        chosen = F.aggregate(span(F.lit(0), F.size(groups)), start, step)
+        return let(chosen, lambda state: F.array_join(spelled(state), ""))
+
+    # At every group, the card of each form that begins there, or empty text.
+    tables = F.array(
+        *[F.regexp_extract_all(run, F.lit(rf"(?<!\d)(?=\d)(?=({form}(?!\d))?)"), F.lit(1)) for form in forms]
+    )
+    groups = F.regexp_extract_all(run, F.lit(r"\d+\D*"), F.lit(0))
+
+    def cards(groups, tables):
+        return F.transform(
+            groups,
+            lambda _, at: F.coalesce(*[valid(F.get(F.get(tables, F.lit(k)), at)) for k in range(len(forms))]),
+        )
+
+    rest = let(
+        groups,
+        lambda groups: let(
+            let(tables, lambda tables: cards(groups, tables)), lambda cards: marked(groups, cards)
+        ),
+    )
+    return F.concat(F.regexp_extract(run, r"^\D*", 0), rest)
+
+
+def cards_marked(text):
+    """`text` with marks around the valid cards of its runs of digits."""
+
+    def loose(piece):
+        return F.when(piece.rlike(LONG), with_marks(piece, LOOSE)).otherwise(piece)
+
+    def run(value):
+        grouped = let(
+            with_marks(value, GROUPED), lambda value: respelled(value, MARKED, lambda card: card, loose)
+        )
+        return F.when(value.rlike(r"^[\d -]+$") & value.rlike(LONG), grouped).otherwise(value)
+
+    return F.when(text.rlike(LONG), respelled(text, RUNS, run, lambda piece: piece)).otherwise(text)
+
+
 def pseudonym(value, key):
     """The pseudonym of a value; null where it is not valid."""
     whole = lambda pattern: value.rlike(f"^(?:{pattern})$")
     return (
-        F.when(value.contains("@"), permuted_text(value, key + "/email"))
+        F.when(value.startswith(OPEN), card(F.substr(value, F.lit(2), F.length(value) - 2), key + "/card"))
+        .when(value.contains("@"), permuted_text(value, key + "/email"))
         .when(whole(IPV4), ip(value, key + "/ip"))
         .when(whole(DATE), date(value, key + "/date"))
         .when(whole(SSN), ssn(value, key + "/ssn"))
         .when(whole(PHONE), permuted_text(value, key + "/phone"))
-        .otherwise(card(value, key + "/card"))
     )
 
 
 def pseudonymised(text, key):
     """(text, replaced): the text with its values replaced, and their number."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
 
-    def rebuilt(found):
+    def rebuilt(text, found):
         names = F.transform(found, lambda value: pseudonym(value, key))
 
         def joined(names):
@@ -214,10 +338,12 @@ def pseudonymised(text, key):
 
     kind = "struct<text:string,replaced:int>"
     untouched = F.struct(text.alias("text"), F.lit(0).alias("replaced")).cast(kind)
-    return F.when(
-        text.rlike(HINT),
-        let(found, lambda found: F.when(F.size(found) > 0, rebuilt(found).cast(kind)).otherwise(untouched)),
-    ).otherwise(untouched)
+
+    def searched(text):
+        found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+        return let(found, lambda found: F.when(F.size(found) > 0, rebuilt(text, found).cast(kind)).otherwise(untouched))
+
+    return F.when(text.rlike(HINT), let(cards_marked(text), searched)).otherwise(untouched)
 
 
 def pseudonyms(documents, key):
