@@ -160,6 +160,18 @@ def test_messages_land_whole_and_broken_ones_aside(spark, folder):
     assert sorted(row.value for row in read.text(rejects).collect()) == sorted(broken)
 
 
+def test_messages_of_several_lines_land_once_each(spark, folder):
+    sound = ['{\n  "event_id": "1",\r\n  "later": [\n1\r]\n}\n', '{"event_id": "2\\n"}', '{"event_id": "3"}\n{"event_id": "4"}\n']
+    aside = ['{"event_id":\n"5"\n', "a\r\nb \\n\n", "\\x", '"a\\nb"', '{"event_id": "6\n7"}', '{"event_id":\n"8"}\n{"event_id": "9"}']
+    spark.createDataFrame([(one,) for one in sound + aside], "value string").write.parquet(folder("topic"))
+    messages = spark.readStream.schema("value string").parquet(folder("topic"))
+    finish(bronze.append_bronze(messages, folder("bronze"), folder("c")))
+    found = bronze.read_bronze(spark, folder("bronze"), schemas.all_strings(["event_id", "later"]))
+    assert bag(found) == {("1", "[1]"): 1, ("2\n", None): 1, ("3", None): 1, ("4", None): 1}
+    assert bronze.broken_lines(spark, folder("bronze")).count() == 0
+    assert sorted(row.value for row in bronze.read_rejects(spark, folder("bronze")).collect()) == sorted(aside)
+
+
 def test_a_second_query_keeps_the_batches_of_the_first(spark, folder):
     run_feed(spark, folder, add_file(folder, "a.csv", *range(4)))
     run_sink(spark, folder, checkpoint="c1-sink")

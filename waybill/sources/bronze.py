@@ -1,6 +1,8 @@
 """Bronze: messages as they came, one JSON object a line, append-only.
 
-Nothing is projected on the way in: a message keeps fields that no schema knows yet. Values
+Nothing is projected on the way in: a message keeps fields that no schema knows yet. Line breaks
+between the tokens of a message become spaces; a message of one whole object a line keeps its
+lines, and one of several objects that are themselves broken over lines is no JSON object. Values
 that are not JSON objects go to a folder of their own. Schemas apply on reading, and one
 definition of a sound line (`topic.from_messages`) serves all readers.
 """
@@ -43,6 +45,45 @@ def rejects_of(path):
     return f"{path.rstrip('/')}-rejects"
 
 
+def _lined(values):
+    """`values`, which are sound, as text that is read line by line; null where that would lose
+    a part."""
+    value = F.col("value")
+    # In sound JSON, a line break stands between tokens only.
+    single = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
+    each = F.forall(
+        F.split(value, r"[\r\n]+"),
+        lambda line: (F.trim(line) == "") | (F.trim(line).startswith("{") & F.get_json_object(line, "$").isNotNull()),
+    )
+    text = (
+        F.when(~value.rlike(r"[\r\n]"), value)
+        .when(single, F.regexp_replace(value, r"[\r\n]", " "))
+        .when(each, value)
+    )
+    return values.withColumn("lined", text)
+
+
+def _sound(batch):
+    return _lined(topic.accepted(batch)).where("lined IS NOT NULL").select(F.col("lined").alias("value"))
+
+
+def _aside(batch):
+    """The other values, one a line: those with line breaks as a backslash and a JSON object,
+    like those that begin with a backslash, so that `read_rejects` can tell them."""
+    value = F.col("value")
+    others = topic.rejected(batch).union(_lined(topic.accepted(batch)).where("lined IS NULL").select("value"))
+    escaped = F.concat(F.lit("\\"), F.to_json(F.struct("value")))
+    return others.select(F.when(value.rlike(r"[\r\n]|^\\"), escaped).otherwise(value).alias("value"))
+
+
+def read_rejects(spark, path):
+    """The values that bronze at `path` did not take, as they came."""
+    line = F.col("value")
+    whole = F.from_json(F.substr(line, F.lit(2)), "value string")["value"]
+    lines = _lines(spark.read, rejects_of(path))
+    return lines.select(F.when(line.startswith("\\"), whole).otherwise(line).alias("value"))
+
+
 def append_bronze(messages, path, checkpoint, trigger=None, max_records_per_file=None):
     """Append the values of a stream to bronze, each exactly once across restarts, and those
     that are not JSON objects to `rejects_of(path)`.
@@ -54,7 +95,7 @@ def append_bronze(messages, path, checkpoint, trigger=None, max_records_per_file
     def land(batch, batch_id):
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         name = f"batch-{query}-{batch_id:010d}"
-        for values, folder in ((topic.accepted, path), (topic.rejected, rejects_of(path))):
+        for values, folder in ((_sound, path), (_aside, rejects_of(path))):
             writer = values(batch).write.mode("overwrite")
             if max_records_per_file:
                 writer = writer.option("maxRecordsPerFile", max_records_per_file)
