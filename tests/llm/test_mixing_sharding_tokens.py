@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import zlib
 
@@ -160,6 +162,35 @@ def test_leaks_tolerate_substitutions(spark, documents, clashing):
     assert decontaminate.leaks(frame, bench.limit(0)).count() == 0
 
 
+def test_leaks_equal_a_search_without_masks(spark, documents):
+    rng = random.Random(5)
+    items = {n: [f"i{n}x{at}" for at in range(n)] for n in range(1, 15)}
+    items |= {100 + n: [rng.choice("abc") for _ in range(n)] for n in range(1, 15)}
+    texts = [[rng.choice("abc") for _ in range(rng.randrange(40))] for _ in range(40)]
+    for n in range(1, 15):
+        for changes in range(4):
+            some = list(itertools.combinations(range(n), changes))
+            for places in rng.sample(some, min(len(some), 66)):
+                words = ["xx" if at in places else word for at, word in enumerate(items[n])]
+                texts.append(["pre"] * rng.randrange(3) + words + ["post"] * rng.randrange(2))
+
+    def places_of(text, item):
+        window = min(13, len(item))
+        diagonals = range(-len(item) + 1, len(text))
+        equal = [[0 <= at + d < len(text) and text[at + d] == item[at] for at in range(len(item))] for d in diagonals]
+        inside = [[0 <= at + d < len(text) for at in range(len(item))] for d in diagonals]
+        return sum(
+            any(all(there[at : at + window]) and sum(flags[at : at + window]) >= math.ceil(0.8 * window) for at in range(len(item) - window + 1))
+            for flags, there in zip(equal, inside, strict=True)
+        )
+
+    expected = {(d, i): places_of(text, item) for d, text in enumerate(texts) for i, item in items.items()}
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in items.items()], "item_id long, text string")
+    frame = documents(*[(d, " ".join(text)) for d, text in enumerate(texts)])
+    found = decontaminate.leaks(frame, bench).select("doc_id", "item_id", "places")
+    assert bag(found) == {(*key, n): 1 for key, n in expected.items() if n}
+
+
 def test_without_a_broadcast(spark, documents, monkeypatch):
     bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
     frame = documents((1, f"x {ITEM}"), (2, "y"))

@@ -7,12 +7,20 @@ benchmark item relative to the document, and the words along it are compared: an
 counts when some `WINDOW` consecutive words of the item (all of a shorter item) have at
 least `EQUAL_SHARE` of them in place.
 
+The masks meet every overlap of items of `WINDOW` words or more. Each length below has masks of
+its own: an item is cut into blocks, and every mask leaves out as many of them as words may
+differ, so one of them meets every overlap (items of up to four words must be equal). Documents
+have seeds of those lengths only that the benchmark has.
+
 Words are maximal runs of letters and digits, in lower case. Null text is empty text. Items
-shorter than the shortest mask have no seeds and match nothing. Repeated documents and items
+without words match nothing. Repeated documents and items
 are each judged like any other; a repeated item counts its own overlaps. Everything is
 built-in functions.
 """
 
+import math
+from itertools import chain, combinations
+
 from pyspark.sql import functions as F
 
 from waybill.llm.frames import fresh, let, span, text_of
@@ -30,22 +38,44 @@ def words(text):
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def seeds(rows, keys):
-    """`keys`, at, seed for every place and mask; `rows` has `keys` and `words`."""
+def short_masks(n):
+    """Masks that meet every overlap of an item of `n` words, fewer than `WINDOW`."""
+    differ = n - math.ceil(EQUAL_SHARE * n)
+    blocks = (1, 5 if n == 5 else 3, 4)[differ]
+    cuts = [n * at // blocks for at in range(blocks + 1)]
+    parts = [range(*ends) for ends in zip(cuts, cuts[1:], strict=False)]
+    return [tuple(chain(*kept)) for kept in combinations(parts, blocks - differ)]
+
+
+def coded(number, mask):
+    return F.xxhash64(F.lit(number), *[F.get("words", F.col("at") + step) for step in mask])
+
+
+def seeds(rows, keys, lengths=(), long=True):
+    """`keys`, at, seed for every place and mask; `rows` has `keys` and `words`. With the masks
+    of items of these `lengths`, and of longer items if `long`."""
+    masks = [(mask[-1] + 1, number, mask) for number, mask in enumerate(MASKS)] if long else []
+    masks += [(n, 100 * n + at, mask) for n in lengths for at, mask in enumerate(short_masks(n))]
+    shortest = min(width for width, _, _ in masks)
     places = rows.select(
-        *keys, "words", F.explode(span(F.lit(0), F.size("words") - (SHORTEST - 1))).alias("at")
+        *keys, "words", F.explode(span(F.lit(0), F.size("words") - (shortest - 1))).alias("at")
     )
     codes = [
-        F.when(
-            F.col("at") + mask[-1] < F.size("words"),
-            F.xxhash64(F.lit(number), *[F.get("words", F.col("at") + step) for step in mask]),
-        )
-        for number, mask in enumerate(MASKS)
+        F.when(F.col("at") + width <= F.size("words"), coded(number, mask)) for width, number, mask in masks
     ]
     found = places.select(*keys, "at", F.explode(F.array(*codes)).alias("seed"))
     return found.where("seed IS NOT NULL")
 
 
+def seeds_of_items(items, lengths):
+    """seed, item_id and item_at of every item, by the masks for its length."""
+    size = F.size("words")
+    found = seeds(items.where(size >= WINDOW), ["item_id"])
+    for n in lengths:
+        found = found.union(seeds(items.where(size == n), ["item_id"], [n], long=False))
+    return found.select("seed", "item_id", F.col("at").alias("item_at"))
+
+
 def overlap(document, item, diagonal):
     """(equal words on the diagonal, equal words of the best window, window) of two texts."""
     begin = F.greatest(F.lit(0), -diagonal)
@@ -79,13 +109,14 @@ def overlaps(documents, benchmark):
     text = text_of(documents)
     rows = documents.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
     items = benchmark.select("item_id", words(text_of(benchmark)).alias("words"))
-    known = seeds(items, ["item_id"]).select(
-        "seed", "item_id", F.col("at").alias("item_at")
-    )
+    sizes = items.select(F.size("words").alias("n")).where(F.col("n").between(1, WINDOW - 1)).distinct()
+    # A row per length below `WINDOW`.
+    lengths = sorted(row.n for row in sizes.collect())
+    known = seeds_of_items(items, lengths)
     if known.count() <= BROADCAST_SEEDS:
         known = F.broadcast(known)
     hits = (
-        seeds(rows.select("doc_id", "mark", words(F.col("text")).alias("words")), ["doc_id", "mark"])
+        seeds(rows.select("doc_id", "mark", words(F.col("text")).alias("words")), ["doc_id", "mark"], lengths)
         .join(known, "seed")
         .select("doc_id", "mark", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
         .distinct()
