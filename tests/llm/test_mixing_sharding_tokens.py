@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import bag
 from waybill.llm import decontaminate, mixing, quality, sharding, token_file
@@ -134,6 +135,24 @@ def test_token_files_round_trip(spark, documents, monkeypatch):
     assert token_file.round_trip(documents()).count() == 0
 
 
+def test_rows_without_an_id_spread_over_tasks(spark, documents, folder):
+    frame = documents(*[(None, f"text {n}") for n in range(400)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_file.write_tokens(frame, folder("tokens"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = spark.read.parquet(folder("tokens/blocks")).groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n"))
+    sizes = [row.n for row in parts.collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 200
+    found = token_file.read_tokens(spark, folder("tokens")).orderBy("start").collect()
+    start = 0
+    for row in found:
+        assert row.doc_id is None and row.start == start
+        start += row.n_tokens
+    assert len(found) == 400
+
+
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
 
 

@@ -190,7 +190,8 @@ def write_tokens(documents, path, tokenizer=TOKENIZER):
     """Write the files of `documents` to the folder `path`."""
     spark = documents.sparkSession
     rows = documents.select("doc_id", text_of(documents).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # By the text too, so that many rows of one id, or without an id, spread over tasks.
+    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     # Without nulls, so that pandas keeps whole numbers.
     ordered = ordered.select(
         F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("absent"), "text"
