@@ -9,6 +9,7 @@ from waybill.llm import (
     reputation,
     rules,
     sharding,
+    spelling,
     suffix_dedup,
     token_file,
 )
@@ -81,3 +82,8 @@ def op9(spark, sf_dir):
 @query("op10_url_reputation", reputation.JUDGED_SQL)
 def op10(spark, sf_dir):
     return reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_spelling_variants", spelling.VARIANTS_SQL)
+def op13(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
