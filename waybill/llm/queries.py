@@ -2,6 +2,7 @@
 
 from waybill.llm import (
     decontaminate,
+    lexical_search,
     mixing,
     near_dup,
     pii,
@@ -84,6 +85,11 @@ def op10(spark, sf_dir):
     return reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+@query("op12_ranked_search", lexical_search.RANKED_SQL)
+def op12(spark, sf_dir):
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_spelling_variants", spelling.VARIANTS_SQL)
 def op13(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"))
