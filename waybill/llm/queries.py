@@ -13,6 +13,7 @@ from waybill.llm import (
     spelling,
     suffix_dedup,
     token_file,
+    toxicity,
 )
 from waybill.llm.frames import ship_code, table
 
@@ -85,6 +86,12 @@ def op10(spark, sf_dir):
     return reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_toxicity")
+def op11(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.scored(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 @query("op12_ranked_search", lexical_search.RANKED_SQL)
 def op12(spark, sf_dir):
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
