@@ -273,8 +273,16 @@ oracle("S08_table_scan", "SELECT * FROM events")
 oracle("S09_keyed_upsert", "SELECT * FROM performance")
 oracle("S09_streamed_upsert", "SELECT * FROM latest")
 oracle("S09_compacted_upsert", "SELECT * FROM latest")
+oracle(
+    "S09_partial_upsert",
+    """
+    SELECT * REPLACE (
+      CASE WHEN origin = 'NATION_7' THEN is_delayed ELSE delivery_duration_days > 20 END AS is_delayed)
+    FROM performance""",
+)
 oracle("S10_redistribute", "SELECT * FROM snapshot")
 oracle("S11_serving_scan", "SELECT * FROM routes")
+oracle("S11_live_snapshot", "SELECT * FROM snapshot")
 oracle("S12_all_tables_bundle", bundle())
 oracle(
     "S13_json_safe_rows",

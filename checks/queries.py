@@ -242,6 +242,19 @@ def s09_compacted(spark, sf_dir):
     return serving.read_current(spark, path)
 
 
+@query("S09_partial_upsert")
+def s09_partial(spark, sf_dir):
+    """A table of many files under another SLA, of which a load of one origin's shipments under
+    the usual SLA replaces its own."""
+    path = work_dir(spark, "s09-partial")
+    pair = inputs.shipments(spark, sf_dir), inputs.tracking(spark, sf_dir)
+    keys = fixed.SERVING_KEYS["delivery_performance"]
+    serving.upsert(spark, gold.delivery_performance(*pair, sla_days=20), path, keys, partitions=16, unique=True)
+    changed = gold.delivery_performance(*pair).filter("origin = 'NATION_7'")
+    serving.upsert(spark, changed, path, keys, unique=True)
+    return serving.read_current(spark, path)
+
+
 @query("S10_redistribute")
 def s10(spark, sf_dir):
     return tables.redistribute(inputs.snapshot(spark, sf_dir), 2)
@@ -253,6 +266,25 @@ def s11(spark, sf_dir):
     return in_cents(serving.fetch(spark, layout.serving, "routes"), "total_value_at_risk")
 
 
+@query("S11_live_snapshot")
+def s11_live(spark, sf_dir):
+    """A snapshot from before any event, which a stream of events keeps up to date, by name."""
+    path = work_dir(spark, "s11-live")
+    table = f"{path}/serving/{fixed.SERVING_TABLES['shipments']}"
+    shipments = inputs.shipments(spark, sf_dir)
+    keys = fixed.SERVING_KEYS["shipment_snapshot"]
+    before = gold.shipment_snapshot(shipments, inputs.tracking(spark, sf_dir).limit(0))
+    serving.upsert(spark, before, table, keys, unique=True)
+    events = text_tracking(spark, sf_dir)
+    for errors in (True, False):
+        late = (F.col("event_type") == fixed.CANCELLED) == F.lit(errors)
+        topic.publish(events.filter(late), fmt="text", path=f"{path}/topic")
+        messages = topic.subscribe(spark, schemas.BRONZE_TRACKING, fmt="text", path=f"{path}/topic")
+        news = gold.status_columns(silver.typed_tracking(messages).join(shipments, "shipment_id"))
+        drained(serving.upsert_stream(news, table, keys, f"{path}/checkpoint", ["last_updated_at"]))
+    return serving.fetch(spark, f"{path}/serving", "shipments")
+
+
 @query("S12_all_tables_bundle")
 def s12(spark, sf_dir):
     layout = staged_serving(spark, sf_dir, "s12")

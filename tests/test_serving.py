@@ -1,8 +1,9 @@
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
 
-from tests.helpers import ROUTE, bag, events, finish, plan, rows, shipments
+from tests.helpers import ROUTE, SNAPSHOT, at, bag, by_key, events, finish, plan, rows, shipments
 from waybill import fixed
 from waybill.layout import Layout
 from waybill.operators.slicers import Selection, search
@@ -37,8 +38,8 @@ def test_null_keys_equal_each_other(spark, folder):
 def test_a_load_that_died_is_not_seen_and_is_written_again(spark, folder):
     path = folder("t")
     serving.upsert(spark, keyed(spark, ("a", 1)), path, ["k"])
-    tables.write_table(keyed(spark, ("x", 9)), f"{path}/v0000000002")
-    Path(path, "v0000000002", "_SUCCESS").unlink()
+    tables.write_table(keyed(spark, ("x", 9)), f"{path}/data-of-a-load-that-died")
+    Path(path, "_manifests", ".staged-load").write_text("{")
     assert rows(serving.read_current(spark, path)) == [("a", 1)]
     serving.upsert(spark, keyed(spark, ("a", 2)), path, ["k"])
     assert rows(serving.read_current(spark, path)) == [("a", 2)]
@@ -48,10 +49,101 @@ def test_a_load_that_died_is_not_seen_and_is_written_again(spark, folder):
 def test_old_versions_go_but_the_one_before_stays(spark, folder):
     path = folder("t")
     for value in range(5):
-        serving.upsert(spark, keyed(spark, ("a", value)), path, ["k"])
+        serving.upsert(spark, keyed(spark, ("a", value)), path, ["k"], grace_seconds=0)
     assert serving.versions(spark, path) == [4, 5]
-    serving.upsert(spark, keyed(spark, ("a", 9)), path, ["k"], keep_versions=1)
+    assert len(list(Path(path).glob("data-*"))) == 2
+    serving.upsert(spark, keyed(spark, ("a", 9)), path, ["k"], keep_versions=1, grace_seconds=0)
     assert serving.versions(spark, path) == [6]
+    assert len(list(Path(path).glob("data-*"))) == 1
+    serving.upsert(spark, keyed(spark, ("a", 10)), path, ["k"], keep_versions=1)
+    assert serving.versions(spark, path) == [6, 7]
+
+
+def many_files(spark, path, n=20_000, files=20):
+    table = spark.range(n).selectExpr("lpad(id, 8, '0') AS k", "1 AS v")
+    serving.upsert(spark, table, path, ["k"], partitions=files, unique=True)
+    return {file["path"]: file for file in serving.manifest(spark, path)["files"]}
+
+
+def test_an_upsert_of_few_keys_rewrites_few_files(spark, folder):
+    path = folder("t")
+    before = many_files(spark, path)
+    assert len(before) > 10 and all(file["low"] <= file["high"] for file in before.values())
+    one_percent = spark.range(7000, 7200).selectExpr("lpad(id, 8, '0') AS k", "2 AS v")
+    serving.upsert(spark, one_percent, path, ["k"])
+    after = {file["path"] for file in serving.manifest(spark, path)["files"]}
+    assert 1 <= len(before.keys() - after) <= 2
+    found = serving.read_current(spark, path)
+    assert bag(found.groupBy("v").count()) == {(1, 19_800): 1, (2, 200): 1}
+    assert found.select("k").distinct().count() == 20_000
+
+
+def test_keys_that_no_file_holds_rewrite_none(spark, folder):
+    path = folder("t")
+    before = many_files(spark, path)
+    beyond = keyed(spark, ("00003000x", 5), ("99999999", 5))
+    for _ in range(2):
+        serving.upsert(spark, beyond, path, ["k"], newest_by=["v"])
+        after = {file["path"] for file in serving.manifest(spark, path)["files"]}
+        assert before.keys() <= after
+    assert serving.read_current(spark, path).count() == 20_002
+
+
+def test_keys_of_several_columns_with_nulls_find_their_files(spark, folder):
+    path = folder("t")
+    pairs = "IF(id % 7 = 0, NULL, id % 50) AS a", "DATE'2026-01-01' + INT(id / 50) AS b", "id AS v"
+    serving.upsert(spark, spark.range(2000).selectExpr(*pairs), path, ["a", "b"], partitions=12)
+    known = bag(serving.read_current(spark, path))
+    change = spark.range(350, 420).selectExpr(*pairs[:2], "-id AS v")
+    serving.upsert(spark, change, path, ["a", "b"])
+    replaced = {(row.a, row.b): row.v for row in change.orderBy(change.v.asc()).collect()}
+    for row in change.collect():
+        replaced[row.a, row.b] = max(replaced[row.a, row.b], row.v)
+    expected = {(a, b, replaced.get((a, b), v)): n for (a, b, v), n in known.items()}
+    assert bag(serving.read_current(spark, path)) == expected
+
+
+def test_a_load_that_was_overtaken_starts_over(spark, folder, monkeypatch):
+    """Another writer commits between the reading and the commit of a load."""
+    path = folder("t")
+    serving.upsert(spark, keyed(spark, ("a", 1)), path, ["k"])
+    written, others = serving._written, [("b", 7), ("a", 5)]
+
+    def overtaken(*args):
+        result = written(*args)
+        if others:
+            other = others.pop()
+            monkeypatch.setattr(serving, "_written", written)
+            serving.upsert(spark, keyed(spark, other), path, ["k"])
+            monkeypatch.setattr(serving, "_written", overtaken)
+        return result
+
+    monkeypatch.setattr(serving, "_written", overtaken)
+    serving.upsert(spark, keyed(spark, ("c", 3)), path, ["k"])
+    assert bag(serving.read_current(spark, path)) == {("a", 5): 1, ("b", 7): 1, ("c", 3): 1}
+    assert serving.versions(spark, path) == [1, 2, 3, 4]
+    assert len(list(Path(path).glob("data-*"))) == 4
+
+
+def test_concurrent_loads_lose_nothing(spark, folder):
+    path = folder("t")
+    with ThreadPoolExecutor(6) as pool:
+        loads = [
+            pool.submit(serving.upsert, spark, keyed(spark, (f"k{n}", n), ("all", n)), path, ["k"], newest_by=["v"])
+            for n in range(6)
+        ]
+        for load in loads:
+            load.result()
+    expected = {(f"k{n}", n): 1 for n in range(6)} | {("all", 5): 1}
+    assert bag(serving.read_current(spark, path)) == expected
+
+
+def test_one_number_is_given_once(spark, folder):
+    path = f"{folder('t')}/_manifests/v0000000001.json"
+    serving._create(spark, path, "{}")
+    with pytest.raises(serving.Conflict):
+        serving._create(spark, path, "other")
+    assert Path(path).read_text() == "{}"
 
 
 def test_upsert_reduces_repeated_keys_when_told_the_order(spark, folder):
@@ -83,13 +175,53 @@ def test_streamed_upserts(spark, folder):
         finish(serving.upsert_stream(stream, path, ["k"], folder("checkpoint"), newest_by=["v"]))
     expected = {("a", 3): 1, ("b", 1): 1, ("c", 1): 1}
     assert bag(serving.read_current(spark, path, ["k"], ["v"])) == expected
-    with pytest.raises(ValueError, match="deltas"):
-        serving.read_current(spark, path)
+    # The table knows its keys and order.
+    assert bag(serving.read_current(spark, path)) == expected
     assert len(serving.deltas(spark, path)) == 3
     for _ in range(2):
-        serving.compact(spark, path, ["k"], ["v"])
+        serving.compact(spark, path)
         assert bag(serving.read_current(spark, path)) == expected
-    assert serving.deltas(spark, path) == [] and serving.versions(spark, path) == [1]
+    assert serving.deltas(spark, path) == [] and serving.versions(spark, path) == [1, 2]
+
+
+def test_a_reader_from_before_a_compaction_still_ends(spark, folder):
+    path = folder("t")
+    serving.upsert(spark, keyed(spark, ("a", 1), ("b", 1)), path, ["k"])
+    serving.append_delta(keyed(spark, ("a", 2)), path, ["k"], ["v"], "one")
+    reader = serving.read_current(spark, path)
+    serving.compact(spark, path, grace_seconds=0)
+    assert serving.deltas(spark, path) == []
+    assert bag(reader) == {("a", 2): 1, ("b", 1): 1}
+    # With nobody left who needs it, the delta goes; a batch that is run again lands once.
+    for value in (3, 4):
+        serving.upsert(spark, keyed(spark, ("c", value)), path, ["k"], grace_seconds=0)
+    assert list(Path(path).glob("delta-*")) == []
+    assert bag(serving.read_current(spark, path)) == {("a", 2): 1, ("b", 1): 1, ("c", 4): 1}
+
+
+def test_only_rows_of_the_deltas_keys_are_reduced(spark, folder):
+    path = folder("t")
+    serving.upsert(spark, spark.range(1000).selectExpr("string(id) AS k", "1 AS v"), path, ["k"])
+    serving.append_delta(keyed(spark, ("7", 0), ("8", 2), ("x", 3)), path, ["k"], ["v"], "one")
+    serving.append_delta(keyed(spark, ("8", 1), ("y", 3)), path, ["k"], ["v"], "two")
+    found = serving.read_current(spark, path)
+    changed = {row.k: row.v for row in found.where("v <> 1 OR k = '7'").collect()}
+    assert found.count() == 1002 and changed == {"7": 1, "8": 2, "x": 3, "y": 3}
+
+
+def test_a_streamed_table_is_read_by_name(spark, folder):
+    source, root = folder("in"), folder("serving")
+    table = f"{root}/shipment_snapshot"
+    first = spark.createDataFrame([("a", "O", "D", None, None, None), ("b", "O", "D", None, None, None)], SNAPSHOT)
+    serving.upsert(spark, first, table, ["shipment_id"])
+    news = spark.createDataFrame([("a", "O", "D", "Picked Up", "HUB", at("2026-05-01 00:00:00"))], SNAPSHOT)
+    news.write.json(source)
+    stream = spark.readStream.schema(SNAPSHOT).json(source)
+    finish(serving.upsert_stream(stream, table, ["shipment_id"], folder("c"), newest_by=["last_updated_at"]))
+    assert by_key(serving.fetch(spark, root, "shipments"), "shipment_id", "current_status") == {
+        "a": ("Picked Up",),
+        "b": (None,),
+    }
 
 
 def test_a_small_batch_writes_a_small_delta(spark, folder):
@@ -99,7 +231,7 @@ def test_a_small_batch_writes_a_small_delta(spark, folder):
         serving.append_delta(keyed(spark, ("7", 2), ("7", 3)), path, ["k"], ["v"], "one")
     (delta,) = serving.deltas(spark, path)
     assert rows(spark.read.parquet(delta)) == [("7", 3)]
-    assert serving.versions(spark, path) == [1]
+    assert serving.read_current(spark, path).count() == 200_000
     assert serving.read_current(spark, path, ["k"], ["v"]).count() == 200_000
 
 

@@ -1,22 +1,67 @@
-"""Serving tables: keyed upserts into versioned Parquet folders, reads by logical name.
+"""Serving tables: keyed loads into Parquet files under a manifest, reads by logical name.
 
-A table is a folder of version folders and of delta folders. A folder counts once its
-`_SUCCESS` marker exists, so readers never see half a load, and a load that died is simply
-written again. Whole loads write a version; small batches write a delta, which costs what the
-batch costs, and `compact` folds deltas into a version. One writer per table at a time.
+A table is a folder of data folders, of delta folders, and of numbered manifests. A manifest
+is one version of the table: its keys, the order in which late rows lose, and a line per file
+with the range of its keys. Readers take the newest manifest, so they never see half a load, and
+a load that died leaves files that no manifest names.
+
+A load finds the files that hold any of its keys: those whose key range it meets, then, by a
+join that reads key columns only, those that do hold one. Only they are written anew. It commits
+by renaming its manifest to the number after the version it started from. Where another writer
+was there first the load starts over from that version, so no load is lost.
+
+Small batches of a stream are deltas: folders next to the data, which cost what the batch costs
+and need no manifest. Readers lay them over the files, and `compact` folds them in. Files that
+newer versions have no use for stay for readers of older ones: for the last `keep_versions`, and
+for `GRACE_SECONDS` after they were replaced.
+
+The driver holds a line per file, as it does for any scan's list of files; rows never pass it.
 """
 
+import json
 import re
+import time
+import uuid
 from functools import reduce
 from operator import and_
 
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DateType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
+
 from waybill import fixed
+from waybill.functions.parsing import quoted
 from waybill.functions.rendering import json_safe
 from waybill.operators.newest import newest_per_key
-from waybill.sources.tables import redistribute, write_table
-
-_VERSION = re.compile(r"v(\d{10})")
+from waybill.sources.tables import write_table
+
+GRACE_SECONDS = 3600
+#: Tables of so few files are written anew without asking which of them hold a key.
+FEW_FILES = 4
+ATTEMPTS = 20
+_MANIFESTS = "_manifests"
+_VERSION = re.compile(r"v(\d{10})\.json")
 _DELTA = re.compile(r"delta-.+")
+_PART = re.compile(r"part-.+")
+_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: Types whose values order in Python, as JSON, as they do in Spark.
+_RANGED = (StringType, ByteType, ShortType, IntegerType, LongType, DateType, TimestampType, TimestampNTZType)
+
+
+class Conflict(Exception):
+    """Another writer has committed the version that a load wanted to be."""
+
+
+# ---------------------------------------------------------------- files
 
 
 def _file_system(spark, path):
@@ -24,61 +69,244 @@ def _file_system(spark, path):
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
-def _committed(spark, table_path, pattern):
-    """Matches of the names of committed folders, in the order of their names."""
-    fs, folder = _file_system(spark, table_path)
+def _listed(spark, path, pattern):
+    """Names in a folder that match, with the status of each, in the order of the names."""
+    fs, folder = _file_system(spark, path)
     if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = pattern.fullmatch(status.getPath().getName())
-        marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name and fs.exists(marker):
-            found.append(name)
-    return sorted(found, key=lambda match: match.group())
+        return {}
+    statuses = {status.getPath().getName(): status for status in fs.listStatus(folder)}
+    return {name: statuses[name] for name in sorted(statuses) if pattern.fullmatch(name)}
+
+
+def _delete(spark, paths):
+    for path in paths:
+        fs, folder = _file_system(spark, path)
+        fs.delete(folder, True)
+
+
+def _read_text(spark, path):
+    fs, file = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _create(spark, path, text):
+    """Write a file that must not be there yet. It appears whole or not at all, and of several
+    writers one succeeds, as far as the file system's rename sees to it."""
+    staged = re.sub(r"[^/]+$", f".staged-{uuid.uuid4().hex}", path)
+    fs, file = _file_system(spark, staged)
+    stream = fs.create(file)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        file.toUri() if file.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    try:
+        context.rename(file, spark._jvm.org.apache.hadoop.fs.Path(path), options)
+    except Py4JJavaError as error:
+        fs.delete(file, False)
+        if "FileAlreadyExists" in str(error.java_exception):
+            raise Conflict(path) from None
+        raise
+
+
+# ---------------------------------------------------------------- manifests
+
+
+def _manifest_path(table_path, version):
+    return f"{table_path.rstrip('/')}/{_MANIFESTS}/v{version:010d}.json"
 
 
 def versions(spark, table_path):
     """Committed versions, oldest first."""
-    return [int(name.group(1)) for name in _committed(spark, table_path, _VERSION)]
+    names = _listed(spark, f"{table_path.rstrip('/')}/{_MANIFESTS}", _VERSION)
+    return [int(_VERSION.fullmatch(name).group(1)) for name in names]
+
+
+def manifest(spark, table_path, version=None):
+    """A version of a table, the newest without a number; None where there is no table.
+
+    `keys` and `newest_by` as the table was made or last loaded with, `files` (path, low, high:
+    the range of its keys, null where unknown), and `folded`, the deltas that the files hold.
+    """
+    if version is None:
+        known = versions(spark, table_path)
+        if not known:
+            return None
+        version = known[-1]
+    return json.loads(_read_text(spark, _manifest_path(table_path, version))) | {"version": version}
 
 
-def deltas(spark, table_path):
-    """Paths of the committed deltas that no version holds yet."""
+def _commit(spark, table_path, before, **changes):
+    """Make `before` with `changes` the version after it."""
+    after = {"keys": None, "newest_by": None, "files": [], "folded": []} | (before or {}) | changes
+    version = (after.pop("version", None) or 0) + 1
+    _create(spark, _manifest_path(table_path, version), json.dumps(after))
+    return after | {"version": version}
+
+
+def deltas(spark, table_path, version=None):
+    """Paths of the committed deltas that the table's files do not hold yet."""
     root = table_path.rstrip("/")
-    return [f"{root}/{name.group()}" for name in _committed(spark, table_path, _DELTA)]
+    held = set((version or manifest(spark, root) or {"folded": []})["folded"])
+    found = []
+    for name in _listed(spark, root, _DELTA):
+        fs, marker = _file_system(spark, f"{root}/{name}/_SUCCESS")
+        if name not in held and fs.exists(marker):
+            found.append(f"{root}/{name}")
+    return found
+
+
+# ---------------------------------------------------------------- reading
+
+
+def _all_of(spark, paths):
+    return spark.read.parquet(*paths)
+
+
+def _united(parts):
+    return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def _version_path(table_path, version):
-    return f"{table_path.rstrip('/')}/v{version:010d}"
+def _matched(rows, others, keys, how):
+    """The rows with (left_semi) or without (left_anti) a key in `others`; null keys match."""
+    others = others.select(*map(quoted, keys)).alias("others")
+    rows = rows.alias("rows")
+    same = reduce(and_, [rows[key].eqNullSafe(others[key]) for key in keys])
+    return rows.join(others, same, how)
 
 
-def read_current(spark, table_path, keys=None, newest_by=()):
-    """The rows of a table. One that takes deltas needs the `keys` and `newest_by` that they
-    were written with: of all rows for a key, in the last version or a delta, the newest stays."""
-    committed, waiting = versions(spark, table_path), deltas(spark, table_path)
-    if not committed and not waiting:
+def _overlaid(spark, base, waiting, keys, newest_by):
+    """Files with deltas over them: of all rows for a key the newest stays. Only the rows of the
+    deltas' keys are reduced; the others pass, without a shuffle where the deltas are small."""
+    late = _united([spark.read.parquet(path) for path in waiting])
+    if not base:
+        return newest_per_key(late, keys, newest_by)
+    rows = _all_of(spark, base)
+    changed = newest_per_key(_matched(rows, late, keys, "left_semi").unionByName(late), keys, newest_by)
+    return _matched(rows, late, keys, "left_anti").unionByName(changed)
+
+
+def read_current(spark, table_path, keys=None, newest_by=None):
+    """The rows of a table as of its newest version and the deltas next to it. The table knows
+    its keys and order; naming them here reads it under others."""
+    now = manifest(spark, table_path)
+    waiting = deltas(spark, table_path, now)
+    if not now or not (now["files"] or waiting):
         raise ValueError(f"no table at {table_path}")
-    if waiting and not keys:
-        raise ValueError(f"{table_path} has deltas: name its keys, or compact it first")
-    base = [_version_path(table_path, committed[-1])] if committed else []
-    rows = reduce(
-        lambda left, right: left.unionByName(right),
-        [spark.read.parquet(path) for path in [*base, *waiting]],
-    )
-    return newest_per_key(rows, keys, newest_by) if waiting else rows
+    root = table_path.rstrip("/")
+    base = [f"{root}/{file['path']}" for file in now["files"]]
+    if not waiting:
+        return _all_of(spark, base)
+    return _overlaid(spark, base, waiting, keys or now["keys"], newest_by or now["newest_by"] or ())
+
+
+# ---------------------------------------------------------------- loading
 
 
 def merged(current, new, keys):
     """`new` on top of `current`: rows with an equal key give way. Null keys equal each other."""
     incoming = new.select(*keys).alias("incoming")
     held = current.alias("held")
-    same_key = reduce(
-        and_, [held[key].eqNullSafe(incoming[key]) for key in keys]
-    )
+    same_key = reduce(and_, [held[key].eqNullSafe(incoming[key]) for key in keys])
     return held.join(incoming, same_key, "left_anti").unionByName(new)
 
 
+def _ranged(df, keys):
+    return all(isinstance(df.schema[key].dataType, _RANGED) for key in keys)
+
+
+def _key_range(keys):
+    """Columns `low` and `high`: the smallest and the greatest key as JSON."""
+    key = F.struct(*[quoted(name) for name in keys])
+    written = {"ignoreNullFields": "false", "timestampFormat": _INSTANT, "timestampNTZFormat": _INSTANT}
+    return F.to_json(F.min(key), written).alias("low"), F.to_json(F.max(key), written).alias("high")
+
+
+def _place(text, keys):
+    """A key from JSON in the order of Spark: null below every value."""
+    values = json.loads(text)
+    return [(values[key] is not None, values[key]) if values[key] is not None else (False,) for key in keys]
+
+
+def files_met(files, low, high, keys):
+    """The files whose key range meets the one from `low` to `high`; unknown ranges meet all."""
+    first, last = _place(low, keys), _place(high, keys)
+    return [
+        file
+        for file in files
+        if file["low"] is None or (_place(file["high"], keys) >= first and _place(file["low"], keys) <= last)
+    ]
+
+
+def _files_hit(spark, root, files, new, keys):
+    """The files that hold a key of `new`; others need not be written anew."""
+    if len(files) <= FEW_FILES:
+        return files
+    if _ranged(new, keys):
+        low, high = new.agg(*_key_range(keys)).first()
+        files = files_met(files, low, high, keys) if low is not None else []
+    if not files:
+        return []
+    held = _all_of(spark, [f"{root}/{file['path']}" for file in files])
+    held = held.select(*map(quoted, keys), F.col("_metadata.file_path").alias("__file"))
+    hit = _matched(held, new, keys, "left_semi").select("__file").distinct().collect()
+    names = {"/".join(row[0].split("/")[-2:]) for row in hit}
+    return [file for file in files if file["path"] in names]
+
+
+def _written(spark, root, rows, keys, partitions, sort_by):
+    """Write rows to a new data folder whose files have a narrow range of keys each; their
+    manifest lines."""
+    folder = f"data-{uuid.uuid4().hex}"
+    columns = [quoted(key) for key in keys]
+    rows = rows.repartitionByRange(*([partitions] if partitions else []), *columns)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*sort_by)
+    write_table(rows, f"{root}/{folder}")
+    names = _listed(spark, f"{root}/{folder}", _PART)
+    files = {name: {"path": f"{folder}/{name}", "low": None, "high": None} for name in names}
+    if len(files) > FEW_FILES and _ranged(rows, keys):
+        stored = spark.read.parquet(f"{root}/{folder}")
+        name = F.col("_metadata.file_name").alias("__name")
+        found = stored.select(*columns, name).groupBy("__name").agg(*_key_range(keys))
+        for row in found.collect():
+            files[row["__name"]] |= {"low": row["low"], "high": row["high"]}
+    return folder, list(files.values())
+
+
+def _load(spark, table_path, make, keys, newest_by, partitions, sort_by):
+    """Commit a version that `make(version, waiting)` gives (files to replace, rows) for."""
+    root = table_path.rstrip("/")
+    for _ in range(ATTEMPTS):
+        now = manifest(spark, root)
+        waiting = deltas(spark, root, now)
+        replaced, rows = make(now, waiting)
+        folder, files = _written(spark, root, rows, keys, partitions, sort_by)
+        gone = {file["path"] for file in replaced}
+        there = set(_listed(spark, root, _DELTA))
+        folded = [name for name in (now or {"folded": []})["folded"] if name in there]
+        try:
+            return _commit(
+                spark,
+                root,
+                now,
+                keys=list(keys),
+                newest_by=list(newest_by) if newest_by is not None else (now or {}).get("newest_by"),
+                files=[file for file in (now or {"files": []})["files"] if file["path"] not in gone] + files,
+                folded=folded + [path.rsplit("/", 1)[1] for path in waiting],
+            )
+        except Conflict:
+            _delete(spark, [f"{root}/{folder}"])
+    raise Conflict(f"{table_path}: {ATTEMPTS} loads in a row were overtaken")
+
+
 def upsert(
     spark,
     new,
@@ -88,69 +316,105 @@ def upsert(
     newest_by=None,
     sort_by=(),
     keep_versions=2,
+    unique=False,
+    grace_seconds=GRACE_SECONDS,
 ):
-    """Merge rows into a table by key, and make the result its current version.
+    """Merge rows into a table by key, and make the result its next version.
 
-    Incoming rows replace stored ones; of several for a key the greatest stays. With
-    `newest_by`, rows may arrive late: of all rows for a key, stored or incoming, the
-    newest stays.
+    Incoming rows replace stored ones; of several for a key the greatest stays, unless the
+    caller vouches that keys are `unique`. With `newest_by`, rows may arrive late: of all
+    rows for a key, stored or incoming, the newest stays. Deltas are folded in on the way.
 
-    The table is written anew, which a load of whole gold tables amounts to anyway.
-    Files follow the partitions of the merge join, which adaptive execution sizes;
-    `partitions` spreads the rows over a fixed number instead, at the price of one
-    more shuffle. `sort_by` orders rows within each file, so that reads which filter on
-    these columns skip pages. Repeating an upsert changes nothing.
+    Rows are spread by key range over as many files as adaptive execution or `partitions`
+    asks for, so that later loads meet few of them. `sort_by` orders rows within each file, so
+    that reads which filter on these columns skip pages. Repeating an upsert changes nothing.
     """
-    committed = versions(spark, table_path)
-    latest = committed[-1] if committed else 0
-    waiting = deltas(spark, table_path)
-    current = read_current(spark, table_path, keys, newest_by or ()) if committed or waiting else None
-    if newest_by is None:
-        rows = newest_per_key(new, keys)
-        if current is not None:
-            rows = merged(current, rows, keys)
-    else:
-        rows = new if current is None else current.unionByName(new)
-        rows = newest_per_key(rows, keys, newest_by)
-    if partitions:
-        rows = redistribute(rows, partitions)
-    if sort_by:
-        rows = rows.sortWithinPartitions(*sort_by)
-    write_table(rows, _version_path(table_path, latest + 1))
-    _delete(spark, waiting)
-    _forget(spark, table_path, committed, keep_versions - 1)
-
-
-def _delete(spark, paths):
-    for path in paths:
-        fs, folder = _file_system(spark, path)
-        fs.delete(folder, True)
-
+    root = table_path.rstrip("/")
 
-def _forget(spark, table_path, older, keep):
-    gone = older[: len(older) - keep] if keep > 0 else older
-    _delete(spark, [_version_path(table_path, version) for version in gone])
+    def make(now, waiting):
+        files = now["files"] if now else []
+        order = newest_by if newest_by is not None else (now or {}).get("newest_by") or ()
+        late = [spark.read.parquet(path) for path in waiting]
+        asked = _united([part.select(*map(quoted, keys)) for part in [new, *late]])
+        hit = _files_hit(spark, root, files, asked, keys)
+        held = [_all_of(spark, [f"{root}/{file['path']}" for file in hit])] if hit else []
+        if newest_by is not None:
+            return hit, newest_per_key(_united([new, *late, *held]), keys, newest_by)
+        rows = new if unique else newest_per_key(new, keys)
+        if late:
+            held = [newest_per_key(_united([*late, *held]), keys, order)]
+        return hit, merged(held[0], rows, keys) if held else rows
+
+    _load(spark, root, make, keys, newest_by, partitions, sort_by)
+    expire(spark, root, keep_versions, grace_seconds)
+
+
+def expire(spark, table_path, keep_versions=2, grace_seconds=GRACE_SECONDS):
+    """Drop versions before the last `keep_versions` that were replaced more than
+    `grace_seconds` ago, with the files and deltas that only they have a use for."""
+    root = table_path.rstrip("/")
+    statuses = list(_listed(spark, f"{root}/{_MANIFESTS}", _VERSION).items())
+    since = (time.time() - grace_seconds) * 1000
+    old = [
+        name
+        for (name, _), (_, after) in zip(statuses, statuses[1:], strict=False)
+        if after.getModificationTime() <= since
+    ]
+    old = [name for name in old if name not in {name for name, _ in statuses[-max(keep_versions, 1) :]}]
+    if not old:
+        return
+    read = {name: manifest(spark, root, int(_VERSION.fullmatch(name).group(1))) for name, _ in statuses}
+    kept = [read[name] for name in read if name not in old]
+    used = {file["path"] for one in kept for file in one["files"]}
+    unused = {file["path"] for name in old for file in read[name]["files"]} - used
+    folders = {path.split("/")[0] for path in unused} - {path.split("/")[0] for path in used}
+    loose = [path for path in unused if path.split("/")[0] not in folders]
+    # A delta that the oldest kept version holds in its files, no reader asks for any more.
+    folded = set(kept[0]["folded"])
+    _delete(spark, [f"{root}/{path}" for path in [*folders, *loose, *folded]])
+    _delete(spark, [f"{root}/{_MANIFESTS}/{name}" for name in old])
+
+
+def declare(spark, table_path, keys, newest_by):
+    """See to it that a table is there and knows its keys and order, so that it can take deltas."""
+    for _ in range(ATTEMPTS):
+        now = manifest(spark, table_path)
+        wanted = {"keys": list(keys), "newest_by": list(newest_by)}
+        if now and {name: now[name] for name in wanted} == wanted:
+            return
+        try:
+            _commit(spark, table_path, now, **wanted)
+            return
+        except Conflict:
+            continue
+    raise Conflict(table_path)
 
 
 def append_delta(batch, table_path, keys, newest_by, name):
-    """Put a batch next to the table's version. The same `name` again replaces the delta."""
-    write_table(newest_per_key(batch, keys, newest_by), f"{table_path.rstrip('/')}/delta-{name}")
-
-
-def compact(spark, table_path, keys, newest_by, **upsert_options):
-    """Fold the deltas into a version. A run that dies half-way leaves deltas that the version
-    holds already, which changes no row."""
-    waiting = deltas(spark, table_path)
+    """Put a batch next to the table's files. A batch that has landed already is left as it is:
+    the same `name` is the same batch, run again."""
+    spark, root = batch.sparkSession, table_path.rstrip("/")
+    declare(spark, root, keys, newest_by)
+    fs, marker = _file_system(spark, f"{root}/delta-{name}/_SUCCESS")
+    if not fs.exists(marker):
+        write_table(newest_per_key(batch, keys, newest_by), f"{root}/delta-{name}")
+
+
+def compact(spark, table_path, keys=None, newest_by=None, **upsert_options):
+    """Fold the deltas into the files that hold their keys. They stay on disk for the readers of
+    the version before, like its files."""
+    now = manifest(spark, table_path)
+    waiting = deltas(spark, table_path, now)
     if waiting:
-        rows = read_current(spark, table_path, keys, newest_by)
-        upsert(spark, rows.limit(0), table_path, keys, newest_by=newest_by, **upsert_options)
+        keys, newest_by = keys or now["keys"], newest_by or now["newest_by"]
+        empty = spark.read.parquet(waiting[0]).limit(0)
+        upsert(spark, empty, table_path, keys, newest_by=newest_by, **upsert_options)
 
 
 def upsert_stream(stream, table_path, keys, checkpoint, newest_by, trigger=None):
     """Upsert every micro-batch as a delta, whatever order the rows arrive in.
 
-    A batch that is run again after a failure replaces its own delta. Read the table with
-    `keys` and `newest_by`, and `compact` it from time to time.
+    A batch that is run again after a failure lands once. `compact` the table from time to time.
     """
 
     def load(batch, batch_id):
@@ -161,8 +425,11 @@ def upsert_stream(stream, table_path, keys, checkpoint, newest_by, trigger=None)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+# ---------------------------------------------------------------- by name
+
+
 def fetch(spark, root, name):
-    """A serving table by its logical name."""
+    """A serving table by its logical name, with what streams have put next to it."""
     if name not in fixed.SERVING_TABLES:
         raise ValueError(f"unknown table '{name}', valid names: {', '.join(fixed.SERVING_TABLES)}")
     return read_current(spark, f"{root.rstrip('/')}/{fixed.SERVING_TABLES[name]}")
