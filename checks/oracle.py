@@ -243,14 +243,15 @@ CLEAN_CSV = """
 
 # Sources, sinks, exchange
 oracle("S01_csv_scan", CLEAN_CSV)
-oracle(
-    "S01_mixed_headers",
-    """
+for name in ("S01_mixed_headers", "S01_streamed_mixed_headers"):
+    oracle(
+        name,
+        """
     SELECT coalesce(shipment_id, '') AS shipment_id, priority AS origin, status AS destination,
            weight_kg, declared_value, shipping_date,
            CASE WHEN order_key % 2 = 1 THEN CAST(order_key AS VARCHAR) END AS order_key
     FROM rough_shipments""",
-)
+    )
 oracle(
     "S02_publish_json_messages",
     """

@@ -106,22 +106,42 @@ def s01(spark, sf_dir):
     return csv_feed.read_csv_feed(spark, csv_copy(spark, sf_dir, "s01"))
 
 
-@query("S01_mixed_headers")
-def s01_mixed(spark, sf_dir):
+def mixed_copy(spark, sf_dir, path, parts=("even", "odd")):
     """Files of two column orders, of which one has padded names and one more column."""
-    path = work_dir(spark, "s01-mixed")
     rough = inputs.rough_shipments(spark, sf_dir)
     even = rough.filter("order_key % 2 = 0").drop("order_key")
     odd = rough.filter("order_key % 2 = 1").select(
         *[quoted(name).alias(f" {name}") for name in reversed(rough.columns)]
     )
-    for part in (even, odd):
-        part.write.mode("append").option("header", True).option("escape", '"').option(
-            "ignoreLeadingWhiteSpace", False
-        ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    for part in parts:
+        {"even": even, "odd": odd}[part].write.mode("append").option("header", True).option(
+            "escape", '"'
+        ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+@query("S01_mixed_headers")
+def s01_mixed(spark, sf_dir):
+    path = work_dir(spark, "s01-mixed")
+    mixed_copy(spark, sf_dir, path)
     return csv_feed.read_csv_feed(spark, path)
 
 
+@query("S01_streamed_mixed_headers")
+def s01_streamed(spark, sf_dir):
+    """The files of the second header come after a restart; all rows arrive once, by name."""
+    path = work_dir(spark, "s01-streamed")
+    for part in ("even", "odd"):
+        mixed_copy(spark, sf_dir, f"{path}/feed", [part])
+        for _ in range(2):
+            drained(
+                feeds.feed_to_topic(
+                    spark, f"{path}/feed", f"{path}/checkpoint", fmt="text", path=f"{path}/topic"
+                )
+            )
+    schema = schemas.all_strings([*schemas.BRONZE_SHIPMENTS.names, "order_key"])
+    return topic.read_topic(spark, schema, fmt="text", path=f"{path}/topic")
+
+
 @query("S02_publish_json_messages")
 def s02(spark, sf_dir):
     path = work_dir(spark, "s02")

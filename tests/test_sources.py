@@ -49,6 +49,27 @@ def test_csv_columns_follow_the_header_of_each_file(spark, folder):
     assert set(rows(wanted)) == {(None, "1", None), ("x", "2", None)}
 
 
+def test_only_the_heads_of_files_are_read_for_their_headers(spark, folder):
+    headers = ["id,origin,destination", " id , destination,origin,note"]
+    for n in range(24):
+        lines = "".join(f"{n}-{line},{'x' * 80},B\n" for line in range(20_000))
+        path = written(folder, f"f {n}.csv", f"\n{headers[n % 2]}\n{lines}" if n else "")
+    context = spark.sparkContext
+    context.setJobGroup("heads", "heads")
+    try:
+        many = csv_feed.files_by_header(spark, path, heads_on_driver=0)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker, store = context.statusTracker(), context._jsc.sc().statusStore()
+    stages = [k for job in tracker.getJobIdsForGroup("heads") for k in tracker.getJobInfo(job).stageIds]
+    read = [store.lastStageAttempt(k).inputBytes() for k in stages]
+    whole = Path(path, "f 1.csv").stat().st_size
+    assert whole > 1_500_000 and 0 < sum(read) / 23 < 300_000
+    assert many == csv_feed.files_by_header(spark, path, heads_on_driver=100)
+    assert [len(files) for files in many.values()] == [12, 11]
+    assert csv_feed.read_csv_feed(spark, path).count() == 23 * 20_000
+
+
 @pytest.mark.parametrize(
     ("value", "text"),
     [

@@ -178,12 +178,45 @@ def test_a_second_query_keeps_the_batches_of_the_first(spark, folder):
     assert run_sink(spark, folder, checkpoint="c2-sink").count() == 8
 
 
-def test_a_foreign_header_ends_the_stream_and_names_the_file(spark, folder):
+def test_a_foreign_header_ends_a_streaming_table_and_names_the_file(spark, folder):
     path = add_file(folder, "a.csv", *range(4))
     Path(path, "b.csv").write_text("shipment_id,event_id\ns,e\n", encoding="utf-8")
-    query = feeds.feed_to_topic(
-        spark, path, folder("c1"), schemas.all_strings(HEADER.strip("\n").split(",")),
-        fmt="text", path=folder("topic"),
-    )
+    stream = csv_feed.stream_csv_feed(spark, path, schemas.all_strings(HEADER.strip("\n").split(",")))
+    query = stream.writeStream.format("noop").option("checkpointLocation", folder("c1"))
     with pytest.raises(StreamingQueryException, match="b.csv"):
-        query.awaitTermination()
+        query.trigger(availableNow=True).start().awaitTermination()
+
+
+def test_feeds_take_each_file_by_its_own_header(spark, folder):
+    path = add_file(folder, "a.csv", *range(4))
+    Path(path, "b.csv").write_text(" note,event_id ,shipment_id\nn,x1,s1\n,x2,s2\n", encoding="utf-8")
+    run_feed(spark, folder, path)
+    Path(path, "empty.csv").write_text("", encoding="utf-8")
+    Path(path, "c.csv").write_text("event_id\nx3\n", encoding="utf-8")
+    for _ in range(2):
+        run_feed(spark, folder, path)
+    schema = schemas.all_strings(["event_id", "shipment_id", "note"])
+    found = topic.read_topic(spark, schema, fmt="text", path=folder("topic"))
+    assert bag(found.where("event_id LIKE 'x_'")) == {
+        ("x1", "s1", "n"): 1, ("x2", "s2", ""): 1, ("x3", None, None): 1
+    }
+    assert found.count() == 7
+
+
+def test_a_batch_of_files_that_died_lands_once(spark, folder):
+    """The batch is run again by the next start, after it had landed and before it had."""
+    path = add_file(folder, "a.csv", *range(4))
+    place = {"fmt": "text", "path": folder("topic")}
+    for dies_before in (True, False):
+        def land(rows, name, dies_before=dies_before):
+            if not dies_before:
+                topic.publish_batch(rows, name, **place)
+            raise RuntimeError("lost")
+
+        query = csv_feed.each_csv_batch(spark, path, folder("c1"), land)
+        with pytest.raises(StreamingQueryException, match="lost"):
+            query.awaitTermination()
+    add_file(folder, "b.csv", 4, 5)
+    for _ in range(2):
+        run_feed(spark, folder, path)
+    assert topic.read_topic(spark, schemas.BRONZE_TRACKING, **place).count() == 6

@@ -8,6 +8,8 @@ from waybill.functions.parsing import quoted, stripped
 from waybill.schemas import all_strings, with_text_field
 
 BROKEN_ROW = "_corrupt_record"
+#: The heads of so few files are read faster by the driver than by a job.
+HEADS_ON_DRIVER = 16
 
 
 def _csv(reader, multi_line):
@@ -30,22 +32,72 @@ def header_schema(spark, path):
     return all_strings(reader.csv(path).columns)
 
 
-def files_by_header(spark, path):
+def _files(spark, path):
+    """The files of a feed, by their own names."""
+    jvm = spark._jvm
+    found = spark.read.text(path).inputFiles()
+    return sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toString() for name in found)
+
+
+def _first_line(spark, file):
+    """The first line of a file that is not blank, read on the driver; None without one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+            spark._jsc.hadoopConfiguration()
+        )
+        codec = codecs.getCodec(path)
+        plain = codec.createInputStream(stream) if codec else stream
+        lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        stream.close()
+
+
+def _first_lines(spark, files):
+    """(file, first line) of many files, a task each, which ends with that line."""
+
+    def first(batches):  # in here, so that executors need not have this package installed
+        for batch in batches:
+            for line in range(batch.num_rows):
+                if batch.column(0)[line].as_py().strip():
+                    yield batch.select([0, 1]).slice(line, 1)
+                    return
+
+    # A session of its own, whose settings no other query sees: every file is one split whole.
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    # A task reads ahead until the pipe to its worker, some MB, is full. With ballast
+    # that is after a few lines instead of a few MB of the file.
+    ballast = F.repeat(F.lit(" "), F.lit(1 << 17)).alias("ballast")
+    lines = own.read.text(files).select("value", "_metadata.file_path", ballast)
+    heads = lines.mapInArrow(first, "value string, file_path string").collect()
+    uri, path = spark._jvm.java.net.URI, spark._jvm.org.apache.hadoop.fs.Path
+    return [(path(uri(row.file_path)).toString(), row.value) for row in heads]
+
+
+def files_by_header(spark, path, heads_on_driver=HEADS_ON_DRIVER):
     """The files of a feed, grouped by their header lines; empty files are left out.
 
-    Only the first block of each file is looked at. What comes to the driver are the
-    names of the files, as many as it lists for any scan.
+    Only the head of each file is read: of a few files on the driver, of many by a task each.
+    What comes to the driver is a row per file, as many as it lists for any scan.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        "_metadata.file_path",
-        "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("place"),
-    )
-    first = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != "")).groupBy("file_path")
-    headers = first.agg(F.min_by("value", "place").alias("header"))
-    files = headers.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
-    return {row["header"]: row["files"] for row in files.orderBy("header").collect()}
+    files = _files(spark, path)
+    if len(files) <= heads_on_driver:
+        heads = [(file, _first_line(spark, file)) for file in files]
+    else:
+        heads = _first_lines(spark, files)
+    groups = {}
+    for file, header in sorted(heads):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    return dict(sorted(groups.items()))
 
 
 def clean_rows(raw):
@@ -77,7 +129,7 @@ def read_csv_feed(spark, path, schema=None, multi_line=False):
     """
     groups = list(files_by_header(spark, path).values())
     if len(groups) < 2:
-        rows = _read(spark, path, header_schema(spark, path), multi_line)
+        rows = _read(spark, path, header_schema(spark, groups[0][:1] if groups else path), multi_line)
     else:
         parts = [_read(spark, files, header_schema(spark, files[:1]), multi_line) for files in groups]
         rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
@@ -90,12 +142,40 @@ def read_csv_feed(spark, path, schema=None, multi_line=False):
 
 
 def stream_csv_feed(spark, path, schema=None, multi_line=False, **options):
-    """Follow a folder of CSV files. `options` are those of a file source, for instance
-    maxFilesPerTrigger, which splits a large backlog into several micro-batches.
+    """Follow a folder of CSV files as one streaming table. `options` are those of a file source,
+    for instance maxFilesPerTrigger, which splits a large backlog into several micro-batches.
 
     All files have the header of the first one, or that of `schema`; a file with another
-    header ends the query with an error that names it.
+    header ends the query with an error that names it. `each_csv_batch` takes any headers.
     """
     schema = schema or header_schema(spark, path)
     reader = _csv(spark.readStream, multi_line).schema(with_text_field(schema, BROKEN_ROW))
     return clean_rows(reader.options(**options).csv(path))
+
+
+_FILE_ROW = "path string, modificationTime timestamp, length long, content binary"
+
+
+def each_csv_batch(
+    spark, path, checkpoint, land, schema=None, multi_line=False, trigger=None, **options
+):
+    """Follow a folder of CSV files whose headers may differ from file to file, and call
+    `land(rows, name)` for the new files of each micro-batch.
+
+    The stream is one of file names: its checkpoint says which files a batch has, so a batch
+    that is run again after a failure has the same files, each with the columns of its own
+    header, and the same `name`. `land` must bear to be called twice with a name.
+    """
+    reader = spark.readStream.format("binaryFile").schema(_FILE_ROW).options(**options)
+    names = reader.load(path).where("length > 0").select("path")  # without what is in the files
+
+    def run(batch, batch_id):
+        # As many names as the driver lists for the batch anyway.
+        files = sorted(row.path for row in batch.collect())
+        if files:
+            session = batch.sparkSession
+            query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+            land(read_csv_feed(session, files, schema, multi_line), f"{query}-{batch_id:010d}")
+
+    writer = names.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

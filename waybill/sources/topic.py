@@ -62,6 +62,26 @@ def publish(df, fmt="kafka", path=None, **options):
     writer.save(path)
 
 
+def publish_batch(df, name, fmt="kafka", path=None, **options):
+    """Send a micro-batch. In formats other than Kafka a batch is a folder under its name, which
+    appears whole and once: a batch that is run again leaves what has landed. Kafka takes a
+    batch that is run again twice, as it does from any of Spark's streams."""
+    if fmt == "kafka":
+        publish(df, fmt, **options)
+        return
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    root = path.rstrip("/")
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/batch-{name}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        return
+    # Readers of a folder pass over names with an underscore.
+    staged = f"{root}/_staged/{name}"
+    to_messages(df).write.format(fmt).options(**options).mode("overwrite").save(staged)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target):
+        raise OSError(f"{staged} could not become {target}")
+
+
 def publish_stream(df, checkpoint, fmt="kafka", path=None, trigger=None, **options):
     writer = (
         to_messages(df)
@@ -73,10 +93,16 @@ def publish_stream(df, checkpoint, fmt="kafka", path=None, trigger=None, **optio
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
-def follow(spark, fmt="kafka", path=None, **options):
-    """Values of a topic from its earliest message on; progress lives in the query's checkpoint."""
+def _from_the_start(fmt, options):
     if fmt == "kafka":
         options.setdefault("startingOffsets", "earliest")
+    else:
+        options.setdefault("recursiveFileLookup", True)  # batches are folders
+
+
+def follow(spark, fmt="kafka", path=None, **options):
+    """Values of a topic from its earliest message on; progress lives in the query's checkpoint."""
+    _from_the_start(fmt, options)
     return spark.readStream.format(fmt).options(**options).load(path).select("value")
 
 
@@ -87,6 +113,5 @@ def subscribe(spark, schema, fmt="kafka", path=None, **options):
 
 def read_topic(spark, schema, fmt="kafka", path=None, **options):
     """All messages of a topic up to now, as a batch."""
-    if fmt == "kafka":
-        options.setdefault("startingOffsets", "earliest")
+    _from_the_start(fmt, options)
     return from_messages(spark.read.format(fmt).options(**options).load(path), schema)

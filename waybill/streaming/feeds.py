@@ -6,15 +6,20 @@ everything again; the duplicates this puts into bronze vanish when silver keeps
 
 from waybill import fixed
 from waybill.sources.bronze import append_bronze
-from waybill.sources.csv_feed import stream_csv_feed
-from waybill.sources.topic import follow, publish_stream
+from waybill.sources.csv_feed import each_csv_batch
+from waybill.sources.topic import follow, publish_batch
 
 
 def feed_to_topic(
     spark, csv_path, checkpoint, schema=None, feed_options=None, trigger=None, **topic
 ):
-    rows = stream_csv_feed(spark, csv_path, schema, **(feed_options or {}))
-    return publish_stream(rows, checkpoint, trigger=trigger, **topic)
+    """Every row of the CSV files as a message, each file with the columns of its own header."""
+
+    def land(rows, name):
+        publish_batch(rows, name, **topic)
+
+    options = feed_options or {}
+    return each_csv_batch(spark, csv_path, checkpoint, land, schema, trigger=trigger, **options)
 
 
 def topic_to_bronze(
