@@ -269,6 +269,10 @@ for name in (
 oracle(
     "S05_declared_bronze_sink", f"SELECT *, true AS within_bound FROM ({TRACKING_TEXT.format(table='bronze_tracking')})"
 )
+oracle(
+    "S05_counted_flush",
+    f"SELECT *, (SELECT count(*) // 1000 FROM bronze_tracking) AS full_files FROM ({TRACKING_TEXT.format(table='bronze_tracking')})",
+)
 oracle("S07_table_overwrite", "SELECT * FROM tracking")
 oracle("S08_table_scan", "SELECT * FROM events")
 oracle("S09_keyed_upsert", "SELECT * FROM performance")

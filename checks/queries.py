@@ -189,6 +189,27 @@ def s05(spark, sf_dir):
     return records.withColumn("within_bound", F.lit(most <= bound))
 
 
+@query("S05_counted_flush")
+def s05_counted(spark, sf_dir):
+    """Every record, and how many files the flushes of a thousand records have filled; what is
+    left at the end has waited long enough. A micro-batch a file of the topic."""
+    bound, path = 1_000, work_dir(spark, "s05-counted")
+    message_folder(spark, sf_dir, f"{path}/topic")
+    messages = topic.follow(spark, fmt="text", path=f"{path}/topic", maxFilesPerTrigger=1)
+    for wait in (1 << 40, 0):
+        def land(batch, batch_id, wait=wait):
+            bronze.flush(batch, batch_id, f"{path}/bronze", bound, wait)
+
+        writer = messages.writeStream.foreachBatch(land).option("checkpointLocation", f"{path}/checkpoint")
+        drained(writer.trigger(availableNow=True).start())
+        spark.range(1).selectExpr("' ' AS value").write.mode("append").text(f"{path}/topic")
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{path}/bronze")
+    files = lines.groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
+    full = files.filter(F.col("n") == bound).count()
+    records = bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
+    return records.withColumn("full_files", F.lit(full).cast("long"))
+
+
 @query("S06_bronze_scan")
 def s06(spark, sf_dir):
     """Bronze with a line of other text next to each error event."""

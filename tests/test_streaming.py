@@ -1,3 +1,4 @@
+import time
 from pathlib import Path
 
 import pytest
@@ -99,13 +100,71 @@ def test_declared_sink_bounds_records_per_file(spark, folder):
     assert per_file <= 10
 
 
-def test_declared_sink_flushes_by_time(spark, folder):
-    run_feed(spark, folder, add_file(folder, "a.csv", *range(3)))
+def files_of(folder_path):
+    """Lines of each file that readers see, by the order of their batches."""
+    found = sorted(Path(folder_path).glob("batch-*/part-*"))
+    return [path.read_text().splitlines() for path in found]
+
+
+def until(condition, seconds=90):
+    end = time.time() + seconds
+    while not condition():
+        assert time.time() < end, "waited too long"
+        time.sleep(0.2)
+
+
+def test_declared_sink_flushes_by_count_or_by_time(spark, folder):
+    """25 records make up two flushes at once; the other five come when their time has come."""
+    run_feed(spark, folder, add_file(folder, "a.csv", *range(25)))
     stream = topic.follow(spark, fmt="text", path=folder("topic"))
-    query = bronze.declared_sink(stream, folder("sunk"), folder("c6"), 10, "1 second")
-    query.processAllAvailable()
-    query.stop()
-    assert bronze.read_bronze(spark, folder("sunk"), schemas.BRONZE_TRACKING).count() == 3
+    query = bronze.declared_sink(stream, folder("sunk"), folder("c6"), 10, "12 seconds", poll="500 milliseconds")
+    try:
+        until(lambda: len(files_of(folder("sunk"))) == 2)
+        first = time.time()
+        assert [len(lines) for lines in files_of(folder("sunk"))] == [10, 10]
+        until(lambda: len(files_of(folder("sunk"))) == 3)
+        assert time.time() - first > 6
+        # A file of two more: they wait, and the next eight make up a flush with them.
+        add_file(folder, "b.csv", 25, 26)
+        run_feed(spark, folder, folder("feed"))
+        add_file(folder, "c.csv", *range(27, 36))
+        run_feed(spark, folder, folder("feed"))
+        until(lambda: len(files_of(folder("sunk"))) == 4)
+        assert sorted(map(len, files_of(folder("sunk")))) == [5, 10, 10, 10]
+    finally:
+        query.stop()
+    # The one that was left lands after a restart.
+    query = bronze.declared_sink(stream, folder("sunk"), folder("c6"), 10, "1 second", poll="500 milliseconds")
+    try:
+        until(lambda: len(files_of(folder("sunk"))) == 5)
+    finally:
+        query.stop()
+    found = bronze.read_bronze(spark, folder("sunk"), schemas.BRONZE_TRACKING)
+    assert found.count() == found.distinct().count() == 36
+
+
+@pytest.mark.parametrize("n", [0, 7, 20, 33])
+def test_a_flush_that_is_run_again_changes_nothing(spark, folder, n):
+    """Batches as a stream gives them, each run twice, over several partitions."""
+    path = folder("sunk")
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
+    try:
+        for batch_id, (low, high) in enumerate([(0, n), (n, n + 4), (n + 4, n + 4), (n + 4, 50)]):
+            for _ in range(2):
+                batch = spark.range(low, high, 1, 3).selectExpr("to_json(struct(id)) AS value")
+                bronze.flush(batch.unionAll(spark.sql("SELECT 'oops' AS value")), batch_id, path, 10, 10**9)
+        for _ in range(2):
+            bronze.flush(spark.range(0).selectExpr("string(id) AS value"), 4, path, 10, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert [len(lines) for lines in files_of(path)] == [10] * 5
+    found = bronze.read_bronze(spark, path, schemas.all_strings(["id"]))
+    assert sorted(int(row.id) for row in found.collect()) == list(range(50))
+    assert bag(bronze.read_rejects(spark, path)) == {("oops",): 4}
+
+
+def test_kafka_flushes_by_options_of_its_source():
+    assert bronze.flush_options(10, "30 seconds") == {"minOffsetsPerTrigger": 10, "maxTriggerDelay": "30 seconds"}
 
 
 def test_kafka_is_the_default_topic(spark):

@@ -7,11 +7,15 @@ that are not JSON objects go to a folder of their own. Schemas apply on reading,
 definition of a sound line (`topic.from_messages`) serves all readers.
 """
 
+import re
+import time
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from waybill.sources import topic
+from waybill.sources.files import delete, exists, listed, make_folder, move
 
 
 def _paths(path):
@@ -45,41 +49,62 @@ def rejects_of(path):
     return f"{path.rstrip('/')}-rejects"
 
 
-def _lined(values):
-    """`values`, which are sound, as text that is read line by line; null where that would lose
-    a part."""
-    value = F.col("value")
+def _lined(value):
+    """A sound value as text that is read line by line; null where that would lose a part."""
     # In sound JSON, a line break stands between tokens only.
     single = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
     each = F.forall(
         F.split(value, r"[\r\n]+"),
         lambda line: (F.trim(line) == "") | (F.trim(line).startswith("{") & F.get_json_object(line, "$").isNotNull()),
     )
-    text = (
+    return (
         F.when(~value.rlike(r"[\r\n]"), value)
         .when(single, F.regexp_replace(value, r"[\r\n]", " "))
         .when(each, value)
     )
-    return values.withColumn("lined", text)
 
 
-def _sound(batch):
-    return _lined(topic.accepted(batch)).where("lined IS NOT NULL").select(F.col("lined").alias("value"))
+SOUND, ASIDE = "sound", "aside"
 
 
-def _aside(batch):
-    """The other values, one a line: those with line breaks as a backslash and a JSON object,
-    like those that begin with a backslash, so that `read_rejects` can tell them."""
+def _sorted_out(batch):
+    """(value, kind): sound values as lines, the others as lines of the rejects, where one with
+    line breaks is a backslash and a JSON object, like one that begins with a backslash, so that
+    `read_rejects` can tell them. Null values have no text to keep."""
     value = F.col("value")
-    others = topic.rejected(batch).union(_lined(topic.accepted(batch)).where("lined IS NULL").select("value"))
+    rows = topic.judged(batch).select("value", F.when(F.col("sound"), _lined(value)).alias("lined"))
     escaped = F.concat(F.lit("\\"), F.to_json(F.struct("value")))
-    return others.select(F.when(value.rlike(r"[\r\n]|^\\"), escaped).otherwise(value).alias("value"))
+    aside = F.when(value.rlike(r"[\r\n]|^\\"), escaped).otherwise(value)
+    kind = F.when(F.col("lined").isNotNull(), SOUND).otherwise(ASIDE)
+    return rows.where("value IS NOT NULL").select(F.coalesce("lined", aside).alias("value"), kind.alias("kind"))
+
+
+def _staged(batch, path, name, max_records_per_file=None):
+    """Write the values of a batch, sorted out, where no reader looks. One pass over the batch."""
+    staged = f"{path.rstrip('/')}/_staged/{name}"
+    writer = _sorted_out(batch).write.mode("overwrite").partitionBy("kind")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.text(staged)
+    return {kind: f"{staged}/kind={kind}" for kind in (SOUND, ASIDE)}
+
+
+def _settle(spark, source, folder, name):
+    """Let staged values appear in `folder`, if there are any."""
+    make_folder(spark, folder)
+    if exists(spark, source):
+        move(spark, source, f"{folder.rstrip('/')}/{name}")
+
+
+def _name(batch, batch_id):
+    return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:010d}"
 
 
 def read_rejects(spark, path):
     """The values that bronze at `path` did not take, as they came."""
     line = F.col("value")
     whole = F.from_json(F.substr(line, F.lit(2)), "value string")["value"]
+    make_folder(spark, rejects_of(path))
     lines = _lines(spark.read, rejects_of(path))
     return lines.select(F.when(line.startswith("\\"), whole).otherwise(line).alias("value"))
 
@@ -93,24 +118,101 @@ def append_bronze(messages, path, checkpoint, trigger=None, max_records_per_file
     """
 
     def land(batch, batch_id):
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        name = f"batch-{query}-{batch_id:010d}"
-        for values, folder in ((_sound, path), (_aside, rejects_of(path))):
-            writer = values(batch).write.mode("overwrite")
-            if max_records_per_file:
-                writer = writer.option("maxRecordsPerFile", max_records_per_file)
-            writer.text(f"{folder.rstrip('/')}/{name}")
+        spark, name = batch.sparkSession, f"batch-{_name(batch, batch_id)}"
+        staged = _staged(batch, path, name, max_records_per_file)
+        _settle(spark, staged[SOUND], path, name)
+        _settle(spark, staged[ASIDE], rejects_of(path), name)
+        delete(spark, f"{path.rstrip('/')}/_staged/{name}")
 
     writer = messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def declared_sink(messages, path, checkpoint, flush_records, flush_interval=None):
-    """Bronze sink set by two bounds: records per file and time between flushes.
+def declared_sink(messages, path, checkpoint, flush_records, flush_interval=None, poll="1 second"):
+    """Bronze sink that flushes at a number of records or after an interval, whichever is first.
+
+    A flush writes files of exactly `flush_records`; fewer wait, for more or until the first of
+    them has waited for `flush_interval`, and then land as they are. Values that are not JSON
+    objects don't count and land aside at once. Without an interval the query drains what is
+    there, in files of at most that many records, and ends.
+
+    `fixed.SINK_FLUSH_RECORDS` and `fixed.SINK_FLUSH_INTERVAL` are the bounds of a trickle; choose
+    more records with the feed's rate: fewer than one flush wait, however large the feed. A
+    topic of Kafka needs no waiting room: see `flush_options`.
+    """
+    if not flush_interval:
+        return append_bronze(messages, path, checkpoint, max_records_per_file=flush_records)
+    spark = messages.sparkSession
+    wait = spark.sql(f"SELECT unix_millis(timestamp_millis(0) + INTERVAL {flush_interval})").first()[0]
+    value, tick = F.col("value").cast("string").alias("value"), F.lit(True).alias("tick")
+    # A trigger without new messages runs no batch; the ticks see to it that time goes on.
+    ticks = spark.readStream.format("rate").load().select(F.lit(None).cast("string").alias("value"), tick)
+    stream = messages.select(value, F.lit(False).alias("tick")).unionByName(ticks)
+
+    def land(batch, batch_id):
+        flush(batch.where("NOT tick").select("value"), batch_id, path, flush_records, wait)
+
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=poll).start()
+
+
+def flush_options(flush_records, flush_interval):
+    """Options of a Kafka source that start a micro-batch at so many records or after an
+    interval, whichever is first; with `append_bronze(..., max_records_per_file=flush_records)`."""
+    return {"minOffsetsPerTrigger": flush_records, "maxTriggerDelay": flush_interval}
+
+
+_WAITING = re.compile(r"(?P<name>(?P<query>.+)-(?P<batch>\d{10}))-since-(?P<since>\d+)")
+
+
+def flush(batch, batch_id, path, flush_records, wait):
+    """Land a micro-batch and what waits from before, as far as it makes up whole flushes, or
+    all of it once the first of what waits has waited for `wait` milliseconds.
 
-    `fixed.SINK_FLUSH_RECORDS` and `fixed.SINK_FLUSH_INTERVAL` are the bounds of a trickle;
-    choose more records with the feed's rate. Without an interval the query drains what is
-    there and ends.
+    What waits, fewer records than a flush has, is a folder that names the batch which left it and
+    the time of its first record. A folder goes when a later batch finds the next one: a
+    batch that is run again after a failure then finds what it has found before.
     """
-    trigger = {"processingTime": flush_interval} if flush_interval else {"availableNow": True}
-    return append_bronze(messages, path, checkpoint, trigger, flush_records)
+    spark, root, name = batch.sparkSession, path.rstrip("/"), _name(batch, batch_id)
+    make_folder(spark, root)
+    staged = _staged(batch, root, name)
+    _settle(spark, staged[ASIDE], rejects_of(path), f"batch-{name}")
+    query, now = name[:-11], int(time.time() * 1000)
+    folders = [_WAITING.fullmatch(folder) for folder in listed(spark, f"{root}/_waiting", _WAITING)]
+    left = [found for found in folders if found["query"] == query and int(found["batch"]) < batch_id]
+    delete(spark, *[f"{root}/_waiting/{found.group()}" for found in left[:-1]])
+    last, since = (left[-1], int(left[-1]["since"])) if left else (None, now)
+    # What has waited comes first, and is less than a flush.
+    sources = [f"{root}/_waiting/{last.group()}"] if last else []
+    new = exists(spark, staged[SOUND])
+    sources += [staged[SOUND]] if new else []
+    parts = [spark.read.text(source).select("value") for source in sources]
+    sizes = [part.count() for part in parts]
+    since = now if last and not sizes[0] else since
+    n = sum(sizes)
+    ready = n if now - since >= wait else n - n % flush_records
+    if new or ready:
+        rows = numbered(reduce(lambda one, other: one.union(other), parts))
+        rows = rows.withColumn("flush", F.floor(F.col("number") / flush_records))
+        if ready:
+            done = rows.where(F.col("number") < ready).repartition("flush").sortWithinPartitions("flush")
+            writer = done.select("value").write.mode("overwrite").option("maxRecordsPerFile", flush_records)
+            writer.text(f"{root}/_staged/{name}-done")
+            move(spark, f"{root}/_staged/{name}-done", f"{root}/batch-{name}")
+        rest = rows.where(F.col("number") >= ready).select("value").coalesce(1)
+        rest.write.mode("overwrite").text(f"{root}/_staged/{name}-rest")
+        delete(spark, *[f"{root}/_waiting/{found.group()}" for found in folders if found["name"] == name])
+        move(spark, f"{root}/_staged/{name}-rest", f"{root}/_waiting/{name}-since-{now if ready else since}")
+    delete(spark, f"{root}/_staged/{name}")
+
+
+def numbered(rows):
+    """`rows`, which are in files, with a gapless `number` from 0 on: the place within a partition
+    and the rows of the partitions before it, of which there is a row each."""
+    placed = rows.withColumn("id", F.monotonically_increasing_id())
+    part, place = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    rows = placed.withColumn("part", part).join(starts, "part")
+    return rows.select("value", (F.col("start") + place).alias("number"))

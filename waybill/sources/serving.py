@@ -42,6 +42,7 @@ from waybill import fixed
 from waybill.functions.parsing import quoted
 from waybill.functions.rendering import json_safe
 from waybill.operators.newest import newest_per_key
+from waybill.sources.files import delete, exists, file_system, listed
 from waybill.sources.tables import write_table
 
 GRACE_SECONDS = 3600
@@ -64,28 +65,8 @@ class Conflict(Exception):
 # ---------------------------------------------------------------- files
 
 
-def _file_system(spark, path):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
-
-
-def _listed(spark, path, pattern):
-    """Names in a folder that match, with the status of each, in the order of the names."""
-    fs, folder = _file_system(spark, path)
-    if not fs.exists(folder):
-        return {}
-    statuses = {status.getPath().getName(): status for status in fs.listStatus(folder)}
-    return {name: statuses[name] for name in sorted(statuses) if pattern.fullmatch(name)}
-
-
-def _delete(spark, paths):
-    for path in paths:
-        fs, folder = _file_system(spark, path)
-        fs.delete(folder, True)
-
-
 def _read_text(spark, path):
-    fs, file = _file_system(spark, path)
+    fs, file = file_system(spark, path)
     stream = fs.open(file)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -97,7 +78,7 @@ def _create(spark, path, text):
     """Write a file that must not be there yet. It appears whole or not at all, and of several
     writers one succeeds, as far as the file system's rename sees to it."""
     staged = re.sub(r"[^/]+$", f".staged-{uuid.uuid4().hex}", path)
-    fs, file = _file_system(spark, staged)
+    fs, file = file_system(spark, staged)
     stream = fs.create(file)
     stream.write(bytearray(text.encode()))
     stream.close()
@@ -125,7 +106,7 @@ def _manifest_path(table_path, version):
 
 def versions(spark, table_path):
     """Committed versions, oldest first."""
-    names = _listed(spark, f"{table_path.rstrip('/')}/{_MANIFESTS}", _VERSION)
+    names = listed(spark, f"{table_path.rstrip('/')}/{_MANIFESTS}", _VERSION)
     return [int(_VERSION.fullmatch(name).group(1)) for name in names]
 
 
@@ -156,9 +137,8 @@ def deltas(spark, table_path, version=None):
     root = table_path.rstrip("/")
     held = set((version or manifest(spark, root) or {"folded": []})["folded"])
     found = []
-    for name in _listed(spark, root, _DELTA):
-        fs, marker = _file_system(spark, f"{root}/{name}/_SUCCESS")
-        if name not in held and fs.exists(marker):
+    for name in listed(spark, root, _DELTA):
+        if name not in held and exists(spark, f"{root}/{name}/_SUCCESS"):
             found.append(f"{root}/{name}")
     return found
 
@@ -270,7 +250,7 @@ def _written(spark, root, rows, keys, partitions, sort_by):
     if sort_by:
         rows = rows.sortWithinPartitions(*sort_by)
     write_table(rows, f"{root}/{folder}")
-    names = _listed(spark, f"{root}/{folder}", _PART)
+    names = listed(spark, f"{root}/{folder}", _PART)
     files = {name: {"path": f"{folder}/{name}", "low": None, "high": None} for name in names}
     if len(files) > FEW_FILES and _ranged(rows, keys):
         stored = spark.read.parquet(f"{root}/{folder}")
@@ -290,7 +270,7 @@ def _load(spark, table_path, make, keys, newest_by, partitions, sort_by):
         replaced, rows = make(now, waiting)
         folder, files = _written(spark, root, rows, keys, partitions, sort_by)
         gone = {file["path"] for file in replaced}
-        there = set(_listed(spark, root, _DELTA))
+        there = set(listed(spark, root, _DELTA))
         folded = [name for name in (now or {"folded": []})["folded"] if name in there]
         try:
             return _commit(
@@ -303,7 +283,7 @@ def _load(spark, table_path, make, keys, newest_by, partitions, sort_by):
                 folded=folded + [path.rsplit("/", 1)[1] for path in waiting],
             )
         except Conflict:
-            _delete(spark, [f"{root}/{folder}"])
+            delete(spark, f"{root}/{folder}")
     raise Conflict(f"{table_path}: {ATTEMPTS} loads in a row were overtaken")
 
 
@@ -353,7 +333,7 @@ def expire(spark, table_path, keep_versions=2, grace_seconds=GRACE_SECONDS):
     """Drop versions before the last `keep_versions` that were replaced more than
     `grace_seconds` ago, with the files and deltas that only they have a use for."""
     root = table_path.rstrip("/")
-    statuses = list(_listed(spark, f"{root}/{_MANIFESTS}", _VERSION).items())
+    statuses = list(listed(spark, f"{root}/{_MANIFESTS}", _VERSION).items())
     since = (time.time() - grace_seconds) * 1000
     old = [
         name
@@ -371,8 +351,8 @@ def expire(spark, table_path, keep_versions=2, grace_seconds=GRACE_SECONDS):
     loose = [path for path in unused if path.split("/")[0] not in folders]
     # A delta that the oldest kept version holds in its files, no reader asks for any more.
     folded = set(kept[0]["folded"])
-    _delete(spark, [f"{root}/{path}" for path in [*folders, *loose, *folded]])
-    _delete(spark, [f"{root}/{_MANIFESTS}/{name}" for name in old])
+    delete(spark, *[f"{root}/{path}" for path in [*folders, *loose, *folded]])
+    delete(spark, *[f"{root}/{_MANIFESTS}/{name}" for name in old])
 
 
 def declare(spark, table_path, keys, newest_by):
@@ -395,8 +375,7 @@ def append_delta(batch, table_path, keys, newest_by, name):
     the same `name` is the same batch, run again."""
     spark, root = batch.sparkSession, table_path.rstrip("/")
     declare(spark, root, keys, newest_by)
-    fs, marker = _file_system(spark, f"{root}/delta-{name}/_SUCCESS")
-    if not fs.exists(marker):
+    if not exists(spark, f"{root}/delta-{name}/_SUCCESS"):
         write_table(newest_per_key(batch, keys, newest_by), f"{root}/delta-{name}")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.parsing import quoted
 from waybill.schemas import all_strings, with_text_field
+from waybill.sources.files import exists, move
 
 NOT_JSON = "_corrupt_record"
 
@@ -30,7 +31,9 @@ def parsed_once(text, schema, error_field):
     return F.inline(F.array(F.struct(message.alias("message"))))
 
 
-def _judged(messages, schema):
+def judged(messages, schema=None):
+    """Every value as text, and whether it is `sound`, a JSON object; each parsed once."""
+    schema = schema or all_strings([])
     value = F.col("value").cast("string")
     decoded = messages.select(value.alias("value"), parsed_once(value, schema, NOT_JSON))
     sound = F.col("message").isNotNull() & F.col(f"message.{NOT_JSON}").isNull()
@@ -39,19 +42,18 @@ def _judged(messages, schema):
 
 def from_messages(messages, schema):
     """Decode the values; what is not a JSON object is left out (see `rejected`)."""
-    decoded = _judged(messages, schema)
+    decoded = judged(messages, schema)
     return decoded.filter("sound").select("message.*").drop(NOT_JSON)
 
 
 def rejected(messages, schema=None):
     """The values that `from_messages` leaves out. Null values have no text to keep."""
-    judged = _judged(messages, schema or all_strings([]))
-    return judged.filter("NOT sound AND value IS NOT NULL").select("value")
+    return judged(messages, schema).filter("NOT sound AND value IS NOT NULL").select("value")
 
 
 def accepted(messages):
     """The values that are JSON objects, as they are: with every field, known or not."""
-    return _judged(messages, all_strings([])).filter("sound").select("value")
+    return judged(messages).filter("sound").select("value")
 
 
 def publish(df, fmt="kafka", path=None, **options):
@@ -69,17 +71,13 @@ def publish_batch(df, name, fmt="kafka", path=None, **options):
     if fmt == "kafka":
         publish(df, fmt, **options)
         return
-    jvm, spark = df.sparkSession._jvm, df.sparkSession
-    root = path.rstrip("/")
-    target = jvm.org.apache.hadoop.fs.Path(f"{root}/batch-{name}")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        return
-    # Readers of a folder pass over names with an underscore.
-    staged = f"{root}/_staged/{name}"
-    to_messages(df).write.format(fmt).options(**options).mode("overwrite").save(staged)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target):
-        raise OSError(f"{staged} could not become {target}")
+    spark, root = df.sparkSession, path.rstrip("/")
+    target = f"{root}/batch-{name}"
+    if not exists(spark, target):
+        # Readers of a folder pass over names with an underscore.
+        staged = f"{root}/_staged/{name}"
+        to_messages(df).write.format(fmt).options(**options).mode("overwrite").save(staged)
+        move(spark, staged, target)
 
 
 def publish_stream(df, checkpoint, fmt="kafka", path=None, trigger=None, **options):
