@@ -591,6 +591,14 @@ oracle(
       PARTITION BY event_id ORDER BY event_timestamp DESC, shipment_id DESC, event_type DESC,
       location DESC) = 1""",
 )
+oracle(
+    "G02_incremental_silver",
+    """
+    SELECT * FROM typed_rough_tracking WHERE event_timestamp IS NOT NULL
+    QUALIFY row_number() OVER (
+      PARTITION BY event_id ORDER BY event_timestamp DESC, shipment_id DESC, event_type DESC,
+      location DESC) = 1""",
+)
 oracle("G03_delivery_performance", "SELECT * FROM performance")
 oracle("G04_route_optimization", "SELECT * FROM routes")
 oracle("G05_shipment_snapshot", "SELECT * FROM snapshot")

@@ -806,6 +806,29 @@ def g02(spark, sf_dir):
     return tables.read_table(spark, layout.silver_tracking)
 
 
+@query("G02_incremental_silver")
+def g02_incremental(spark, sf_dir):
+    """Rough events in three runs: the errors, all of them again from another query together
+    with the rest, and a last run with nothing new."""
+    path = work_dir(spark, "g02-incremental")
+    layout = Layout(path, replays=["replayed"], incremental=True)
+    rough = inputs.rough_tracking(spark, sf_dir)
+    parts = (rough.filter("event_id IS NULL"), rough, rough.limit(0))
+    for folder, part in zip((*layout.tracking_folders, layout.bronze_tracking), parts, strict=True):
+        topic.publish(part, fmt="text", path=f"{path}/topic-{folder.count('replayed')}")
+        drained(
+            feeds.topic_to_bronze(
+                spark,
+                folder,
+                f"{path}/checkpoint-{folder.count('replayed')}",
+                fmt="text",
+                path=f"{path}/topic-{folder.count('replayed')}",
+            )
+        )
+        pipeline.clean_tracking(spark, layout)
+    return serving.read_current(spark, layout.silver_tracking)
+
+
 @query("G03_delivery_performance")
 def g03(spark, sf_dir):
     layout = staged_silver(spark, sf_dir, "g03")

@@ -4,13 +4,13 @@ from pathlib import Path
 import pytest
 
 from tests.helpers import ROUTE, SNAPSHOT, at, bag, by_key, events, finish, plan, rows, shipments
-from waybill import fixed
+from waybill import fixed, schemas
 from waybill.layout import Layout
 from waybill.operators.slicers import Selection, search
-from waybill.plans import gold, pipeline, report
+from waybill.plans import gold, pipeline, report, silver
 from waybill.plans.serving import load_serving
 from waybill.session import shuffles_sized_for
-from waybill.sources import serving, tables
+from waybill.sources import bronze, serving, tables
 
 
 def keyed(spark, *items):
@@ -312,3 +312,93 @@ def test_a_kept_dashboard_answers_as_a_fresh_one(spark, folder):
         chosen = report.report(kept["tables"], Selection(delay="Delayed"))
         assert search(chosen["performance"], "^A$").count() == 1
     assert not any(df.is_cached for df in kept["tables"].values())
+
+
+def bytes_read(spark, group, job):
+    """Input bytes of the jobs that `job` starts."""
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        job()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker, store = context.statusTracker(), context._jsc.sc().statusStore()
+    stages = {k for one in tracker.getJobIdsForGroup(group) for k in tracker.getJobInfo(one).stageIds}
+    return sum(store.lastStageAttempt(k).inputBytes() for k in stages if tracker.getStageInfo(k))
+
+
+def tracked(spark, low, high, hour):
+    return spark.range(low, high).selectExpr(
+        "IF(id % 10 = 0, NULL, 'event ' || id) AS event_id",
+        "'shipment ' || id % 50 AS shipment_id",
+        "'In Transit' AS event_type",
+        f"date_format(TIMESTAMP'2026-05-01 {hour:02d}:00:00' + make_interval(0, 0, 0, 0, 0, 0, id / 1000), 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS event_timestamp",
+        "'HUB-1' AS location",
+    )
+
+
+def test_incremental_silver_reads_only_what_is_new(spark, folder):
+    layout = Layout(folder("root"), incremental=True, replays=["again"])
+    feeds_of_silver = (layout.bronze_tracking, *layout.tracking_folders[1:])
+    tracked(spark, 0, 200_000, 1).write.json(f"{layout.bronze_tracking}/batch-q-0000000000")
+    pipeline.clean_tracking(spark, layout)
+    batches = [
+        # More events, repeated ids that are later and others that are earlier, and a replay.
+        (f"{layout.bronze_tracking}/batch-q-0000000001", tracked(spark, 199_900, 200_400, 5)),
+        (f"{layout.bronze_tracking}/batch-q-0000000002", tracked(spark, 100, 300, 0)),
+        (f"{feeds_of_silver[1]}/batch-p-0000000000", tracked(spark, 0, 400, 1)),
+        (f"{layout.bronze_tracking}/other-file", tracked(spark, 200_400, 200_500, 1)),
+    ]
+    whole = sum(path.stat().st_size for path in Path(layout.bronze_tracking).rglob("part-*"))
+    for number, (path, rows_) in enumerate(batches):
+        rows_.write.json(path)
+        new = sum(part.stat().st_size for part in Path(path).rglob("part-*"))
+        read = bytes_read(spark, f"take in {number}", lambda: pipeline.clean_tracking(spark, layout))
+        # Heads of files may be looked at twice; nothing else is read.
+        assert new <= read < 1.5 * new < whole / 10
+        assert bytes_read(spark, f"nothing new {number}", lambda: pipeline.clean_tracking(spark, layout)) == 0
+        full = Layout(layout.root, replays=["again"])
+        Path(full.tracking_folders[1]).mkdir(parents=True, exist_ok=True)
+        expected = silver.silver_tracking(bronze.read_bronze(spark, full.tracking_folders, schemas.BRONZE_TRACKING))
+        assert bag(serving.read_current(spark, layout.silver_tracking)) == bag(expected)
+    assert len(serving.deltas(spark, layout.silver_tracking)) == 4
+    # A large batch folds the deltas into the files.
+    tracked(spark, 150_000, 300_000, 2).write.json(f"{layout.bronze_tracking}/batch-q-0000000003")
+    pipeline.clean_tracking(spark, layout)
+    assert serving.deltas(spark, layout.silver_tracking) == []
+    expected = silver.silver_tracking(bronze.read_bronze(spark, full.tracking_folders, schemas.BRONZE_TRACKING))
+    assert bag(serving.read_current(spark, layout.silver_tracking)) == bag(expected)
+    assert bytes_read(spark, "nothing new", lambda: pipeline.clean_tracking(spark, layout)) == 0
+
+
+def test_an_incremental_run_that_died_takes_the_same_batches_again(spark, folder, monkeypatch):
+    layout = Layout(folder("root"), incremental=True)
+    tracked(spark, 0, 50_000, 1).write.json(f"{layout.bronze_tracking}/batch-q-0000000000")
+    for number, step in enumerate(("_commit", "move")):
+        with monkeypatch.context() as patched:
+            patched.setattr(serving, step, lambda *args, **changes: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                pipeline.clean_tracking(spark, layout)
+        pipeline.clean_tracking(spark, layout)
+        assert len(serving.deltas(spark, layout.silver_tracking)) == number
+        tracked(spark, 49_990, 50_020, 1).write.json(f"{layout.bronze_tracking}/batch-q-000000000{number + 1}")
+    pipeline.clean_tracking(spark, layout)
+    expected = silver.silver_tracking(bronze.read_bronze(spark, layout.bronze_tracking, schemas.BRONZE_TRACKING))
+    assert bag(serving.read_current(spark, layout.silver_tracking)) == bag(expected)
+
+
+def test_an_incremental_pipeline_gives_the_same_tables(spark, folder):
+    plain, grown = Layout(folder("plain")), Layout(folder("grown"), incremental=True)
+    for layout in (plain, grown):
+        feed(spark, layout)
+    pipeline.run(spark, plain.root)
+    pipeline.run(spark, grown.root, incremental=True)
+    for layout in (plain, grown):
+        more = events(spark, ("3", "b", "Picked Up", "2026-05-02 00:00:00"), ("2", "a", "Delivered", "2026-05-12 00:00:00"))
+        more.withColumn("event_timestamp", more.event_timestamp.cast("string")).write.mode("append").json(layout.bronze_tracking)
+    expected = serving.fetch_all(spark, pipeline.run(spark, plain.root).serving)
+    found = serving.fetch_all(spark, pipeline.run(spark, grown.root, incremental=True).serving)
+    for name, df in expected.items():
+        assert bag(found[name]) == bag(df), name
+    with pytest.raises(ValueError, match="buckets"):
+        Layout("x", buckets=4, incremental=True)

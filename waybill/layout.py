@@ -9,9 +9,17 @@ class Layout:
 
     With `buckets`, silver shipments are a bucketed table of the catalog, named
     `shipments_table`; it outlives the session only where the catalog does.
+
+    With `incremental`, silver tables are keyed tables that take in what is new in bronze;
+    not together with `buckets`.
     """
 
-    def __init__(self, root, buckets=None, shipments_table="silver_shipments", replays=()):
+    def __init__(
+        self, root, buckets=None, shipments_table="silver_shipments", replays=(), incremental=False
+    ):
+        if buckets and incremental:
+            raise ValueError("a bucketed table is written whole: choose buckets or incremental")
+        self.incremental = incremental
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.shipments_table = shipments_table

@@ -2,14 +2,18 @@
 
 from waybill import schemas
 from waybill.layout import Layout
-from waybill.plans import gold, silver
+from waybill.plans import gold, increments, silver
 from waybill.plans.serving import load_serving
 from waybill.session import shuffles_sized_for
+from waybill.sources import serving
 from waybill.sources.bronze import read_bronze
 from waybill.sources.tables import read_table, write_bucketed, write_table
 
 
 def clean_shipments(spark, layout):
+    if layout.incremental:
+        increments.take_in_shipments(spark, layout)
+        return
     with shuffles_sized_for(spark, *layout.shipment_folders, partitions=layout.buckets):
         bronze = read_bronze(spark, layout.shipment_folders, schemas.BRONZE_SHIPMENTS)
         rows = silver.silver_shipments(bronze)
@@ -22,12 +26,18 @@ def clean_shipments(spark, layout):
 
 
 def clean_tracking(spark, layout):
+    if layout.incremental:
+        increments.take_in_tracking(spark, layout)
+        return
     with shuffles_sized_for(spark, *layout.tracking_folders):
         bronze = read_bronze(spark, layout.tracking_folders, schemas.BRONZE_TRACKING)
         write_table(silver.silver_tracking(bronze), layout.silver_tracking)
 
 
 def silver_tables(spark, layout):
+    if layout.incremental:
+        tables = layout.silver_shipments, layout.silver_tracking
+        return tuple(serving.read_current(spark, table) for table in tables)
     if layout.buckets:
         shipments = spark.table(layout.shipments_table)
     else:

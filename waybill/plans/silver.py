@@ -20,13 +20,19 @@ def typed_tracking(bronze):
     return bronze.withColumn("event_timestamp", to_instant(F.col("event_timestamp")))
 
 
+def known_shipments(bronze):
+    return typed_shipments(bronze).filter(F.col("shipment_id").isNotNull())
+
+
+def dated_tracking(bronze):
+    return typed_tracking(bronze).filter(F.col("event_timestamp").isNotNull())
+
+
 def silver_shipments(bronze, newest_by=("shipping_date",)):
     """Of several rows for a shipment the one with the latest shipping date stays."""
-    rows = typed_shipments(bronze).filter(F.col("shipment_id").isNotNull())
-    return newest_per_key(rows, ["shipment_id"], newest_by)
+    return newest_per_key(known_shipments(bronze), ["shipment_id"], newest_by)
 
 
 def silver_tracking(bronze, newest_by=("event_timestamp",)):
     """All events without an id count as one event, of which the latest stays."""
-    rows = typed_tracking(bronze).filter(F.col("event_timestamp").isNotNull())
-    return newest_per_key(rows, ["event_id"], newest_by)
+    return newest_per_key(dated_tracking(bronze), ["event_id"], newest_by)

@@ -30,8 +30,27 @@ def _lines(reader, path):
 def read_bronze(spark, path, schema):
     """The lines that are JSON objects, under an explicit schema. `path` may be a list of
     folders, for instance of a feed and of its replay."""
-    parts = [topic.from_messages(_lines(spark.read, one), schema) for one in _paths(path)]
-    return reduce(lambda left, right: left.unionByName(right), parts)
+    return topic.from_messages(_lines(spark.read, path), schema)
+
+
+_BATCH = re.compile(r"(batch-.+)-(\d{10})")
+_SEEN = re.compile(r"[^_.].*")
+
+
+def landed_since(spark, path, ledger):
+    """What has landed in bronze and `ledger` does not hold yet: its folders and files, and how
+    far the ledger reaches with them. Of each query the ledger has the last batch, as they land
+    one after another; of other writers, each file."""
+    new, reached = [], {}
+    for folder in _paths(path):
+        root = folder.rstrip("/")
+        for name in listed(spark, root, _SEEN):
+            batch = _BATCH.fullmatch(name)
+            source, place = (f"{root}/{batch[1]}", int(batch[2])) if batch else (f"{root}/{name}", 0)
+            if place > ledger.get(source, -1):
+                new.append(f"{root}/{name}")
+                reached[source] = max(place, reached.get(source, -1))
+    return new, reached
 
 
 def broken_lines(spark, path):

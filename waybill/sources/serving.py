@@ -42,7 +42,7 @@ from waybill import fixed
 from waybill.functions.parsing import quoted
 from waybill.functions.rendering import json_safe
 from waybill.operators.newest import newest_per_key
-from waybill.sources.files import delete, exists, file_system, listed
+from waybill.sources.files import delete, exists, file_system, listed, move
 from waybill.sources.tables import write_table
 
 GRACE_SECONDS = 3600
@@ -50,6 +50,7 @@ GRACE_SECONDS = 3600
 FEW_FILES = 4
 ATTEMPTS = 20
 _MANIFESTS = "_manifests"
+_LEDGER = "_ledger.json"
 _VERSION = re.compile(r"v(\d{10})\.json")
 _DELTA = re.compile(r"delta-.+")
 _PART = re.compile(r"part-.+")
@@ -74,14 +75,19 @@ def _read_text(spark, path):
         stream.close()
 
 
+def _write_text(spark, path, text):
+    fs, file = file_system(spark, path)
+    stream = fs.create(file)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 def _create(spark, path, text):
     """Write a file that must not be there yet. It appears whole or not at all, and of several
     writers one succeeds, as far as the file system's rename sees to it."""
     staged = re.sub(r"[^/]+$", f".staged-{uuid.uuid4().hex}", path)
+    _write_text(spark, staged, text)
     fs, file = file_system(spark, staged)
-    stream = fs.create(file)
-    stream.write(bytearray(text.encode()))
-    stream.close()
     rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.NONE
@@ -114,7 +120,8 @@ def manifest(spark, table_path, version=None):
     """A version of a table, the newest without a number; None where there is no table.
 
     `keys` and `newest_by` as the table was made or last loaded with, `files` (path, low, high:
-    the range of its keys, null where unknown), and `folded`, the deltas that the files hold.
+    the range of its keys, null where unknown), `folded`, the deltas that the files hold, and
+    `ledger`, how far the files hold each source.
     """
     if version is None:
         known = versions(spark, table_path)
@@ -126,7 +133,7 @@ def manifest(spark, table_path, version=None):
 
 def _commit(spark, table_path, before, **changes):
     """Make `before` with `changes` the version after it."""
-    after = {"keys": None, "newest_by": None, "files": [], "folded": []} | (before or {}) | changes
+    after = {"keys": None, "newest_by": None, "files": [], "folded": [], "ledger": {}} | (before or {}) | changes
     version = (after.pop("version", None) or 0) + 1
     _create(spark, _manifest_path(table_path, version), json.dumps(after))
     return after | {"version": version}
@@ -143,6 +150,22 @@ def deltas(spark, table_path, version=None):
     return found
 
 
+def _furthest(ledgers):
+    """For each source the furthest place in any of the ledgers."""
+    return {source: max(one[source] for one in ledgers if source in one) for source in set().union(*ledgers)}
+
+
+def _delta_ledger(spark, delta):
+    return json.loads(_read_text(spark, f"{delta}/{_LEDGER}")) if exists(spark, f"{delta}/{_LEDGER}") else {}
+
+
+def ledger(spark, table_path):
+    """How far the table holds each source that its loads and batches have named."""
+    now = manifest(spark, table_path)
+    waiting = [_delta_ledger(spark, delta) for delta in deltas(spark, table_path, now)]
+    return _furthest([(now or {}).get("ledger", {}), *waiting])
+
+
 # ---------------------------------------------------------------- reading
 
 
@@ -261,7 +284,7 @@ def _written(spark, root, rows, keys, partitions, sort_by):
     return folder, list(files.values())
 
 
-def _load(spark, table_path, make, keys, newest_by, partitions, sort_by):
+def _load(spark, table_path, make, keys, newest_by, partitions, sort_by, reached):
     """Commit a version that `make(version, waiting)` gives (files to replace, rows) for."""
     root = table_path.rstrip("/")
     for _ in range(ATTEMPTS):
@@ -281,6 +304,7 @@ def _load(spark, table_path, make, keys, newest_by, partitions, sort_by):
                 newest_by=list(newest_by) if newest_by is not None else (now or {}).get("newest_by"),
                 files=[file for file in (now or {"files": []})["files"] if file["path"] not in gone] + files,
                 folded=folded + [path.rsplit("/", 1)[1] for path in waiting],
+                ledger=_furthest([(now or {}).get("ledger", {}), *[_delta_ledger(spark, one) for one in waiting], reached]),
             )
         except Conflict:
             delete(spark, f"{root}/{folder}")
@@ -298,6 +322,7 @@ def upsert(
     keep_versions=2,
     unique=False,
     grace_seconds=GRACE_SECONDS,
+    reached=None,
 ):
     """Merge rows into a table by key, and make the result its next version.
 
@@ -308,6 +333,7 @@ def upsert(
     Rows are spread by key range over as many files as adaptive execution or `partitions`
     asks for, so that later loads meet few of them. `sort_by` orders rows within each file, so
     that reads which filter on these columns skip pages. Repeating an upsert changes nothing.
+    `reached` goes to the table's ledger with the rows: how far they hold each source.
     """
     root = table_path.rstrip("/")
 
@@ -325,7 +351,7 @@ def upsert(
             held = [newest_per_key(_united([*late, *held]), keys, order)]
         return hit, merged(held[0], rows, keys) if held else rows
 
-    _load(spark, root, make, keys, newest_by, partitions, sort_by)
+    _load(spark, root, make, keys, newest_by, partitions, sort_by, reached or {})
     expire(spark, root, keep_versions, grace_seconds)
 
 
@@ -370,13 +396,19 @@ def declare(spark, table_path, keys, newest_by):
     raise Conflict(table_path)
 
 
-def append_delta(batch, table_path, keys, newest_by, name):
-    """Put a batch next to the table's files. A batch that has landed already is left as it is:
-    the same `name` is the same batch, run again."""
+def append_delta(batch, table_path, keys, newest_by, name, reached=None):
+    """Put a batch next to the table's files, where it appears whole. A batch that has landed
+    already is left as it is: the same `name` is the same batch, run again. `reached` goes to
+    the ledger with it."""
     spark, root = batch.sparkSession, table_path.rstrip("/")
     declare(spark, root, keys, newest_by)
-    if not exists(spark, f"{root}/delta-{name}/_SUCCESS"):
-        write_table(newest_per_key(batch, keys, newest_by), f"{root}/delta-{name}")
+    if exists(spark, f"{root}/delta-{name}/_SUCCESS"):
+        return
+    staged = f"{root}/_staged/delta-{name}"
+    write_table(newest_per_key(batch, keys, newest_by), staged)
+    if reached:
+        _write_text(spark, f"{staged}/{_LEDGER}", json.dumps(reached))
+    move(spark, staged, f"{root}/delta-{name}")
 
 
 def compact(spark, table_path, keys=None, newest_by=None, **upsert_options):
