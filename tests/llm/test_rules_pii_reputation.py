@@ -1,8 +1,10 @@
+import hashlib
 import random
 import re
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
+import regex
 
 from checks.compare import connect, same
 from tests.helpers import bag, rows
@@ -66,6 +68,113 @@ def test_formats_are_kept_and_values_linked(spark, documents):
     assert out != replaced(spark, documents, values, "other")
 
 
+def test_every_grouping_of_a_number_is_linked(spark, documents):
+    groupings = [
+        ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "41 11 11 11 11 11 11 11"],
+        ["378282246310005", "3782 822463 10005", "3782-822463-10005"],
+        ["+4930123456", "+49 30 123456", "+49 30 12 34 56", "+49-30-123-456", "+49 (30) 12 3456"],
+        ["(523) 555-1055", "523-555-1055", "523.555.1055", "(523)555.1055"],
+    ]
+    for values in groupings:
+        out = replaced(spark, documents, values)
+        assert [pattern(value) for value in out] == [pattern(value) for value in values]
+        assert len({re.sub(r"\D", "", value) for value in out}) == 1, out
+        assert re.sub(r"\D", "", out[0]) != re.sub(r"\D", "", values[0])
+    addresses = ["ab.7@mail3.example.org", "AB.7@mail3.Example.org", "aB.7@Mail3.EXAMPLE.oRg"]
+    out = replaced(spark, documents, addresses)
+    assert len({value.lower() for value in out}) == 1
+    assert [pattern(value) for value in out] == [pattern(value) for value in addresses]
+
+
+def feistel(text, key):
+    """The permutation of a text of digits and small letters, by hand."""
+    half = len(text) // 2
+    left, right = text[:half], text[half:]
+    for turn in range(8):
+        digest = hashlib.sha256("|".join([key, str(turn), right, key]).encode()).hexdigest()
+        moved = ""
+        for at, char in enumerate(left):
+            by = int(digest[at % 32 * 2 : at % 32 * 2 + 2], 16)
+            first, size = ("0", 10) if char.isdigit() else ("a", 26)
+            moved += chr(ord(first) + (ord(char) - ord(first) + by) % size) if char.isalnum() else char
+        left, right = right, moved
+    return left + right
+
+
+def feistel_pair(left, right, moduli, key):
+    def number(turn, text, modulus):
+        digest = hashlib.sha256("|".join([key, str(turn), str(text), key]).encode()).hexdigest()
+        return int(digest[:12], 16) % modulus
+
+    for turn in range(4):
+        left = (left + number(turn, right, moduli[0])) % moduli[0]
+        right = (right + number(turn + 8, left, moduli[1])) % moduli[1]
+    return left, right
+
+
+def by_hand(kind, value, key):
+    digits = re.sub(r"\D", "", value)
+    if kind == "email":
+        moved = feistel(value.lower(), f"{key}/email")
+        return "".join(new.upper() if old.isupper() else new for old, new in zip(value, moved, strict=True))
+    if kind == "ip":
+        a, b, c, d = map(int, value.split("."))
+        pair = feistel_pair(a * 256 + b, c * 256 + d, (65536, 65536), f"{key}/ip")
+        return ".".join(str(part) for half in pair for part in divmod(half, 256))
+    if kind == "date":
+        days = (date.fromisoformat(value) - date(1800, 1, 1)).days
+        high, low = feistel_pair(*divmod(days, 773), (189, 773), f"{key}/date")
+        return (date(1800, 1, 1) + timedelta(high * 773 + low)).isoformat()
+    if kind == "ssn":
+        area, group, serial = map(int, value.split("-"))
+        place = area - 1 - (area > 666)
+        high, serial = feistel_pair(place * 99 + group - 1, serial - 1, (898 * 99, 9999), f"{key}/ssn")
+        place, group = divmod(high, 99)
+        return f"{place + 1 + (place >= 665):03}-{group + 1:02}-{serial + 1:04}"
+    if kind == "phone":
+        moved = iter(feistel(digits, f"{key}/phone"))
+    else:
+        body = feistel(digits[:-1], f"{key}/card")
+        moved = iter(next(body + last for last in "0123456789" if luhn(body + last)))
+    return "".join(next(moved) if char.isdigit() else char for char in value)
+
+
+def valid(kind, value):
+    if not regex.fullmatch(pii.KINDS[kind], value):
+        return False
+    if kind == "ssn":
+        return not re.search(r"^(?:000|666|9)|-00-|-0000$", value)
+    if kind == "ip":
+        return all(str(int(part)) == part and int(part) < 256 for part in value.split("."))
+    return kind != "card" or luhn(value)
+
+
+def made_up(rng, kind):
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    if kind == "email":
+        return f"{rng.choice(['Ann', 'bob.7', 'x_y', 'C+d%e'])}{digits(2)}@{rng.choice(['Mail-3', 'host'])}.example.{rng.choice(['org', 'DE'])}"
+    if kind == "ip":
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+    if kind == "date":
+        return (date(1800, 1, 1) + timedelta(rng.randrange(146_097))).isoformat()
+    if kind == "ssn":
+        return f"{rng.choice([1, 899, 665, 667, rng.randrange(1, 666)]):03}-{rng.choice([1, 99, 45]):02}-{rng.choice([1, 9999, 777]):04}"
+    if kind == "phone":
+        return rng.choice([f"+{digits(2)} 30 {digits(4)} {digits(2)}", f"{digits(3)}-{digits(3)}-{digits(4)}"])
+    body = digits(15)
+    return next(body + last for last in "0123456789" if luhn(body + last))
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_pseudonyms_equal_a_feistel_network_by_hand_and_are_valid(spark, documents, kind):
+    rng = random.Random(kind)
+    values = sorted({made_up(rng, kind) for _ in range(300)})
+    out = replaced(spark, documents, values, "some key")
+    assert out == [by_hand(kind, value, "some key") for value in values]
+    assert len(set(out)) == len(values)
+    assert all(valid(kind, value) for value in out)
+
+
 def test_every_kind_alone_in_a_text_is_replaced(spark, documents):
     examples = {
         "email": ["ab@example.org"],

@@ -4,10 +4,13 @@ Found and validated values are replaced by values of the same format: a permutat
 format's values that a key selects. Equal values get equal pseudonyms in every document, so
 records stay linked, and different values never meet.
 
-* e-mail addresses, telephone numbers, social security numbers: each half of the value turns
-  every character of the other half within its class (digits, lower case, upper case);
-* payment cards of 13 to 19 digits with a valid Luhn digit: the digits before the last are
-  permuted and the Luhn digit is computed anew;
+* e-mail addresses: each half of the address in lower case turns every character of the other
+  half within its class (digits, letters); capitals stay where they are;
+* telephone numbers: likewise the digits alone; whatever groups them stays, so the same digits
+  get the same digits in every grouping;
+* payment cards of 13 to 19 digits with a valid Luhn digit: likewise the digits before the last,
+  and the Luhn digit is computed anew;
+* social security numbers: the valid ones by number, so pseudonyms are valid too;
 * IPv4 addresses: two numbers of 16 bits;
 * dates (yyyy-MM-dd, dd.MM.yyyy, dd/MM/yyyy) from 1800 to 2199: days of the 400-year cycle, as
   pairs of numbers below 189 and 773.
@@ -74,6 +77,8 @@ ANY = "|".join([*(pattern for kind, pattern in KINDS.items() if kind != "card"),
 HINT = r"@|\d"
 FIRST_DAY = "DATE'1800-01-01'"
 DAYS = (189, 773)
+#: Areas and groups, and serials.
+SSNS = (898 * 99, 9999)
 
 
 def keyed(key, turn, text):
@@ -134,6 +139,42 @@ def permuted_text(text, key):
     )
 
 
+def laid_over(digits, value):
+    """`value` with its digits, in order, replaced by `digits`."""
+    return let(
+        digits,
+        lambda digits: F.array_join(
+            F.transform(
+                F.split(value, ""),
+                lambda char, at: F.when(
+                    char.between("0", "9"),
+                    F.substr(digits, F.length(digits_of(F.substr(value, F.lit(1), at + 1))), F.lit(1)),
+                ).otherwise(char),
+            ),
+            "",
+        ),
+    )
+
+
+def phone(value, key):
+    return laid_over(permuted_text(digits_of(value), key), value)
+
+
+def email(value, key):
+    def capitals(moved):
+        chars = F.split(value, "")
+        cased = F.transform(
+            chars,
+            lambda char, at: let(
+                F.substr(moved, at + 1, F.lit(1)),
+                lambda new: F.when(char.between("A", "Z"), F.upper(new)).otherwise(new),
+            ),
+        )
+        return F.array_join(cased, "")
+
+    return let(permuted_text(F.lower(value), key), capitals)
+
+
 def permuted_pair(left, right, moduli, key):
     """A bijection of the pairs of numbers below the two moduli."""
     kind = "struct<left:bigint,right:bigint>"
@@ -165,11 +206,14 @@ def digits_of(text):
 
 def card(value, key):
     def renewed(body):
-        check = (F.lit(10) - luhn_sum(digits_of(body), True) % 10) % 10
+        check = (F.lit(10) - luhn_sum(body, True) % 10) % 10
         return F.concat(body, check.cast("string"))
 
-    body = F.substr(value, F.lit(1), F.length(value) - 1)
-    return F.when(luhn_sum(digits_of(value), False) % 10 == 0, let(permuted_text(body, key), renewed))
+    def moved(digits):
+        body = F.substr(digits, F.lit(1), F.length(digits) - 1)
+        return laid_over(let(permuted_text(body, key), renewed), value)
+
+    return F.when(luhn_sum(digits_of(value), False) % 10 == 0, let(digits_of(value), moved))
 
 
 def ip(value, key):
@@ -208,7 +252,17 @@ def date(value, key):
 
 
 def ssn(value, key):
-    return F.when(~value.rlike(r"^(?:000|666|9)|-00-|-0000$"), permuted_text(value, key))
+    """Areas are 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999."""
+    area, group, serial = [F.split_part(value, F.lit("-"), F.lit(place)).cast("int") for place in (1, 2, 3)]
+    place = area - F.when(area > 666, 2).otherwise(1)
+
+    def written(pair):
+        place = F.floor(pair["left"] / 99)
+        parts = [place + F.when(place >= 665, 2).otherwise(1), pair["left"] % 99 + 1, pair["right"] + 1]
+        return F.concat_ws("-", *[F.lpad(part.cast("string"), n, "0") for part, n in zip(parts, (3, 2, 4), strict=True)])
+
+    pair = permuted_pair(place * 99 + group - 1, serial - 1, SSNS, key)
+    return F.when(~value.rlike(r"^(?:000|666|9)|-00-|-0000$"), let(pair, written))
 
 
 def respelled(text, pattern, found, between):
@@ -306,11 +360,11 @@ def pseudonym(value, key):
     whole = lambda pattern: value.rlike(f"^(?:{pattern})$")
     return (
         F.when(value.startswith(OPEN), card(F.substr(value, F.lit(2), F.length(value) - 2), key + "/card"))
-        .when(value.contains("@"), permuted_text(value, key + "/email"))
+        .when(value.contains("@"), email(value, key + "/email"))
         .when(whole(IPV4), ip(value, key + "/ip"))
         .when(whole(DATE), date(value, key + "/date"))
         .when(whole(SSN), ssn(value, key + "/ssn"))
-        .when(whole(PHONE), permuted_text(value, key + "/phone"))
+        .when(whole(PHONE), phone(value, key + "/phone"))
     )
 
 
