@@ -601,6 +601,19 @@ oracle(
 )
 oracle("G03_delivery_performance", "SELECT * FROM performance")
 oracle("G04_route_optimization", "SELECT * FROM routes")
+oracle(
+    "G04_followed_routes",
+    """
+    SELECT origin, destination, location, count(shipment_id) AS total_shipments,
+           CAST(sum(CAST(declared_value AS DECIMAL(18, 2))) AS DOUBLE) AS total_value_at_risk,
+           avg(weight_kg) AS avg_weight_kg
+    FROM tracking JOIN (
+      SELECT * FROM typed_shipments
+      QUALIFY row_number() OVER (
+        PARTITION BY shipment_id ORDER BY shipping_date DESC NULLS LAST, origin DESC, destination DESC,
+          weight_kg DESC NULLS LAST, declared_value DESC NULLS LAST) = 1) USING (shipment_id)
+    GROUP BY origin, destination, location""",
+)
 oracle("G05_shipment_snapshot", "SELECT * FROM snapshot")
 oracle("G06_serving_load", bundle())
 oracle("G07_report", long_report())

@@ -843,6 +843,26 @@ def g04(spark, sf_dir):
     return in_cents(tables.read_table(spark, layout.routes), "total_value_at_risk")
 
 
+@query("G04_followed_routes")
+def g04_followed(spark, sf_dir):
+    """Orders of one priority and errors first, then all, so that most shipments change, then
+    the same events once more: route metrics follow the changes of both tables."""
+    path = work_dir(spark, "g04-followed")
+    layout = Layout(path, incremental=True, follow_routes=True)
+    shipments, tracking = inputs.bronze_shipments(spark, sf_dir), text_tracking(spark, sf_dir)
+    urgent = inputs.given(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    urgent = urgent.select(F.col("o_orderkey").alias("order_key"))
+    some = shipments.join(urgent, "order_key", "left_semi")
+    errors = tracking.filter(F.col("event_type") == fixed.CANCELLED)
+    for run, (shipped, tracked) in enumerate(((some, errors), (shipments, tracking), (None, tracking))):
+        if shipped is not None:
+            shipped.drop("order_key").write.json(f"{layout.bronze_shipments}/batch-a-{run:010d}")
+        tracked.write.json(f"{layout.bronze_tracking}/batch-a-{run:010d}")
+        for step in (pipeline.clean_shipments, pipeline.clean_tracking, pipeline.build_routes):
+            step(spark, layout)
+    return tables.read_table(spark, layout.routes)
+
+
 @query("G05_shipment_snapshot")
 def g05(spark, sf_dir):
     layout = staged_silver(spark, sf_dir, "g05")

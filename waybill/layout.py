@@ -11,15 +11,25 @@ class Layout:
     `shipments_table`; it outlives the session only where the catalog does.
 
     With `incremental`, silver tables are keyed tables that take in what is new in bronze;
-    not together with `buckets`.
+    not together with `buckets`. With `follow_routes` too, they note what changes, and route
+    metrics follow from the changes.
     """
 
     def __init__(
-        self, root, buckets=None, shipments_table="silver_shipments", replays=(), incremental=False
+        self,
+        root,
+        buckets=None,
+        shipments_table="silver_shipments",
+        replays=(),
+        incremental=False,
+        follow_routes=False,
     ):
         if buckets and incremental:
             raise ValueError("a bucketed table is written whole: choose buckets or incremental")
+        if follow_routes and not incremental:
+            raise ValueError("route metrics follow incremental silver tables only")
         self.incremental = incremental
+        self.follow_routes = follow_routes
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.shipments_table = shipments_table
@@ -31,7 +41,11 @@ class Layout:
         self.tracking_folders = [self.bronze_tracking, *self._replayed("tracking_events", replays)]
         self.silver_shipments = f"{self.root}/silver/shipment_events"
         self.silver_tracking = f"{self.root}/silver/tracking_events"
+        changes = f"{self.root}/silver/changes" if follow_routes else None
+        self.shipment_changes = changes and f"{changes}/shipment_events"
+        self.tracking_changes = changes and f"{changes}/tracking_events"
         self.gold = f"{self.root}/gold"
+        self.route_sums = f"{self.root}/route_sums"
         self.performance = f"{self.gold}/delivery_performance"
         self.routes = f"{self.gold}/route_optimization"
         self.snapshot = f"{self.gold}/shipment_snapshot"

@@ -2,7 +2,7 @@
 
 from waybill import schemas
 from waybill.layout import Layout
-from waybill.plans import gold, increments, silver
+from waybill.plans import gold, increments, route_changes, silver
 from waybill.plans.serving import load_serving
 from waybill.session import shuffles_sized_for
 from waybill.sources import serving
@@ -57,6 +57,11 @@ def build_performance(spark, layout):
 
 
 def build_routes(spark, layout):
+    if layout.follow_routes:
+        route_changes.follow(spark, layout)
+        sums = serving.read_current(spark, layout.route_sums)
+        write_table(route_changes.routes_from(sums), layout.routes)
+        return
     _build(spark, layout, gold.route_optimization, layout.routes)
 
 

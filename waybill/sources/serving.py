@@ -177,7 +177,7 @@ def _united(parts):
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def _matched(rows, others, keys, how):
+def matched(rows, others, keys, how):
     """The rows with (left_semi) or without (left_anti) a key in `others`; null keys match."""
     others = others.select(*map(quoted, keys)).alias("others")
     rows = rows.alias("rows")
@@ -192,8 +192,8 @@ def _overlaid(spark, base, waiting, keys, newest_by):
     if not base:
         return newest_per_key(late, keys, newest_by)
     rows = _all_of(spark, base)
-    changed = newest_per_key(_matched(rows, late, keys, "left_semi").unionByName(late), keys, newest_by)
-    return _matched(rows, late, keys, "left_anti").unionByName(changed)
+    changed = newest_per_key(matched(rows, late, keys, "left_semi").unionByName(late), keys, newest_by)
+    return matched(rows, late, keys, "left_anti").unionByName(changed)
 
 
 def read_current(spark, table_path, keys=None, newest_by=None):
@@ -259,7 +259,7 @@ def _files_hit(spark, root, files, new, keys):
         return []
     held = _all_of(spark, [f"{root}/{file['path']}" for file in files])
     held = held.select(*map(quoted, keys), F.col("_metadata.file_path").alias("__file"))
-    hit = _matched(held, new, keys, "left_semi").select("__file").distinct().collect()
+    hit = matched(held, new, keys, "left_semi").select("__file").distinct().collect()
     names = {"/".join(row[0].split("/")[-2:]) for row in hit}
     return [file for file in files if file["path"] in names]
 
