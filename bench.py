@@ -14,7 +14,7 @@ from checks.queries import drained
 from waybill import schemas
 from waybill.layout import Layout
 from waybill.operators.slicers import Selection, search, slicer_values
-from waybill.plans import pipeline, report, silver
+from waybill.plans import cube, pipeline, report, silver
 from waybill.session import build_session, work_dir
 from waybill.sources import csv_feed, serving, tables, topic
 from waybill.streaming import feeds
@@ -88,6 +88,14 @@ def jobs(spark, layout, feed):
 
     yield "G07_report", lambda: all_of(whole)
     yield "G07_report_sliced", lambda: all_of(sliced)
+    held = f"{work_dir(spark, 'bench-cube')}/cube"
+    yield "G07_cube", lambda: tables.write_table(cube.cube_of(gold), held)
+    selection = Selection(destination="MACHINERY", delay="Delayed")
+    yield "G07_report_from_cube", lambda: all_of(cube.report_from_cube(tables.read_table(spark, held)))
+    yield (
+        "G07_sliced_from_cube",
+        lambda: all_of(cube.report_from_cube(tables.read_table(spark, held), selection)),
+    )
     for name in ("kpis", *report.CHARTS):
         yield f"report_{name}", lambda name=name: consume(whole[name])
     yield "F07_text_search", lambda: consume(search(gold["performance"], "nation_1.*|hub"))

@@ -616,15 +616,17 @@ oracle(
 )
 oracle("G05_shipment_snapshot", "SELECT * FROM snapshot")
 oracle("G06_serving_load", bundle())
-oracle("G07_report", long_report())
-oracle(
-    "G07_report_sliced",
-    long_report(
-        sliced("snapshot", "destination = 'MACHINERY'"),
-        sliced("performance", "destination = 'MACHINERY'", "is_delayed"),
-        sliced("routes", "destination = 'MACHINERY'"),
-    ),
-)
+for name in ("G07_report", "G07_report_from_cube"):
+    oracle(name, long_report())
+for name in ("G07_report_sliced", "G07_sliced_from_cube"):
+    oracle(
+        name,
+        long_report(
+            sliced("snapshot", "destination = 'MACHINERY'"),
+            sliced("performance", "destination = 'MACHINERY'", "is_delayed"),
+            sliced("routes", "destination = 'MACHINERY'"),
+        ),
+    )
 oracle(
     "G08_dashboard_load",
     long_report()

@@ -14,7 +14,7 @@ from waybill.operators import kpis as kpi
 from waybill.operators import milestones, newest, ranking, slicers
 from waybill.operators.histogram import histogram
 from waybill.operators.slicers import Selection
-from waybill.plans import gold, pipeline, report, silver
+from waybill.plans import cube, gold, pipeline, report, silver
 from waybill.session import work_dir
 from waybill.sources import bronze, csv_feed, serving, tables, topic
 from waybill.streaming import feeds
@@ -900,6 +900,28 @@ def g07_sliced(spark, sf_dir):
     )
 
 
+def long_report_from_cube(spark, sf_dir, selection):
+    layout = staged_gold(spark, sf_dir, "report-cube")
+    path = f"{layout.gold}/cube"
+    names = {"shipments": layout.snapshot, "performance": layout.performance, "routes": layout.routes}
+    bundle = {name: tables.read_table(spark, path) for name, path in names.items()}
+    tables.write_table(cube.cube_of(bundle), path)
+    datasets = cube.report_from_cube(tables.read_table(spark, path), selection)
+    return in_cents(report.long_form(datasets), "value")
+
+
+@query("G07_report_from_cube")
+def g07_cube(spark, sf_dir):
+    return long_report_from_cube(spark, sf_dir, Selection())
+
+
+@query("G07_sliced_from_cube")
+def g07_sliced_cube(spark, sf_dir):
+    return long_report_from_cube(
+        spark, sf_dir, Selection(destination="MACHINERY", delay=fixed.DELAYED_LABEL)
+    )
+
+
 @query("G08_dashboard_load")
 def g08(spark, sf_dir):
     layout = staged_serving(spark, sf_dir, "g08")

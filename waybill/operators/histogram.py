@@ -7,7 +7,7 @@ from waybill import fixed
 _STEPS = [(mantissa, shift) for shift in (0, 1) for mantissa in (1, 2, 5)]
 
 
-def _bin_width(low, high, max_bins):
+def bin_width(low, high, max_bins):
     """Smallest 1, 2 or 5 times a power of ten that needs at most `max_bins` aligned bins.
 
     The width is kept as numerator and denominator, one of which is a whole power
@@ -44,7 +44,7 @@ def histogram(df, column, max_bins=fixed.HISTOGRAM_BINS):
     """
     values = df.select(F.col(column).cast("double").alias("value")).dropna()
     limits = values.agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    width = limits.select(_bin_width(F.col("low"), F.col("high"), max_bins).alias("width")).scalar()
+    width = limits.select(bin_width(F.col("low"), F.col("high"), max_bins).alias("width")).scalar()
     bins = (
         values.select("value", width.alias("width"))
         .groupBy(bin_index(F.col("value"), F.col("width")).alias("bin"), "width")
