@@ -163,23 +163,15 @@ def _words_sql(column):
     return f"list_filter(regexp_split_to_array(lower(coalesce({column}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
 
 
-def _seeds_sql(name, key):
-    return " UNION ALL ".join(
-        f"SELECT {key}, place, concat_ws(' ', '{number}', "
-        + ", ".join(f"w[place + {step + 1}]" for step in mask)
-        + f") AS seed FROM {name} WHERE place + {mask[-1]} < len(w)"
-        for number, mask in enumerate(MASKS)
-    )
-
-
+# Without masks: an overlap is a diagonal with enough equal words, of which a window has enough.
 LEAKS_SQL = f"""
 WITH d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents),
 b AS (SELECT item_id, {_words_sql("text")} AS w FROM benchmark),
-dp AS (SELECT doc_id, w, unnest(range(0, len(w) - {SHORTEST - 1})) AS place FROM d),
-bp AS (SELECT item_id, w, unnest(range(0, len(w) - {SHORTEST - 1})) AS place FROM b),
-ds AS ({_seeds_sql("dp", "doc_id")}),
-bs AS ({_seeds_sql("bp", "item_id")}),
-hits AS (SELECT DISTINCT doc_id, item_id, ds.place - bs.place AS diagonal FROM ds JOIN bs USING (seed)),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS place FROM d),
+bw AS (SELECT item_id, len(w) AS n, unnest(w) AS word, unnest(range(0, len(w))) AS place FROM b),
+hits AS (
+  SELECT doc_id, item_id, dw.place - bw.place AS diagonal FROM dw JOIN bw USING (word)
+  GROUP BY ALL HAVING count(*) >= ceil({EQUAL_SHARE} * least({WINDOW}, max(n)))),
 flags AS (
   SELECT doc_id, item_id, least({WINDOW}, len(b.w)) AS win, list_transform(
     range(greatest(0, -diagonal), least(len(b.w), len(d.w) - diagonal)),
