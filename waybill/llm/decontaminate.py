@@ -14,7 +14,9 @@ have seeds of those lengths only that the benchmark has.
 
 Words are maximal runs of letters and digits, in lower case. Null text is empty text. Items
 without words match nothing. Repeated documents and items
-are each judged like any other; a repeated item counts its own overlaps. Everything is
+are each judged like any other; a repeated item counts its own overlaps. Without documents or
+items there are no rows. Texts of any length are searched whole. Only the ids and texts are read,
+whatever other columns are called; `clean` returns the documents' own. Everything is
 built-in functions.
 """
 

@@ -15,6 +15,8 @@ Random numbers are hashes of the document and the level: reruns agree.
 
 Null text has no words; null source is a source of its own, the last. Documents without words
 are drawn independently. Identical rows are drawn each on its own. An empty table has no rows.
+Texts of any length count whole. Only doc_id, text and source are read, whatever other columns are
+called; `mixed` returns the documents' own.
 """
 
 import struct

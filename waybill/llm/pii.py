@@ -21,8 +21,9 @@ digits first, whose Luhn digit is right; so one run of small groups in ten or mo
 chance. A telephone number ends before a valid card.
 
 What looks like a value but is not valid stays as it is (cards with a wrong Luhn digit, octets
-above 255, days that do not exist, dates with the month first). Null text stays null. Repeated
-rows get equal texts; other columns are untouched. Everything is built-in functions.
+above 255, days that do not exist, dates with the month first). Null and empty texts stay. Repeated
+rows get equal texts. An empty table gives no rows. Texts of any length are searched whole. Only
+doc_id and text are read, whatever other columns are called. Everything is built-in functions.
 """
 
 from pyspark.sql import functions as F

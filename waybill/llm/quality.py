@@ -10,7 +10,8 @@ documents, those with the smallest hash of their id. Scoring covers every whole
 
 Null or empty text has no words and is scored by its shape alone. Labels without a quality
 and not toxic are not used; without any usable label every document is kept. Repeated rows
-get equal scores. Columns of the documents are untouched, whatever their names.
+get equal scores. An empty table gives no rows. Texts of any length are scored whole.
+Columns of the documents are untouched, whatever their names.
 """
 
 import re

@@ -11,7 +11,8 @@ The domain is the last two labels of the host without port, the suffix the last
 without a labelled page have the posterior of their domain's mean. Pages without a url or
 without `://` have an empty host and path. Labels without a quality and not toxic, and labels
 of other pages, are not used; several labels of a page all count. Repeated pages are judged
-alike.
+alike. No pages give no rows; without labels all hosts share one bound. Urls of any length are
+taken whole. Only page_id, url and the labels are read, whatever other columns are called.
 """
 
 from pyspark.sql import functions as F

@@ -6,8 +6,9 @@ compared by bitwise operations on the ledger, without reading a text again. `abl
 from one aggregation of the bits what each rule of a policy does on its own.
 
 Words are runs of other characters than space and U+0009 to U+000D. Null and empty text have
-no words, which fails the rule on few words. Repeated documents have a row each; columns of the
-documents other than doc_id and text are not read. Everything is built-in functions.
+no words, which fails the rule on few words. Repeated documents have a row each. An empty table
+gives no rows. Texts of any length are measured whole. Columns of the documents other than doc_id
+and text are not read, whatever they are called. Everything is built-in functions.
 """
 
 from dataclasses import dataclass

@@ -13,7 +13,9 @@ shard on its way. Afterwards every cell is cut into pieces by shard, and its row
 numbered to find their piece. Rows are numbered within a cell, so no task sees a whole shard.
 
 A document without an id is placed by its text; null text is empty text. Equal ids fall into
-one cell, where ties are ordered by the hash of the text. Everything is built-in functions.
+one cell, where ties are ordered by the hash of the text. An empty table gives no rows. Texts of
+any length count whole. Columns other than doc_id and text are not looked at, whatever they
+are called; `placed` returns the documents' own. Everything is built-in functions.
 """
 
 from pyspark.sql import functions as F
