@@ -39,10 +39,12 @@ def as_text(column, data_type=None):
     plain = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     size = F.abs(column)
+    # Nearly all values are in this range, and are as plain as they come.
+    usual = (size == 0) | ((size >= 1e-3) & (size < 1e7))
     power = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "E+$1")
     power = F.lower(F.regexp_replace(power, r"E([+-])(\d)$", "E$10$2"))
     return (
-        F.when(~text.contains("E"), text)
+        F.when(usual | ~text.contains("E"), text)
         .when((size >= 1e-4) & (size < 1e16), plain)
         .otherwise(power)
     )
