@@ -263,6 +263,7 @@ oracle(
 for name in (
     "S03_consume_topic",
     "S04_append_bronze_json",
+    "S04_packed_bronze",
     "S06_bronze_scan",
 ):
     oracle(name, TRACKING_TEXT.format(table="bronze_tracking"))

@@ -174,6 +174,20 @@ def s04(spark, sf_dir):
     return bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
 
 
+@query("S04_packed_bronze")
+def s04_packed(spark, sf_dir):
+    """A folder per micro-batch, packed into few; the topic's next batches land next to them, and
+    are packed with them in turn."""
+    path = work_dir(spark, "s04-packed")
+    rows = text_tracking(spark, sf_dir)
+    for part in (rows.filter(F.col("event_type") == fixed.CANCELLED), rows.filter(F.col("event_type") != fixed.CANCELLED)):
+        topic.publish(part.repartition(3), fmt="text", path=f"{path}/topic")
+        stream = topic.follow(spark, fmt="text", path=f"{path}/topic", maxFilesPerTrigger=1)
+        drained(bronze.append_bronze(stream, f"{path}/bronze", f"{path}/checkpoint"))
+        bronze.pack(spark, f"{path}/bronze")
+    return bronze.read_bronze(spark, f"{path}/bronze", schemas.BRONZE_TRACKING)
+
+
 @query("S05_declared_bronze_sink")
 def s05(spark, sf_dir):
     """Every record, and whether its file keeps to the bound."""

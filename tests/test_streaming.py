@@ -279,3 +279,53 @@ def test_a_batch_of_files_that_died_lands_once(spark, folder):
     for _ in range(2):
         run_feed(spark, folder, path)
     assert topic.read_topic(spark, schemas.BRONZE_TRACKING, **place).count() == 6
+
+
+def landed_folders(path):
+    return sorted(one.name for one in Path(path).iterdir() if one.name[0] not in "_.")
+
+
+def test_packed_batches_read_the_same(spark, folder):
+    path = folder("bronze")
+
+    def land(query, batch_id, low, high):
+        spark.range(low, high).selectExpr("to_json(struct(id)) AS value").write.mode("overwrite").text(
+            f"{path}/batch-{query}-{batch_id:010d}"
+        )
+
+    def ids():
+        found = bronze.read_bronze(spark, path, schemas.all_strings(["id"]))
+        return sorted(int(row.id) for row in found.collect())
+
+    for batch_id in range(5):
+        land("q", batch_id, 10 * batch_id, 10 * batch_id + 10)
+    land("p", 7, 100, 105)
+    spark.range(200, 203).selectExpr("to_json(struct(id)) AS value").write.text(f"{path}/other")
+    known = [*range(50), *range(100, 105), *range(200, 203)]
+    reader = bronze.read_bronze(spark, path, schemas.all_strings(["id"]))
+    new, before = bronze.landed_since(spark, path, {})
+    assert len(new) == 7
+    assert bronze.pack(spark, path) == 4
+    assert ids() == known
+    # One that has listed the folders before still ends; a batch that is run again lands once.
+    assert sorted(int(row.id) for row in reader.collect()) == known
+    land("q", 4, 40, 50)
+    assert ids() == known
+    # A ledger from before has seen all of it, one from the middle sees the packed batches again.
+    assert bronze.landed_since(spark, path, before) == ([], {})
+    middle = dict(before) | {f"{path}/batch-q": 1}
+    again, reached = bronze.landed_since(spark, path, middle)
+    assert [one.rsplit("/", 1)[1] for one in again] == ["batch-q-0000000004", "packed-batch-q-0000000000-0000000003"]
+    assert reached == {f"{path}/batch-q": 4}
+    # Later batches are packed with the packed ones; what they hold goes after its time.
+    land("q", 5, 50, 60)
+    land("q", 6, 60, 61)
+    known = sorted([*known, *range(50, 61)])
+    assert bronze.pack(spark, path, grace_seconds=0) == 3
+    assert ids() == known
+    assert bronze.pack(spark, path, grace_seconds=0) == 0
+    assert landed_folders(path) == ["batch-p-0000000007", "batch-q-0000000006", "other", "packed-batch-q-0000000000-0000000005"]
+    assert ids() == known
+    size = sum(part.stat().st_size for part in Path(path).rglob("part-*"))
+    land("q", 7, 61, 62)
+    assert bronze.pack(spark, path, target_bytes=size // 10) == 0

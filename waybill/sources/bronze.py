@@ -14,10 +14,15 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from waybill.session import stored_bytes
 from waybill.sources import topic
 from waybill.sources.files import delete, exists, listed, make_folder, move
 
 
+PACKED_BYTES = 256 * 1024 * 1024
+GRACE_SECONDS = 3600
+
+
 def _paths(path):
     return [path] if isinstance(path, str) else list(path)
 
@@ -30,13 +35,81 @@ def _lines(reader, path):
 def read_bronze(spark, path, schema):
     """The lines that are JSON objects, under an explicit schema. `path` may be a list of
     folders, for instance of a feed and of its replay."""
-    return topic.from_messages(_lines(spark.read, path), schema)
+    places = [place for one in _paths(path) for place in current(spark, one)]
+    return topic.from_messages(_lines(spark.read, places), schema)
 
 
 _BATCH = re.compile(r"(batch-.+)-(\d{10})")
+_PACKED = re.compile(r"packed-(batch-.+)-(\d{10})-(\d{10})")
 _SEEN = re.compile(r"[^_.].*")
 
 
+def _listing(spark, path):
+    """Names in a bronze folder: those that readers take, and those that a packed one holds."""
+    names = list(listed(spark, path, _SEEN))
+    spans = {name: (found[1], int(found[2]), int(found[3])) for name in names if (found := _PACKED.fullmatch(name))}
+    for name in names:
+        if name not in spans and (found := _BATCH.fullmatch(name)):
+            spans[name] = found[1], int(found[2]), int(found[2])
+    packed = [name for name in names if _PACKED.fullmatch(name)]
+    gone = {name for name in spans if any(_holds(spans, one, name) for one in packed)}
+    return [name for name in names if name not in gone], sorted(gone), spans
+
+
+def _holds(spans, one, name):
+    (query, low, high), (own, first, last) = spans[one], spans[name]
+    return one != name and query == own and low <= first and last <= high
+
+
+def current(spark, path):
+    """The paths to read of a bronze folder: itself, or what is in it where batches were packed."""
+    root = path.rstrip("/")
+    names, gone, _ = _listing(spark, root)
+    return [f"{root}/{name}" for name in names] if gone else [path]
+
+
+def pack(spark, path, target_bytes=PACKED_BYTES, grace_seconds=GRACE_SECONDS):
+    """Merge the folders of consecutive batches of a query into folders of about `target_bytes`;
+    the number of folders that were merged.
+
+    The newest batch of a query, which may be run again, is left alone. A packed folder appears
+    whole and names the batches it holds, which readers pass over from then on; the batches'
+    own folders stay for `grace_seconds`, for readers that have listed them before. Readers with a
+    ledger take a packed folder for its last batch. A stream that follows the folder sees the lines
+    of a packed folder again, as after a replay.
+    """
+    root = path.rstrip("/")
+    names, gone, spans = _listing(spark, root)
+    statuses = listed(spark, root, _SEEN)
+    since = (time.time() - grace_seconds) * 1000
+    after = {name: min(statuses[one].getModificationTime() for one in names if one in spans and _holds(spans, one, name)) for name in gone}
+    delete(spark, *[f"{root}/{name}" for name in gone if after[name] <= since])
+    queries, merged = {}, 0
+    for name in names:
+        if name in spans:
+            queries.setdefault(spans[name][0], []).append(name)
+    for query, own in queries.items():
+        own.sort(key=lambda name: spans[name][1])
+        bins, size = [[]], 0
+        for name in own[:-1]:
+            held = stored_bytes(spark, f"{root}/{name}")
+            if bins[-1] and size + held > target_bytes:
+                bins.append([])
+                size = 0
+            bins[-1].append(name)
+            size += held
+        for some in bins:
+            if len(some) > 1:
+                low, high = spans[some[0]][1], spans[some[-1]][2]
+                target = f"packed-{query}-{low:010d}-{high:010d}"
+                rows = _lines(spark.read, [f"{root}/{name}" for name in some])
+                # A bin is a file's worth or a little more, however many files it comes from.
+                rows.coalesce(1).write.mode("overwrite").text(f"{root}/_staged/{target}")
+                move(spark, f"{root}/_staged/{target}", f"{root}/{target}")
+                merged += len(some)
+    return merged
+
+
 def landed_since(spark, path, ledger):
     """What has landed in bronze and `ledger` does not hold yet: its folders and files, and how
     far the ledger reaches with them. Of each query the ledger has the last batch, as they land
@@ -44,9 +117,10 @@ def landed_since(spark, path, ledger):
     new, reached = [], {}
     for folder in _paths(path):
         root = folder.rstrip("/")
-        for name in listed(spark, root, _SEEN):
-            batch = _BATCH.fullmatch(name)
-            source, place = (f"{root}/{batch[1]}", int(batch[2])) if batch else (f"{root}/{name}", 0)
+        names, _, spans = _listing(spark, root)
+        for name in names:
+            query, _, last = spans.get(name, (name, 0, 0))
+            source, place = f"{root}/{query}", last
             if place > ledger.get(source, -1):
                 new.append(f"{root}/{name}")
                 reached[source] = max(place, reached.get(source, -1))
@@ -55,7 +129,7 @@ def landed_since(spark, path, ledger):
 
 def broken_lines(spark, path):
     """The lines `read_bronze` leaves out, with the file that holds them."""
-    lines = _lines(spark.read, path).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = _lines(spark.read, current(spark, path)).select("value", F.col("_metadata.file_path").alias("file"))
     return topic.rejected(lines.filter(F.trim("value") != "")).withColumnRenamed("value", "line")
 
 
