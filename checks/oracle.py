@@ -462,7 +462,8 @@ oracle(
 
 # Joins
 oracle("J01_shipments_with_milestones", "SELECT * FROM shipments JOIN milestones USING (shipment_id)")
-oracle("J02_events_with_shipments", "SELECT * FROM tracking JOIN shipments USING (shipment_id)")
+for name in ("J02_events_with_shipments", "J02_events_of_hot_shipments"):
+    oracle(name, "SELECT * FROM tracking JOIN shipments USING (shipment_id)")
 oracle(
     "J03_shipments_with_latest_event",
     """

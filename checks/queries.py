@@ -567,6 +567,13 @@ def j02(spark, sf_dir):
     return gold.events_with_shipments(shipments, tracking)
 
 
+@query("J02_events_of_hot_shipments")
+def j02_hot(spark, sf_dir):
+    """Behind the silver jobs, where every shipment with a thousandth of all events is spread."""
+    pair = inputs.shipments(spark, sf_dir), inputs.tracking(spark, sf_dir)
+    return gold.events_with_shipments(*pair, heavy_share=0.001)
+
+
 @query("J03_shipments_with_latest_event")
 def j03(spark, sf_dir):
     latest = gold.latest_events(inputs.tracking(spark, sf_dir))

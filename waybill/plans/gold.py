@@ -11,6 +11,7 @@ from waybill.functions.measures import breaches_sla, elapsed_days
 from waybill.functions.parsing import to_double
 from waybill.operators.milestones import milestone_times
 from waybill.operators.newest import newest_per_key
+from waybill.operators.skew import spread_join
 from waybill.schemas import SHIPMENT_SNAPSHOT
 
 
@@ -28,13 +29,16 @@ def delivery_performance(shipments, tracking, sla_days=fixed.SLA_DAYS):
     return performance_of(shipments, milestone_times(tracking), sla_days)
 
 
-def events_with_shipments(shipments, tracking):
+def events_with_shipments(shipments, tracking, heavy_share=None):
     """Every event of a known shipment with the shipment's columns.
 
-    Only for reading single events; the metrics below do without. Both tables should
-    come straight from storage: adaptive execution splits the partition of a hot
-    shipment only where nothing stands between the shuffles and the join.
+    Only for reading single events; the metrics below do without. Where both tables come
+    straight from storage, adaptive execution splits the partition of a hot shipment. Behind
+    another plan it cannot: with `heavy_share`, shipments that have more than this share of all
+    events are found first and dealt to several tasks.
     """
+    if heavy_share:
+        return spread_join(tracking, shipments, "shipment_id", heavy_share)
     return tracking.join(shipments, "shipment_id", "inner")
 
 
