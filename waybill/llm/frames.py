@@ -1,20 +1,32 @@
 """Small helpers that the corpus operators share."""
 
+import ctypes
 import os
 import shutil
 import tempfile
 from pathlib import Path
 
+import pyarrow
 from pyspark.sql import functions as F
 
 from waybill.session import work_dir
 
 _sent = set()
+#: Spark's own bounds of what a Python worker is sent at a time, and those for whole documents:
+#: a worker holds a batch as Arrow, as pandas and as what is made of it.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "250"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m"),
+}
 
 
 def ship_code(spark):
     """Send this package to the executors, once per application: their Python workers run
-    functions of it and need not have it installed."""
+    functions of it and need not have it installed. Batches for Python workers get small, unless
+    the session has bounds of its own."""
+    for name, (usual, small) in BATCHES.items():
+        if spark.conf.get(name, None) == usual:
+            spark.conf.set(name, small)
     context = spark.sparkContext
     if context.applicationId not in _sent:
         root = Path(__file__).resolve().parents[2]
@@ -23,6 +35,15 @@ def ship_code(spark):
         _sent.add(context.applicationId)
 
 
+def release():
+    """Give the memory that a Python worker's earlier batches have left back to the system: a
+    worker goes on to other tasks, and several of them share an executor's memory."""
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 

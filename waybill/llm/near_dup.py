@@ -29,7 +29,9 @@ copies thus costs a row per member, and no link between components is lost.
 Nodes are distinct texts (by MD5), so exact copies cost a row each and no comparison. Null
 text is empty text; texts without a word are one group. A text of fewer than five words is
 one k-mer. Documents with a null id belong to groups but never name one, unless no member
-has an id. Of identical rows one stays.
+has an id. Of identical rows one stays. An empty table gives no rows. Texts of any length are
+compared whole. Only doc_id and text are read, whatever other columns are called; `keep_one`
+returns the documents' own.
 """
 
 import re
@@ -51,7 +53,7 @@ from pyspark.sql.types import (
 from pyspark.sql.window import Window
 
 from waybill.llm.components import components
-from waybill.llm.frames import fresh, stored, text_of
+from waybill.llm.frames import fresh, release, stored, text_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -59,8 +61,8 @@ BANDS = 24
 #: Buckets with more members use the bound by frequent k-mers, and rare k-mers besides.
 LARGE_BUCKET = 64
 RARE = 16
-MATRIX_CELLS = 2_000_000
-CACHED_WORDS = 500_000
+MATRIX_CELLS = 100_000
+CACHED_WORDS = 200_000
 TOKEN = re.compile(r"\w+")
 SEEDS = np.random.default_rng(20_232).integers(1, 2**63, 2 * BANDS, dtype=np.uint64) | np.uint64(1)
 MIX, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
@@ -155,12 +157,14 @@ def similarity(left, right, least=SIMILARITY):
 
 
 def sketches(texts: pd.Series) -> pd.DataFrame:
+    release()
     known = {}
     words = [word_hashes(text, known) for text in texts]
     return pd.DataFrame({"n": [len(w) for w in words], "bands": [sketch(w) for w in words]})
 
 
 def similarities(left: pd.Series, right: pd.Series) -> pd.Series:
+    release()
     known = {}
 
     @lru_cache(maxsize=64)
@@ -172,6 +176,7 @@ def similarities(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def kmer_series(texts: pd.Series) -> pd.Series:
+    release()
     known = {}
     return pd.Series([labelled(kmers(word_hashes(text, known))).view(np.int64) for text in texts])
 

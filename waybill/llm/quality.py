@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from waybill.llm.frames import fresh, text_of
+from waybill.llm.frames import fresh, release, text_of
 
 SAMPLE_ROWS = 12_000
 DIMENSIONS = 1 << 18
@@ -143,6 +143,7 @@ def scorer(model):
     """A column function: text to (expected_grade, tail_probability)."""
 
     def score(texts: pd.Series) -> pd.DataFrame:
+        release()
         known = {}
         scores = np.array(
             [model.weights[hashed(text or "", known)].sum(dtype=np.float64) for text in texts]
