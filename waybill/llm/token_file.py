@@ -12,13 +12,14 @@ little-endian numbers of 1 to 4 bytes in `data`; `control` has the lengths apart
 two bits a rank, four ranks a byte, lowest bits first. Reading looks a control byte up in a
 table of 256 rows. A block holds whole documents: about `BLOCK_TOKENS` ids, or one document.
 
-Null text is empty text, which is its end id alone. Repeated rows are written each. Columns
-other than doc_id and text are not written. The tokenizer is a file name of the public
+Null text is empty text, which is its end id alone. Repeated rows are written each. An empty
+table makes files without blocks, and no rows. A text of any length is one document of one block.
+Columns other than doc_id and text are not written, whatever they are called. The tokenizer is a file name of the public
 tokenizers, or a path that every executor can read.
 """
 
+import os
 import re
-from collections import ChainMap
 from zlib import crc32
 
 import numpy as np
@@ -34,12 +35,18 @@ TOKENIZER = "word_bpe_49k.json"
 END = 1
 BLOCK_TOKENS = 1 << 16
 #: Words whose ids a worker remembers: the first it meets, so mostly the frequent ones.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 300_000
 #: Characters of the texts that are taken apart at a time; a longer text is taken alone.
-CHARS_AT_ONCE = 3_000_000
+CHARS_AT_ONCE = 2_000_000
+WORDS = re.compile(r"[^ \t\n\v\f\r]+")
+#: White space at which `str.split` would end a word besides.
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: The tokenizer drops white space and ends a token between a letter and a mark after it, so
 #: these pieces can be taken alone, and recur more often than words with their marks.
-WORDS = re.compile(r"[^\W\d_]+(?=[.,;:!?])|[^ \t\n\v\f\r]+")
+PIECES = re.compile(r"[^\W\d_]+(?=[.,;:!?])|[^ \t\n\v\f\r]+")
+#: Pieces are tokenized so many to a text, with a piece between them that is one id of its own.
+PIECES_AT_ONCE = 500
+BETWEEN = "="
 LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64)
 
 KEYS = "part int, block int, nulls int, doc_ids array<long>, lengths array<int>, tokens long"
@@ -54,12 +61,35 @@ class Encoder:
     """Ids of texts, each word tokenized once per worker as far as the cache goes."""
 
     def __init__(self, name):
+        # Its threads would each keep memory of their own, next to Spark's tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
 
         path = name if "/" in name else public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.cache = _known.setdefault(path, {})
+        between = self.ids_of([BETWEEN])[0]
+        self.between = between[0] if len(between) == 1 else None
+
+    def ids_of(self, texts):
+        return [code.ids for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pieces(self, pieces):
+        """The ids of pieces of texts, as bytes."""
+        for begin in range(0, len(pieces), PIECES_AT_ONCE):
+            some = pieces[begin : begin + PIECES_AT_ONCE]
+            if self.between is not None and not any(BETWEEN in piece for piece in some):
+                (joined,) = self.ids_of([f" {BETWEEN} ".join(some)])
+                ids = np.array(joined, "<u4")
+                cuts = np.flatnonzero(ids == self.between)
+                # Otherwise a piece has the id without the character, and must be taken alone.
+                if len(cuts) == len(some) - 1:
+                    data, ends = ids.tobytes(), (4 * cuts).tolist()
+                    starts = [0, *[end + 4 for end in ends]]
+                    yield from map(data.__getitem__, map(slice, starts, [*ends, len(data)]))
+                    continue
+            yield from (np.array(ids, "<u4").tobytes() for ids in self.ids_of(some))
 
     def __call__(self, texts):
         """One text after another; words are looked up for some texts at a time, as they take
@@ -74,17 +104,19 @@ class Encoder:
         yield from self.coded(some)
 
     def coded(self, texts):
-        words = [WORDS.findall(text) for text in texts]
+        words = [WORDS.findall(text) if OTHER_SPACE.search(text) else text.split() for text in texts]
         new = list(set().union(*words).difference(self.cache))
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {
-            word: np.array(code.ids, "<u4").tobytes() for word, code in zip(new, coded, strict=True)
-        }
+        parts = [PIECES.findall(word) for word in new]
+        # Those with the character that goes between them stand together.
+        pieces = sorted(set().union(*parts), key=lambda piece: BETWEEN in piece)
+        ids = dict(zip(pieces, self.pieces(pieces), strict=True))
+        fresh = {word: b"".join(map(ids.__getitem__, part)) for word, part in zip(new, parts, strict=True)}
         room = max(CACHED_WORDS - len(self.cache), 0)
         self.cache.update(list(fresh.items())[:room])
-        known = ChainMap(fresh, self.cache) if len(fresh) > room else self.cache
-        end = np.array([END], "<u4").tobytes()
-        return [b"".join([*map(known.__getitem__, some), end]) for some in words]
+        known, end = self.cache.get, np.array([END], "<u4").tobytes()
+        if len(fresh) <= room:
+            return [b"".join([*map(known, some), end]) for some in words]
+        return [b"".join([*[known(word) or fresh[word] for word in some], end]) for some in words]
 
 
 def tokenized(name):
