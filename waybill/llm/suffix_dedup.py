@@ -9,7 +9,8 @@ can have an equal are sorted:
 1. Anchors. In each 50-byte window the 16-byte string with the smallest hash is its anchor;
    equal windows have equal anchors. About one position in 20 is an anchor of some window.
 2. Anchors that occur in one document only are dropped. Their hashes travel packed, a few
-   bytes each, and a bucket of hashes remembers each one once however often it occurs.
+   bytes each, and a bucket of hashes remembers each one once however often it occurs. What a
+   bucket has to tell goes back packed too, a row per group of documents, not one per document.
 3. Around each remaining anchor the 84 bytes that its windows span are the context. Equal
    contexts are one class, which knows its smallest document.
 4. Within a bucket of anchors the suffixes at all window starts of different classes are sorted
@@ -22,6 +23,8 @@ can have an equal are sorted:
 
 Null text is empty. Documents without an id come last and are not smaller than each other;
 rows with equal ids are not smaller than each other either. Texts of fewer than 50 bytes stay.
+Texts of any length are judged whole, each in the memory of one task. Repeated rows get a row each.
+An empty table gives no rows. Only doc_id and text are read, whatever other columns are called.
 """
 
 import hashlib
@@ -43,6 +46,7 @@ BUCKET_ANCHORS = 400_000
 BUCKET_CONTEXTS = 12_000
 MOST_CONTEXTS = 60_000
 MERGED_ENTRIES = 300_000
+GATHERED_BYTES = 24 << 20
 LAST = 2**63 - 1
 U = np.uint64
 MIX, OTHER = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
@@ -93,79 +97,139 @@ def two_hashes(words):
     return out
 
 
+def gathered(batches):
+    """Batches joined until they have `GATHERED_BYTES` of text: what is packed by batch and bucket
+    then has long rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += int(batch["text"].map(len).sum())
+        if size >= GATHERED_BYTES:
+            yield pd.concat(held)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held)
+
+
+def group_of(ids, marks, groups):
+    """The group of documents that each one belongs to."""
+    code = (ids.view(U) ^ (ids.view(U) >> U(29))) * MIX + marks.view(U)
+    return (((code ^ (code >> U(32))) * OTHER >> U(32)) % U(groups)).astype(np.int64)
+
+
+def packed(key, codes, ids, marks):
+    """Hashes and their documents as a row (key, codes, ids, marks, counts) per key; rows of a
+    document must stand together where they have the same key."""
+    order = np.argsort(key, kind="stable")
+    key, codes, ids, marks = key[order], codes[order], ids[order], marks[order]
+    begins = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])][: len(key)])
+    counts = np.diff(np.r_[begins, len(key)]).astype("<u4")
+    own = key[begins]
+    rows = []
+    for part in np.split(np.arange(len(begins)), np.flatnonzero(np.diff(own)) + 1) if len(begins) else []:
+        first, end = begins[part[0]], begins[part[-1]] + counts[part[-1]]
+        docs = begins[part]
+        rows.append((int(own[part[0]]), codes[first:end].tobytes(), ids[docs].tobytes(), marks[docs].tobytes(), counts[part].tobytes()))
+    return rows
+
+
+def unpacked(row):
+    counts = np.frombuffer(row.counts, "<u4")
+    ids, marks = (np.repeat(np.frombuffer(part, np.int64), counts) for part in (row.ids, row.marks))
+    return np.frombuffer(row.codes, U), ids, marks
+
+
 def packed_anchors(buckets):
     """Batches of (id, mark, text) to rows of hashes, one per bucket and batch."""
 
     def run(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             found = [np.unique(anchors(bytearray(text))[1]) for text in batch["text"]]
             codes = np.concatenate(found) if found else np.zeros(0, U)
             owner = np.repeat(np.arange(len(found)), [len(one) for one in found])
-            bucket = (codes % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            ids, marks = batch["id"].to_numpy(), batch["mark"].to_numpy()
-            rows = []
-            for rows_of in np.split(order, starts[1:]) if len(order) else []:
-                own = owner[rows_of]
-                some, counts = np.unique(own, return_counts=True)
-                rows.append(
-                    (bucket[rows_of[0]], codes[rows_of].tobytes(), ids[some].tobytes(), marks[some].tobytes(), counts.astype("<u4").tobytes())
-                )
-            yield pd.DataFrame(rows, columns=["bucket", "codes", "ids", "marks", "counts"])
+            ids, marks = batch["id"].to_numpy()[owner], batch["mark"].to_numpy()[owner]
+            rows = packed((codes % U(buckets)).astype(np.int64), codes, ids, marks)
+            yield pd.DataFrame(rows, columns=["bucket", *HELD])
 
     return run
 
 
+HELD = ["codes", "ids", "marks", "counts"]
 PACKED = "bucket long, codes binary, ids binary, marks binary, counts binary"
 
 
-def several(batches):
-    """Rows of hashes, sorted by bucket, to (id, mark, codes): the hashes of a document that
-    another document has too. Each hash of a bucket is remembered with its first document."""
-    known = waiting = None
-    bucket = None
-
-    def merged():
-        nonlocal known, waiting
-        codes, ids, marks, fresh = (np.concatenate(part) for part in zip(*waiting, strict=True))
-        order = np.argsort(codes, kind="stable")
-        codes, ids, marks, fresh = codes[order], ids[order], marks[order], fresh[order]
-        starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
-        lengths = np.diff(np.r_[starts, len(codes)])
-        first = np.repeat(starts, lengths)
-        differs = (ids != ids[first]) | (marks != marks[first])
-        # 1: new; 0: remembered, and alone so far; 2: remembered, and told before.
-        shared = np.maximum.reduceat(differs | (fresh == 2), starts) if len(starts) else np.zeros(0, bool)
-        told = np.repeat(shared, lengths) & (fresh < 2)
-        frame = pd.DataFrame({"id": ids[told], "mark": marks[told], "code": codes[told]})
-        rows = [
-            (key[0], key[1], np.unique(group.to_numpy()).tobytes())
-            for key, group in frame.groupby(["id", "mark"], sort=False)["code"]
-        ]
-        known = codes[starts], ids[starts], marks[starts], np.where(shared, 2, 0).astype(np.int8)
-        waiting = [known]
-        return pd.DataFrame(rows, columns=["id", "mark", "codes"])
+def several(groups):
+    """Rows of hashes, sorted by bucket, to rows of those that several documents have, one per
+    group of documents and merging. Each hash of a bucket is remembered with its first document."""
+
+    def run(batches):
+        known = waiting = None
+        bucket = None
+
+        def merged():
+            nonlocal known, waiting
+            codes, ids, marks, fresh = (np.concatenate(part) for part in zip(*waiting, strict=True))
+            order = np.argsort(codes, kind="stable")
+            codes, ids, marks, fresh = codes[order], ids[order], marks[order], fresh[order]
+            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
+            lengths = np.diff(np.r_[starts, len(codes)])
+            first = np.repeat(starts, lengths)
+            differs = (ids != ids[first]) | (marks != marks[first])
+            # 1: new; 0: remembered, and alone so far; 2: remembered, and told before.
+            shared = np.maximum.reduceat(differs | (fresh == 2), starts) if len(starts) else np.zeros(0, bool)
+            told = np.flatnonzero(np.repeat(shared, lengths) & (fresh < 2))
+            known = codes[starts], ids[starts], marks[starts], np.where(shared, 2, 0).astype(np.int8)
+            waiting = [known]
+            together = told[np.lexsort((marks[told], ids[told]))]
+            codes, ids, marks = codes[together], ids[together], marks[together]
+            return packed(group_of(ids, marks, groups), codes, ids, marks)
+
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                if row.bucket != bucket:
+                    if waiting:
+                        out += merged()
+                    bucket, known, waiting = row.bucket, None, []
+                codes, ids, marks = unpacked(row)
+                waiting.append((codes, ids, marks, np.ones(len(codes), np.int8)))
+                held = len(known[0]) if known else 0
+                if sum(len(part[0]) for part in waiting) - held > MERGED_ENTRIES + held:
+                    out += merged()
+            if out:
+                yield pd.DataFrame(out, columns=["part", *HELD])
+        if waiting:
+            yield pd.DataFrame(merged(), columns=["part", *HELD])
+
+    return run
+
+
+TOLD = "part long, codes binary, ids binary, marks binary, counts binary"
+
+
+def by_document(batches):
+    """Rows of hashes, sorted by group of documents, to (id, mark, codes)."""
+    part, held = None, []
+
+    def documents():
+        codes, ids, marks = (np.concatenate(one) for one in zip(*held, strict=True))
+        order = np.lexsort((marks, ids))
+        codes, ids, marks = codes[order], ids[order], marks[order]
+        begins = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])])
+        ends = np.r_[begins[1:], len(ids)]
+        data = codes.tobytes()
+        own = [data[8 * begin : 8 * end] for begin, end in zip(begins.tolist(), ends.tolist(), strict=True)]
+        return pd.DataFrame({"id": ids[begins], "mark": marks[begins], "codes": own})
 
     for batch in batches:
-        out = []
         for row in batch.itertuples(index=False):
-            if row.bucket != bucket:
-                if waiting:
-                    out.append(merged())
-                bucket, known, waiting = row.bucket, None, []
-            codes = np.frombuffer(row.codes, U)
-            counts = np.frombuffer(row.counts, "<u4")
-            ids = np.repeat(np.frombuffer(row.ids, np.int64), counts)
-            marks = np.repeat(np.frombuffer(row.marks, np.int64), counts)
-            waiting.append((codes, ids, marks, np.ones(len(codes), np.int8)))
-            held = len(known[0]) if known else 0
-            if sum(len(part[0]) for part in waiting) - held > MERGED_ENTRIES + held:
-                out.append(merged())
-        if out:
-            yield pd.concat(out)
-    if waiting:
-        yield merged()
+            if row.part != part:
+                if held:
+                    yield documents()
+                part, held = row.part, []
+            held.append(unpacked(row))
+    if held:
+        yield documents()
 
 
 SEVERAL = "id long, mark long, codes binary"
@@ -201,7 +265,7 @@ def told_contexts(buckets):
     """Documents (id, text, codes) to rows of distinct contexts, one per bucket and batch."""
 
     def run(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             hashes, records, firsts = [], [], []
             for one, text, codes in zip(batch["id"], batch["text"], batch["codes"], strict=True):
                 _, found, own = contexts(text, np.frombuffer(codes, U))
@@ -438,18 +502,12 @@ def deduplicated(documents, most=MOST_CONTEXTS):
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, size // 20 // BUCKET_ANCHORS)
     hashes = rows.select("id", "mark", "text").mapInPandas(packed_anchors(buckets), PACKED)
-    hits = hashes.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(several, SEVERAL)
+    told = hashes.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(several(buckets), TOLD)
+    hits = told.repartition("part").sortWithinPartitions("part").mapInPandas(by_document, SEVERAL)
     exact = rows.select("id", "mark", F.md5("text").alias("whole")).distinct()
     first = exact.groupBy("whole").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    copies = exact.join(first.where("n > 1"), "whole").where("id > first").select("id", "mark")
-    told = (
-        hits.select("id", "mark", "codes", F.lit(False).alias("copy"))
-        .unionByName(copies.select("id", "mark", F.lit(None).cast("binary").alias("codes"), F.lit(True).alias("copy")))
-        .groupBy("id", "mark")
-        .agg(F.collect_list("codes").alias("codes"), F.max("copy").alias("copy"))
-        .select("id", "mark", F.when(F.size("codes") > 0, F.concat_ws("", F.transform("codes", F.hex))).alias("codes"), "copy")
-        .select("id", "mark", F.unhex("codes").alias("codes"), "copy")
-    )
+    copies = exact.join(first.where("n > 1"), "whole").where("id > first").select("id", "mark").distinct()
+    told = hits.join(copies.withColumn("copy", F.lit(True)), ["id", "mark"], "full")
     joined = rows.join(told, ["id", "mark"], "left").select("*").fillna(False, ["copy"])
     kinds = "id long, mark long, absent boolean, n_bytes long, n_removed long, n_spans long, kept binary, text binary, codes binary"
     work = stored(joined.select("id", "mark", "absent", "text", "codes", "copy").mapInPandas(settled, kinds), "suffix-work")
