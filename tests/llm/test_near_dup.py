@@ -121,6 +121,26 @@ def test_large_buckets_use_rare_kmers(spark, documents, monkeypatch):
     assert len({key[1] for key in usual}) < 40
 
 
+def test_drifted_members_are_compared_at_once(spark, documents, monkeypatch):
+    """A group whose members are similar to its base but many not to each other takes no round of
+    leaders after another, and gives the same classes as with leaders alone."""
+    rng = random.Random(5)
+    base = text(rng, 120)
+    frame = documents((0, base), *[(n, changed(rng, base, 2 + n % 3)) for n in range(1, 90)])
+    calls, verified = [], nd.verified
+
+    def counted(pairs, texts):
+        calls.append(pairs)
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(nd, "verified", counted)
+    found = bag(nd.near_duplicates(frame).select("doc_id", "class_id"))
+    assert 1 < len({key[1] for key in found}) < 90
+    assert len(calls) <= 3
+    monkeypatch.setattr(nd, "PAIRS", 0)
+    assert bag(nd.near_duplicates(frame).select("doc_id", "class_id")) == found
+
+
 def test_no_documents(spark, documents):
     assert nd.near_duplicates(documents()).count() == 0
 

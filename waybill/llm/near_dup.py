@@ -22,9 +22,11 @@ bucket; one below it has a rare k-mer in common, and is found by joining on rare
 makes at most `RARE` pairs for each k-mer of a text.
 
 Within a bucket no pairs are listed beforehand. All members meet the bucket's first node, the
-one that shares most; only buckets whose members are then in different components go on, with
-more leaders a round, until their members are connected or have all led. A large group of near
-copies thus costs a row per member, and no link between components is lost.
+one that shares most; only buckets whose members are then in different components go on. In
+most of them one component has nearly all members, so the pairs that are left have a member
+outside of it: where they are few, by the bounds of both, they are compared at once. Otherwise
+more leaders go on a round, until their members are connected or have all led. A large group of
+near copies thus costs a row per member, and no link between components is lost.
 
 Nodes are distinct texts (by MD5), so exact copies cost a row each and no comparison. Null
 text is empty text; texts without a word are one group. A text of fewer than five words is
@@ -61,6 +63,9 @@ BANDS = 24
 #: Buckets with more members use the bound by frequent k-mers, and rare k-mers besides.
 LARGE_BUCKET = 64
 RARE = 16
+#: Pairs for each text that are compared at once, and rows that may be looked at for each pair.
+PAIRS = 4
+COMPARISONS = 500
 MATRIX_CELLS = 100_000
 CACHED_WORDS = 200_000
 TOKEN = re.compile(r"\w+")
@@ -264,16 +269,40 @@ def plausible(kmers, bound, other_kmers, other_bound):
 
 
 def divided(members, edges):
-    """The members of buckets that hold several components."""
+    """The members of buckets that hold several components: with their `root`, their bucket's
+    `major` one, which most members have, and how many `others` do not have it."""
     roots = components(edges)
     rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return rows.join(several.where("low < high").select("bucket"), "bucket")
+    parts = rows.groupBy("bucket", "root").agg(F.count("*").alias("held"))
+    whole = parts.groupBy("bucket").agg(
+        F.max(F.struct("held", "root")).alias("most"), F.sum("held").alias("held")
+    )
+    several = whole.select(
+        "bucket", F.col("most.root").alias("major"), (F.col("held") - F.col("most.held")).alias("others")
+    )
+    return rows.join(several.where("others > 0"), "bucket")
 
 
-def highest(rows):
-    """The last place in any bucket; 0 without buckets."""
-    return rows.agg(F.coalesce(F.max("place"), F.lit(0))).first()[0]
+def left_over(rows):
+    """The last place in any bucket, and how many comparisons of members with those outside
+    their bucket's major component are left; 0 without buckets."""
+    last, work = rows.agg(F.max("place"), F.sum("others")).first()
+    return last or 0, work or 0
+
+
+def cross_pairs(rows, led):
+    """All pairs of members in different components that no leader up to `led` has met. One of
+    the two is outside the major component."""
+    names = ("node", "root", "place", "kmers", "bound")
+    outside = rows.where(F.col("root") != F.col("major"))
+    outside = outside.where(F.col("place") > led).select("bucket", *[F.col(name).alias(f"a_{name}") for name in names])
+    near = plausible(F.col("kmers"), F.col("bound"), F.col("a_kmers"), F.col("a_bound"))
+    once = (F.col("root") == F.col("major")) | (F.col("a_node") < F.col("node"))
+    both = rows.where(F.col("place") > led).join(outside, "bucket")
+    pairs = both.where((F.col("root") != F.col("a_root")) & once & near)
+    return pairs.select(
+        F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")
+    ).distinct()
 
 
 def led_pairs(rows, led, upto):
@@ -320,20 +349,30 @@ def links(documents, nodes):
     large = F.count("*").over(Window.partitionBy("bucket")) > LARGE_BUCKET
     rows = rows.withColumn("large", large).withColumn("root", F.col("node"))
     rows = rows.withColumn("bound", F.when(F.col("large"), F.col("common")).otherwise(F.col("shared")))
+    crowd = stored(rows.where("large").select(*counts.columns).distinct(), "crowd")
+    rows = rows.where(F.col("bound") >= SIMILARITY * F.col("kmers") - 1e-9)
     # The text that shares most leads first: in a group of copies it is near the middle.
     order = Window.partitionBy("bucket").orderBy(F.desc(F.col("bound") / F.col("kmers")), "node")
     rows = stored(rows.withColumn("place", F.row_number().over(order)), "divided")
-    crowd = stored(rows.where("large").select(*counts.columns).distinct(), "crowd")
-    edges, led, upto = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), 0, 1
-    while highest(rows) > max(led, 1):
-        more = stored(verified(led_pairs(rows, led, upto), texts), "edges")
+    edges = stored(verified(led_pairs(rows, 0, 1), texts), "edges")
+    rows = stored(divided(rows.drop("root"), edges), "divided")
+    led, (last, work), most = 1, left_over(rows), PAIRS * texts.count()
+    while last > led:
+        # Few comparisons are made at once; what may be similar of them is seldom much.
+        pairs = stored(cross_pairs(rows, led), "pairs") if work <= COMPARISONS * most else None
+        at_once = pairs is not None and pairs.count() <= most
+        if not at_once:
+            pairs, led = led_pairs(rows, led, 4 * led), 4 * led
+        more = stored(verified(pairs, texts), "edges")
         edges = edges.unionByName(more)
+        if at_once:
+            break
         if more.limit(1).count():
-            rows = divided(rows.drop("root"), edges)
+            rows = divided(rows.drop("root", "major", "others"), edges)
         waiting = rows.groupBy("bucket").agg(F.max("place").alias("last"))
-        waiting = waiting.where(F.col("last") > upto).select("bucket")
+        waiting = waiting.where(F.col("last") > led).select("bucket")
         rows = stored(rows.join(waiting, "bucket"), "divided")
-        led, upto = upto, upto * 4
+        last, work = left_over(rows)
     if not crowd.limit(1).count():
         return edges
     last = rare_pairs(rare, rooted(crowd, edges))
