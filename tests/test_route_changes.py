@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import bag
 from waybill import schemas
@@ -83,3 +84,26 @@ def test_a_run_that_died_takes_up_the_same_changes(spark, folder, monkeypatch):
     assert serving.read_current(spark, layout.route_sums).count() == 2
     with pytest.raises(ValueError, match="incremental"):
         Layout("x", follow_routes=True)
+
+
+def test_bronze_is_taken_apart_once(spark, folder):
+    """However often a run reads what it takes in, each line of bronze is cleaned once."""
+    layout = Layout(folder("root"), incremental=True, follow_routes=True)
+    schema, clean, keys, newest_by = increments.SHIPMENTS
+    cleaned = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        cleaned.add(1)
+        return value
+
+    def counting(df):
+        return clean(df.withColumn("origin", counted("origin")))
+
+    feed = (schema, counting, keys, newest_by)
+    for number in range(2):
+        rows = [(f"s{n}", "A", "B", "1", "2", f"2026-05-0{number + 1}") for n in range(5)]
+        land(spark, layout.bronze_shipments, schema, number, rows)
+        increments.take_in(spark, layout.shipment_folders, layout.silver_shipments, feed, changes=layout.shipment_changes)
+    assert cleaned.value == 10
+    assert serving.read_current(spark, layout.silver_shipments).count() == 5

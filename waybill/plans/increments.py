@@ -22,10 +22,11 @@ from waybill import schemas
 from waybill.functions.parsing import quoted
 from waybill.operators.newest import newest_per_key
 from waybill.plans import silver
-from waybill.session import shuffles_sized_for, stored_bytes
+from waybill.session import shuffles_sized_for, stored_bytes, work_dir
 from waybill.sources import serving
 from waybill.sources.bronze import landed_since, read_bronze
-from waybill.sources.tables import write_table
+from waybill.sources.files import delete
+from waybill.sources.tables import read_table, write_table
 
 FOLD_SHARE = 0.2
 
@@ -39,16 +40,15 @@ def _bytes_of_files(spark, table_path):
     return stored_bytes(spark, *[f"{table_path}/{folder}" for folder in folders])
 
 
-def changed_rows(spark, table_path, rows, keys, newest_by):
-    """What a table's rows become when `rows` are taken in: (row, sign), without the rows that
-    stay as they are."""
-    batch = newest_per_key(rows, keys, newest_by)
+def changed_rows(spark, table_path, batch, keys, newest_by):
+    """What a table's rows become when a batch with one row per key is taken in: (row, sign),
+    without the rows that stay as they are."""
     if serving.manifest(spark, table_path) is None:
         return batch.withColumn("sign", F.lit(1))
     before = serving.matched(serving.read_current(spark, table_path), batch, keys, "left_semi")
     after = newest_per_key(before.unionByName(batch), keys, newest_by)
     both = before.withColumn("sign", F.lit(-1)).unionByName(after.withColumn("sign", F.lit(1)))
-    return both.groupBy(*map(quoted, rows.columns)).agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
+    return both.groupBy(*map(quoted, batch.columns)).agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
 
 
 def take_in(spark, folders, table_path, feed, fold_share=FOLD_SHARE, changes=None):
@@ -61,7 +61,10 @@ def take_in(spark, folders, table_path, feed, fold_share=FOLD_SHARE, changes=Non
     if not new:
         return 0
     with shuffles_sized_for(spark, *new):
-        rows = clean(read_bronze(spark, new, schema))
+        # Read several times below, so bronze is taken apart, and its keys are reduced, once.
+        path = work_dir(spark, "taken-in")
+        write_table(newest_per_key(clean(read_bronze(spark, new, schema)), keys, newest_by), path)
+        rows = read_table(spark, path)
         # Named by what it holds: the same batches, taken in again, are the same delta.
         name = hashlib.sha256("\n".join(new).encode()).hexdigest()[:32]
         if changes:
@@ -74,6 +77,7 @@ def take_in(spark, folders, table_path, feed, fold_share=FOLD_SHARE, changes=Non
             serving.upsert(spark, rows, table_path, keys, newest_by=newest_by, reached=reached)
         else:
             serving.append_delta(rows, table_path, keys, newest_by, name, reached)
+    delete(spark, path)
     return len(new)
 
 
