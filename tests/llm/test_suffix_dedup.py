@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import namedtuple
 
 import numpy as np
 import pytest
@@ -7,6 +8,8 @@ import pytest
 from tests.helpers import bag
 from waybill.llm import suffix_dedup as sd
 
+Row = namedtuple("Row", ["bucket", *sd.HELD])
+
 
 def brute(rows):
     coded = [(sd.LAST if i is None else i, (t or "").encode()) for i, t in rows]
@@ -62,3 +65,15 @@ def test_deep_shallow_orders_suffixes():
     strings = [bytes(data[at : at + 50]) for at in starts[order]]
     assert strings == sorted(strings)
     assert list(np.diff(group) == 0) == [a == b for a, b in zip(strings, strings[1:], strict=False)]
+
+
+def test_packed_rows_are_small_and_come_back():
+    ids = np.repeat(np.r_[np.arange(-5, 4000), sd.LAST], 2)
+    marks, codes = ids * 7, np.arange(len(ids)).astype(sd.U)
+    key = (ids % 2).astype(np.int64)
+    rows = [Row(*row) for row in sd.packed(key, codes, ids, marks)]
+    found = [np.concatenate(part) for part in zip(*map(sd.unpacked, rows), strict=True)]
+    order = np.argsort(found[0])
+    for part, expected in zip(found, (codes, ids, marks), strict=True):
+        assert part[order].tolist() == expected.tolist()
+    assert sum(len(row.ids) + len(row.counts) for row in rows) < len(ids)

@@ -52,11 +52,11 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df, label):
+def stored(df, label, codec=None):
     """`df` written to the shared folder and read again: lineage ends here, and a lost
     executor costs the tasks after this point only."""
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

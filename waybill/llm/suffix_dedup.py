@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from waybill.llm.frames import stored, text_of
@@ -117,6 +118,17 @@ def group_of(ids, marks, groups):
     return (((code ^ (code >> U(32))) * OTHER >> U(32)) % U(groups)).astype(np.int64)
 
 
+def pressed(values):
+    """An array as bytes. Spark's own codec for shuffles is fast, and saves little of it."""
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def released(data, n, kind):
+    """The `n` values of an array."""
+    kind = np.dtype(kind)
+    return np.frombuffer(pa.decompress(data, n * kind.itemsize, codec="zstd", asbytes=True), kind)
+
+
 def packed(key, codes, ids, marks):
     """Hashes and their documents as a row (key, codes, ids, marks, counts) per key; rows of a
     document must stand together where they have the same key."""
@@ -129,14 +141,16 @@ def packed(key, codes, ids, marks):
     for part in np.split(np.arange(len(begins)), np.flatnonzero(np.diff(own)) + 1) if len(begins) else []:
         first, end = begins[part[0]], begins[part[-1]] + counts[part[-1]]
         docs = begins[part]
-        rows.append((int(own[part[0]]), codes[first:end].tobytes(), ids[docs].tobytes(), marks[docs].tobytes(), counts[part].tobytes()))
+        steps = np.diff(ids[docs], prepend=np.int64(0))
+        rows.append((int(own[part[0]]), codes[first:end].tobytes(), pressed(steps), marks[docs].tobytes(), pressed(counts[part])))
     return rows
 
 
 def unpacked(row):
-    counts = np.frombuffer(row.counts, "<u4")
-    ids, marks = (np.repeat(np.frombuffer(part, np.int64), counts) for part in (row.ids, row.marks))
-    return np.frombuffer(row.codes, U), ids, marks
+    marks = np.frombuffer(row.marks, np.int64)
+    counts = released(row.counts, len(marks), "<u4")
+    ids = np.cumsum(released(row.ids, len(marks), np.int64))
+    return np.frombuffer(row.codes, U), np.repeat(ids, counts), np.repeat(marks, counts)
 
 
 def packed_anchors(buckets):
@@ -280,7 +294,7 @@ def told_contexts(buckets):
                 starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
                 for part in np.split(order, starts[1:]):
                     own, first = distinct(records[part], firsts[part])
-                    rows.append((bucket[part[0]], own.tobytes(), first.tobytes()))
+                    rows.append((bucket[part[0]], pressed(own), first.tobytes()))
             yield pd.DataFrame(rows, columns=["bucket", "records", "firsts"])
 
     return run
@@ -404,7 +418,7 @@ def sorted_classes(most=MOST_CONTEXTS):
                     if records:
                         yield finished(window_rows if crowded else class_rows)
                     bucket, records, firsts, crowded = row.bucket, [], [], False
-                records.append(np.frombuffer(row.records, np.uint8).reshape(-1, RECORD))
+                records.append(released(row.records, len(row.firsts) // 8 * RECORD, np.uint8).reshape(-1, RECORD))
                 firsts.append(np.frombuffer(row.firsts, np.int64))
                 if sum(map(len, records)) > most:
                     own, first = distinct(np.concatenate(records), np.concatenate(firsts))
@@ -510,7 +524,7 @@ def deduplicated(documents, most=MOST_CONTEXTS):
     told = hits.join(copies.withColumn("copy", F.lit(True)), ["id", "mark"], "full")
     joined = rows.join(told, ["id", "mark"], "left").select("*").fillna(False, ["copy"])
     kinds = "id long, mark long, absent boolean, n_bytes long, n_removed long, n_spans long, kept binary, text binary, codes binary"
-    work = stored(joined.select("id", "mark", "absent", "text", "codes", "copy").mapInPandas(settled, kinds), "suffix-work")
+    work = stored(joined.select("id", "mark", "absent", "text", "codes", "copy").mapInPandas(settled, kinds), "suffix-work", "zstd")
     open_rows = work.where("text IS NOT NULL")
     count = open_rows.agg(F.coalesce(F.sum(F.octet_length("codes")), F.lit(0))).first()[0] // 8
     buckets = max(1, count // BUCKET_CONTEXTS)
