@@ -135,6 +135,73 @@ def test_token_files_round_trip(spark, documents, monkeypatch):
     assert token_file.round_trip(documents()).count() == 0
 
 
+def test_tokens_of_pieces_equal_those_of_texts(monkeypatch):
+    import pyarrow as pa
+
+    pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(token_file, "PIECES_AT_ONCE", 7)
+    monkeypatch.setattr(token_file, "CACHED_PIECES", 20)
+    rng = random.Random(4)
+    letters = [*"aBzßÉÿÅñ×÷Ωж中", "e\u0301", "\ufb01", "\u0130", "\u0958", "\u212b", "\u00bd"]
+    others = [*".,;:!?'\"=-_/7\x00\x1c\x85\u00a0\u3000\u0338\U0001f600", "'s", "'LL", "<|endoftext|>", "</w>", "\t", "\n", "  "]
+    words = ["The", "the", "THE.", "don't", "x=1", "=", "\u0130.", "\u0958!", "<|ENDOFTEXT|>", "<|startoftext|>."]
+    words += ["".join(rng.choice(letters if rng.random() < 0.8 else others) for _ in range(rng.randrange(1, 12))) for _ in range(2000)]
+    texts = [rng.choice([" ", "\n ", "\t"]).join(rng.choices(words, k=rng.randrange(20))) for _ in range(500)]
+    texts += [*words, "", " ", " a ", "a" * 70_000, "Ab. " * 40_000]
+    encode = token_file.Encoder(token_file.TOKENIZER)
+    plain = encode.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    expected = [np.array([*code.ids, token_file.END], "<u4").tobytes() for code in plain]
+    monkeypatch.setattr(token_file, "BYTES_AT_ONCE", 3000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 90])], ["text"]) for at in range(0, len(texts), 90)]
+    portions = [rows["text"] for rows in token_file.portions(batches)]
+    sizes = [(len(rows), sum(len(text.encode()) for text in rows.to_pylist())) for rows in portions]
+    assert all(n == 1 or size <= 3000 for n, size in sizes) and len(sizes) > 10
+    assert [one for rows in portions for one in encode(rows)] == expected
+
+
+def test_tokens_by_another_tokenizer(tmp_path):
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    public = pytest.importorskip("public_tokenizers")
+    with open(public.path(token_file.TOKENIZER)) as file:
+        steps = json.load(file)
+    steps["normalizer"]["normalizers"].pop()
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(steps))
+    texts = ["The the THE. Été été!", "AbC"]
+    plain = Tokenizer.from_file(str(path)).encode_batch_fast(texts, add_special_tokens=False)
+    expected = [np.array([*code.ids, token_file.END], "<u4").tobytes() for code in plain]
+    assert token_file.Encoder(str(path))(pa.array(texts)) == expected
+
+
+def test_each_piece_is_tokenized_once_for_many_batches(monkeypatch):
+    import pyarrow as pa
+
+    pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(token_file, "CACHED_PIECES", 0)
+    encode, taken = token_file.Encoder(token_file.TOKENIZER), []
+    pieces = encode.pieces
+    monkeypatch.setattr(encode, "pieces", lambda some: taken.extend(some.to_pylist()) or pieces(some))
+    batches = [pa.RecordBatch.from_arrays([pa.array(["Rare the, word", f"RARE. w{n} words"])], ["text"]) for n in range(50)]
+    found = [one for rows in token_file.portions(batches) for one in encode(rows["text"])]
+    assert len(found) == 100
+    assert sorted(taken) == sorted(["rare", "the", ",", "word", ".", "words", "", *[f"w{n}" for n in range(50)]])
+
+
+def test_token_files_of_letters_that_become_a_letter_and_a_mark(spark, documents):
+    from tokenizers import Tokenizer
+
+    public = pytest.importorskip("public_tokenizers")
+    tokenizer = Tokenizer.from_file(public.path(token_file.TOKENIZER))
+    texts = ["A \u0130. b", "\u0958! \u0958"]
+    found = token_file.round_trip(documents(*enumerate(texts))).orderBy("doc_id").collect()
+    ids = [[*tokenizer.encode(text, add_special_tokens=False).ids, token_file.END] for text in texts]
+    assert [row.ids_crc32 for row in found] == [zlib.crc32(np.array(one, "<u4").tobytes()) for one in ids]
+
+
 def test_rows_without_an_id_spread_over_tasks(spark, documents, folder):
     frame = documents(*[(None, f"text {n}") for n in range(400)])
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

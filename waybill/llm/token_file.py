@@ -18,32 +18,38 @@ Columns other than doc_id and text are not written, whatever they are called. Th
 tokenizers, or a path that every executor can read.
 """
 
+import json
 import os
-import re
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from waybill.llm.frames import text_of
+from waybill.llm.frames import release, text_of
 from waybill.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 BLOCK_TOKENS = 1 << 16
-#: Words whose ids a worker remembers: the first it meets, so mostly the frequent ones.
-CACHED_WORDS = 300_000
-#: Characters of the texts that are taken apart at a time; a longer text is taken alone.
-CHARS_AT_ONCE = 2_000_000
-WORDS = re.compile(r"[^ \t\n\v\f\r]+")
-#: White space at which `str.split` would end a word besides.
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: The tokenizer drops white space and ends a token between a letter and a mark after it, so
-#: these pieces can be taken alone, and recur more often than words with their marks.
-PIECES = re.compile(r"[^\W\d_]+(?=[.,;:!?])|[^ \t\n\v\f\r]+")
+#: Pieces of words whose ids a worker remembers: the first it meets, so mostly the frequent ones.
+CACHED_PIECES = 500_000
+#: Bytes of texts whose words are looked up at a time; a longer text is taken alone.
+BYTES_AT_ONCE = 8_000_000
+#: Letters that stay one letter in the tokenizer's normal form. It separates them from the
+#: marks that end a word, so both can be taken alone, and recur more often than together.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARKS = ".,;:!?"
+#: If a tokenizer does this before its model, words of such letters need lower case alone.
+STEPS = [
+    ["Sequence", ["NFC", "Replace", "Lowercase"]],
+    ["Sequence", ["Split", "ByteLevel"]],
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+]
 #: Pieces are tokenized so many to a text, with a piece between them that is one id of its own.
 PIECES_AT_ONCE = 500
 BETWEEN = "="
@@ -53,77 +59,185 @@ KEYS = "part int, block int, nulls int, doc_ids array<long>, lengths array<int>,
 TOKENS = f"{KEYS}, ids binary"
 BLOCKS = f"{KEYS}, control binary, data binary"
 READ = "part int, block int, doc_id long, begin long, n_tokens long, ids_crc32 long"
+ARROW_TOKENS = pa.schema(
+    {
+        "part": pa.int32(),
+        "block": pa.int32(),
+        "nulls": pa.int32(),
+        "doc_ids": pa.list_(pa.int64()),
+        "lengths": pa.list_(pa.int32()),
+        "tokens": pa.int64(),
+        "ids": pa.binary(),
+    }
+)
 
 _known = {}
 
 
+def steps_of(tokenizer):
+    """The kinds of a tokenizer's steps before its model, and what it splits at."""
+    found, splits = [], None
+    for step, parts in ((tokenizer.normalizer, "normalizers"), (tokenizer.pre_tokenizer, "pretokenizers")):
+        state = json.loads(step.__getstate__()) if step else {}
+        found.append([state.get("type"), [part["type"] for part in state.get(parts, [])]])
+        splits = next((part["pattern"].get("Regex") for part in state.get(parts, []) if part["type"] == "Split"), None)
+    return [*found, splits]
+
+
+def runs(ids, ends):
+    """Ids of pieces after each other as one binary value a piece; `ends` has where pieces end."""
+    offsets = 4 * np.concatenate([[0], ends]).astype(np.int32)
+    data = pa.py_buffer(np.ascontiguousarray(ids, "<u4"))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), data])
+
+
 class Encoder:
-    """Ids of texts, each word tokenized once per worker as far as the cache goes."""
+    """Ids of texts, each piece of a word tokenized once per worker as far as the cache goes."""
 
     def __init__(self, name):
         # Its threads would each keep memory of their own, next to Spark's tasks.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        path = name if "/" in name else public_tokenizers.path(name)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache = _known.setdefault(path, {})
-        between = self.ids_of([BETWEEN])[0]
+        self.tokenizer = Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
+        self.cached, self.cached_ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        between = self.ids_of(self.tokenizer, [BETWEEN])[0]
         self.between = between[0] if len(between) == 1 else None
+        model, self.by_letters = self.tokenizer.model, None
+        suffix = getattr(model, "end_of_word_suffix", None)
+        if steps_of(self.tokenizer) == STEPS and suffix:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.closing[[at for token, at in vocabulary.items() if token.endswith(suffix)]] = True
+            # The same model, without steps that words of lower-case letters do not need.
+            ascii_words, words = Tokenizer(model), Tokenizer(model)
+            ascii_words.pre_tokenizer = space = pre_tokenizers.WhitespaceSplit()
+            as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            words.pre_tokenizer = pre_tokenizers.Sequence([space, as_bytes])
+            self.by_letters = ascii_words, words
+
+    @staticmethod
+    def ids_of(tokenizer, texts):
+        return [code.ids for code in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def joined(self, pieces, tokenizer, between, cut):
+        """The ids of pieces that are tokenized many to a text, with `between` between them.
+        `cut` makes runs of the ids of a text."""
+        for begin in range(0, len(pieces), PIECES_AT_ONCE):
+            some = pieces[begin : begin + PIECES_AT_ONCE]
+            (text,) = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), between)
+            found = cut(np.array(self.ids_of(tokenizer, [text.as_py()])[0], np.uint32))
+            yield found if len(found) == len(some) else self.alone(some)
+
+    def alone(self, pieces):
+        ids = self.ids_of(self.tokenizer, pieces.to_pylist())
+        flat = np.array([one for piece in ids for one in piece], np.uint32)
+        return runs(flat, np.cumsum([len(piece) for piece in ids]))
 
-    def ids_of(self, texts):
-        return [code.ids for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def cut_at_ends(self, ids):
+        return runs(ids, np.flatnonzero(self.closing[ids]) + 1)
+
+    def cut_between(self, ids):
+        """If a piece has the id without the character, it makes more runs than pieces."""
+        cuts = np.append(np.flatnonzero(ids == self.between), len(ids))
+        return runs(ids[ids != self.between], cuts - np.arange(len(cuts)))
 
     def pieces(self, pieces):
-        """The ids of pieces of texts, as bytes."""
-        for begin in range(0, len(pieces), PIECES_AT_ONCE):
-            some = pieces[begin : begin + PIECES_AT_ONCE]
-            if self.between is not None and not any(BETWEEN in piece for piece in some):
-                (joined,) = self.ids_of([f" {BETWEEN} ".join(some)])
-                ids = np.array(joined, "<u4")
-                cuts = np.flatnonzero(ids == self.between)
-                # Otherwise a piece has the id without the character, and must be taken alone.
-                if len(cuts) == len(some) - 1:
-                    data, ends = ids.tobytes(), (4 * cuts).tolist()
-                    starts = [0, *[end + 4 for end in ends]]
-                    yield from map(data.__getitem__, map(slice, starts, [*ends, len(data)]))
-                    continue
-            yield from (np.array(ids, "<u4").tobytes() for ids in self.ids_of(some))
+        """The ids of distinct pieces, as binary values."""
+        has = pc.match_substring(pieces, BETWEEN)
+        letters = np.zeros(len(pieces), bool)
+        if self.by_letters:
+            letters = pc.match_substring_regex(pieces, f"^[{LETTERS}]+$").to_numpy(False)
+        if self.between is None:
+            has = pa.repeat(True, len(pieces))
+        has, plain = has.to_numpy(False), pc.string_is_ascii(pieces).to_numpy(False)
+        kinds = [np.flatnonzero(kind) for kind in (letters & plain, letters & ~plain, ~letters & ~has, has)]
+        found = [pa.array([], pa.binary())]
+        if self.by_letters:
+            for tokenizer, kind in zip(self.by_letters, kinds, strict=False):
+                found += self.joined(pieces.take(pa.array(kind)), tokenizer, " ", self.cut_at_ends)
+        some = pieces.take(pa.array(kinds[2]))
+        found += self.joined(some, self.tokenizer, f" {BETWEEN} ", self.cut_between)
+        found.append(self.alone(pieces.take(pa.array(kinds[3]))))
+        return pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(kinds))))
+
+    def known(self, pieces):
+        """The same, looked up first."""
+        places = pc.index_in(pieces, self.cached)
+        new = pieces.filter(pc.is_null(places))
+        ids = self.pieces(new)
+        places = places.fill_null(-1).to_numpy(False).copy()
+        places[places < 0] = len(self.cached) + np.arange(len(new))
+        both = pa.concat_arrays([self.cached_ids, ids])
+        room = CACHED_PIECES - len(self.cached)
+        if room > 0:
+            self.cached = pa.concat_arrays([self.cached, new[:room]])
+            self.cached_ids = both[: len(self.cached)]
+        return both.take(pa.array(places))
+
+    def words(self, words):
+        """The ids of distinct words, as binary values."""
+        rest = pc.utf8_rtrim(words, MARKS)
+        cut = pc.and_(pc.not_equal(rest, words), pc.match_substring_regex(rest, f"[{LETTERS}]$"))
+        tails = pc.extract_regex(words.filter(cut), f"(?P<marks>[{MARKS}]+)$").field(0)
+        marks = pc.replace_with_mask(pa.repeat("", len(words)), cut, tails)
+        rest = pc.if_else(cut, rest, words)
+        if self.by_letters:
+            letters = pc.match_substring_regex(rest, f"^[{LETTERS}]+$")
+            rest = pc.if_else(letters, pc.utf8_lower(rest), rest)
+        pieces = pa.concat_arrays([rest, marks]).dictionary_encode()
+        ids = self.known(pieces.dictionary).take(pieces.indices)
+        return pc.binary_join_element_wise(ids[: len(words)], ids[len(words) :], b"")
 
     def __call__(self, texts):
-        """One text after another; words are looked up for some texts at a time, as they take
-        many times the memory of their text."""
-        some, size = [], 0
-        for text in texts:
-            if some and size + len(text) > CHARS_AT_ONCE:
-                yield from self.coded(some)
-                some, size = [], 0
-            some.append(text)
-            size += len(text)
-        yield from self.coded(some)
-
-    def coded(self, texts):
-        words = [WORDS.findall(text) if OTHER_SPACE.search(text) else text.split() for text in texts]
-        new = list(set().union(*words).difference(self.cache))
-        parts = [PIECES.findall(word) for word in new]
-        # Those with the character that goes between them stand together.
-        pieces = sorted(set().union(*parts), key=lambda piece: BETWEEN in piece)
-        ids = dict(zip(pieces, self.pieces(pieces), strict=True))
-        fresh = {word: b"".join(map(ids.__getitem__, part)) for word, part in zip(new, parts, strict=True)}
-        room = max(CACHED_WORDS - len(self.cache), 0)
-        self.cache.update(list(fresh.items())[:room])
-        known, end = self.cache.get, np.array([END], "<u4").tobytes()
-        if len(fresh) <= room:
-            return [b"".join([*map(known, some), end]) for some in words]
-        return [b"".join([*[known(word) or fresh[word] for word in some], end]) for some in words]
+        """The ids of each text, and the end id, as bytes."""
+        # At the white space that WORD leaves out; words may be empty.
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids = self.words(words.dictionary).take(words.indices)
+        end = np.array([END], "<u4").tobytes()
+        coded = pc.binary_join(pa.ListArray.from_arrays(split.offsets, ids), b"")
+        return pc.binary_join_element_wise(coded, end, b"").to_pylist()
+
+
+def encoder(name):
+    """One per worker."""
+    if name not in _known:
+        _known[name] = Encoder(name)
+    return _known[name]
+
+
+def portions(batches):
+    """Rows after each other: about `BYTES_AT_ONCE` of texts at a time, or one text."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch["text"]).to_numpy(False).astype(np.int64))
+        begin = 0
+        while begin < len(sizes):
+            before = sizes[begin - 1] if begin else 0
+            # A text that is longer than the rest of the room waits, unless nothing is held.
+            end = max(int(np.searchsorted(sizes, before + BYTES_AT_ONCE - size, "right")), begin + (not held))
+            held.append(batch.slice(begin, end - begin))
+            size += sizes[end - 1] - before if end else 0
+            if end < len(sizes):
+                yield joined_rows(held)
+                held, size = [], 0
+            begin = end
+    if held:
+        yield joined_rows(held)
+
+
+def joined_rows(batches):
+    names = batches[0].schema.names
+    return {name: pa.concat_arrays([batch[name] for batch in batches]) for name in names}
 
 
 def tokenized(name):
     """Sorted documents to blocks of ids."""
 
     def run(batches):
-        encode = Encoder(name)
+        encode = encoder(name)
         part = TaskContext.get().partitionId()
         block, nulls, doc_ids, ids, size = 0, 0, [], [], 0
 
@@ -138,20 +252,20 @@ def tokenized(name):
                 "ids": b"".join(ids),
             }
 
-        for batch in batches:
-            rows = []
-            coded = encode(batch["text"])
-            for doc_id, absent, one in zip(batch["doc_id"], batch["absent"], coded, strict=True):
+        for rows in portions(batches):
+            coded = encode(rows["text"])
+            for doc_id, absent, one in zip(rows["doc_id"].to_pylist(), rows["absent"].to_pylist(), coded, strict=True):
                 doc_ids.append(doc_id)
                 nulls += absent
                 ids.append(one)
                 size += len(one) // 4
                 if size >= BLOCK_TOKENS:
-                    rows.append(row())
+                    yield pa.RecordBatch.from_pylist([row()], ARROW_TOKENS)
                     block, nulls, doc_ids, ids, size = block + 1, 0, [], [], 0
-            yield pd.DataFrame(rows, columns=[part.split()[0] for part in TOKENS.split(", ")])
+            del rows, coded
+            release()
         if doc_ids:
-            yield pd.DataFrame([row()])
+            yield pa.RecordBatch.from_pylist([row()], ARROW_TOKENS)
 
     return run
 
@@ -224,12 +338,11 @@ def write_tokens(documents, path, tokenizer=TOKENIZER):
     rows = documents.select("doc_id", text_of(documents).alias("text"))
     # By the text too, so that many rows of one id, or without an id, spread over tasks.
     ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    # Without nulls, so that pandas keeps whole numbers.
     ordered = ordered.select(
         F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("absent"), "text"
     )
     between = work_dir(spark, "tokens")
-    ordered.mapInPandas(tokenized(tokenizer), TOKENS).write.option("compression", "zstd").parquet(between)
+    ordered.mapInArrow(tokenized(tokenizer), TOKENS).write.option("compression", "zstd").parquet(between)
     tokens = spark.read.schema(TOKENS).parquet(between)
     counts = tokens.select("ids").mapInPandas(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     order = Window.orderBy(F.desc("n"), "id")
