@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -220,6 +221,19 @@ def test_rows_without_an_id_spread_over_tasks(spark, documents, folder):
     assert len(found) == 400
 
 
+def test_the_driver_samples_no_whole_texts(spark, documents):
+    rows = [(n % 3 or None, f"{'ж' * (60 + n % 7)}{n * 7 % 50}{'x' * (n % 4)}") for n in range(400)]
+    ordered = token_file.in_order(documents(*rows))
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"rangepartitioning\(doc_id#\d+L ASC NULLS FIRST, substring\(text#\d+, 1, 64\) ASC NULLS FIRST,", plan)
+    order = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0, row[1]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert [tuple(row) for row in ordered.collect()] == order
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
 
 

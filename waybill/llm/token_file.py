@@ -14,6 +14,7 @@ table of 256 rows. A block holds whole documents: about `BLOCK_TOKENS` ids, or o
 
 Null text is empty text, which is its end id alone. Repeated rows are written each. An empty
 table makes files without blocks, and no rows. A text of any length is one document of one block.
+Rows of one id, or without an id, that begin with the same `KEY_CHARS` characters are written by one task.
 Columns other than doc_id and text are not written, whatever they are called. The tokenizer is a file name of the public
 tokenizers, or a path that every executor can read.
 """
@@ -36,6 +37,8 @@ from waybill.session import work_dir
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 BLOCK_TOKENS = 1 << 16
+#: Characters of a text that decide, after its id, which task writes it.
+KEY_CHARS = 64
 #: Pieces of words whose ids a worker remembers: the first it meets, so mostly the frequent ones.
 CACHED_PIECES = 500_000
 #: Bytes of texts whose words are looked up at a time; a longer text is taken alone.
@@ -332,13 +335,19 @@ def decoded(ids):
     return run
 
 
+def in_order(documents):
+    """Ids and texts, sorted from task to task."""
+    rows = documents.select("doc_id", text_of(documents).alias("text"))
+    # By the text too, so that many rows of one id, or without an id, spread over tasks; by its
+    # first characters, as the driver samples the keys.
+    dealt = rows.repartitionByRange("doc_id", F.substring("text", 1, KEY_CHARS))
+    return dealt.sortWithinPartitions("doc_id", "text")
+
+
 def write_tokens(documents, path, tokenizer=TOKENIZER):
     """Write the files of `documents` to the folder `path`."""
     spark = documents.sparkSession
-    rows = documents.select("doc_id", text_of(documents).alias("text"))
-    # By the text too, so that many rows of one id, or without an id, spread over tasks.
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    ordered = ordered.select(
+    ordered = in_order(documents).select(
         F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("absent"), "text"
     )
     between = work_dir(spark, "tokens")
